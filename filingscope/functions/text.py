@@ -23,11 +23,13 @@ def money_label(amount: Column) -> Column:
 
 
 def money_short(amount: Column) -> Column:
-    """Card form: millions with one decimal, else whole thousands."""
+    """Card form: millions with one decimal, else whole thousands; N/A for NULL."""
     value = amount.cast("double")
-    return F.when(
-        value >= 1e6, F.concat(F.lit("$"), F.format_string("%.1f", value / F.lit(1e6)), F.lit("M"))
-    ).otherwise(F.concat(F.lit("$"), F.format_string("%.0f", value / F.lit(1e3)), F.lit("K")))
+    return (
+        F.when(value.isNull(), "N/A")
+        .when(value >= 1e6, F.concat(F.lit("$"), F.format_string("%.1f", value / F.lit(1e6)), F.lit("M")))
+        .otherwise(F.concat(F.lit("$"), F.format_string("%.0f", value / F.lit(1e3)), F.lit("K")))
+    )
 
 
 def money_grouped(amount: Column) -> Column:

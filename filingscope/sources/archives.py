@@ -41,6 +41,7 @@ def zip_entries(archives: DataFrame, extensions: tuple[str, ...] | None = DATA_E
         import pandas as pd
 
         columns = ["archive", "entry", "member", "content", "error"]
+        rows, size = [], 0
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 try:
@@ -49,10 +50,15 @@ def zip_entries(archives: DataFrame, extensions: tuple[str, ...] | None = DATA_E
                             if extensions is not None and not entry.lower().endswith(extensions):
                                 continue
                             data = archive.read(entry) if contents else None
-                            row = (path, entry, entry.rsplit("/", 1)[-1], data, None)
-                            yield pd.DataFrame([row], columns=columns)
+                            rows.append((path, entry, entry.rsplit("/", 1)[-1], data, None))
+                            size += len(data or b"")
+                            if len(rows) >= 5000 or size >= 64 << 20:
+                                yield pd.DataFrame(rows, columns=columns)
+                                rows, size = [], 0
                 except zipfile.BadZipFile as problem:
-                    yield pd.DataFrame([(path, None, None, None, str(problem))], columns=columns)
+                    rows.append((path, None, None, None, str(problem)))
+        if rows:
+            yield pd.DataFrame(rows, columns=columns)
 
     return archives.select("path", "content").mapInPandas(open_archives, MEMBER_SCHEMA)
 
@@ -86,6 +92,7 @@ def member_rows(members: DataFrame) -> DataFrame:
         import pandas as pd
 
         columns = ["source_file", "row_number", "fields", "error"]
+        rows = []
         for batch in batches:
             for name, content in zip(batch["member"], batch["content"]):
                 try:
@@ -96,7 +103,6 @@ def member_rows(members: DataFrame) -> DataFrame:
                 separator = "|" if first.count("|") > first.count(",") else ","
                 reader = csv.reader(io.StringIO(text), delimiter=separator)
                 header = [h.strip() for h in next(reader, [])]
-                rows = []
                 for number, values in enumerate((v for v in reader if v), start=1):
                     too_long = "too many fields" if len(values) > len(header) else None
                     present = {h: v for h, v in zip(header, values) if v != ""}
@@ -104,8 +110,8 @@ def member_rows(members: DataFrame) -> DataFrame:
                     if len(rows) == 5000:
                         yield pd.DataFrame(rows, columns=columns)
                         rows = []
-                if rows:
-                    yield pd.DataFrame(rows, columns=columns)
+        if rows:
+            yield pd.DataFrame(rows, columns=columns)
 
     csv_members = members.where(F.lower("member").endswith(".csv")).select("member", "content")
     return csv_members.mapInPandas(parse, ROW_SCHEMA)
@@ -167,9 +173,10 @@ def workbook_rows(workbooks: DataFrame) -> DataFrame:
                         yield cells
                         node.clear()
 
+        rows = []
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                rows, header = [], None
+                header = None
                 try:
                     for number, cells in enumerate(rows_of(content)):
                         if header is None:
@@ -182,8 +189,8 @@ def workbook_rows(workbooks: DataFrame) -> DataFrame:
                             rows = []
                 except (zipfile.BadZipFile, KeyError, StopIteration, ElementTree.ParseError) as problem:
                     rows.append((path, None, None, f"unreadable workbook: {problem}"))
-                if rows:
-                    yield pd.DataFrame(rows, columns=columns)
+        if rows:
+            yield pd.DataFrame(rows, columns=columns)
 
     return workbooks.select("path", "content").mapInPandas(parse, ROW_SCHEMA)
 
