@@ -162,12 +162,11 @@ def _file_name_dates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _money(spark: SparkSession, sf: str) -> DataFrame:
-    raum = F.col("raum")
     return filings(spark, sf, (*KEY, "raum")).select(
         *KEY,
-        text.money_label(raum).alias("label"),
-        text.money_short(raum).alias("short_label"),
-        text.money_grouped(raum).alias("grouped"),
+        text.money_label("raum").alias("label"),
+        text.money_short("raum").alias("short_label"),
+        text.money_grouped("raum").alias("grouped"),
     )
 
 

@@ -10,56 +10,43 @@ from pyspark.sql import functions as F
 from filingscope.rules import CATEGORIES
 
 
-def drop_pct(previous: Column, current: Column) -> Column:
+def drop_pct(previous: str, current: str) -> Column:
     """Percentage lost since the previous value, 0 for growth, at most 100.
 
     Decimal arithmetic, multiplied before dividing, so that the only rounding is that of the quotient:
     tier limits such as 24.995 must not depend on binary fractions.
     """
-    prev = previous.cast("decimal(20,2)")
-    lost = (prev - current.cast("decimal(20,2)")) * 100
-    return F.when((prev > 0) & (lost > 0), F.least(lost / prev, F.lit(100))).otherwise(0)
+    prev = f"CAST({previous} AS DECIMAL(20,2))"
+    lost = f"({prev} - CAST({current} AS DECIMAL(20,2)))"
+    return F.expr(f"CASE WHEN {previous} > 0 AND {current} < {previous} THEN LEAST({lost} * 100 / {prev}, 100) ELSE 0 END")
 
 
-def drop_pct_integer(previous: Column, current: Column, growth_counts: bool) -> Column:
+def drop_pct_integer(previous: str, current: str, growth_counts: bool) -> Column:
     """The same with integer division, i.e. whole multiples of 100.
 
     With ``growth_counts`` there is no guard against growth, which then comes out negative.
     """
-    prev = previous.cast("decimal(10,0)")
-    lost = prev - current.cast("decimal(10,0)")
-    # decimal division truncated by the cast: Spark's `div`, without its ANSI error on a zero divisor
-    whole = F.try_divide(lost, prev)
-    truncated = F.when(whole < 0, F.ceil(whole)).otherwise(F.floor(whole))
-    applies = (prev > 0) & current.isNotNull()
-    if not growth_counts:
-        applies = applies & (lost > 0)
-    return F.when(applies, F.least(truncated * 100, F.lit(100))).otherwise(0)
-
-
-def category(score: Column, cutoffs: Mapping[str, float]) -> Column:
+    applies = f"{previous} > 0 AND {current} IS NOT NULL" + ("" if growth_counts else f" AND {current} < {previous}")
+    lost = f"(CAST({previous} AS BIGINT) - {current})"
+    return F.expr(f"CASE WHEN {applies} THEN CAST(LEAST({lost} DIV {previous} * 100, 100) AS DECIMAL(20,0)) ELSE 0 END")
+
+
+def category(score: str, cutoffs: Mapping[str, float]) -> Column:
     """Category of a score; ``cutoffs`` lists the lowest score of each, most severe first."""
-    result = None
-    for name, lowest in cutoffs.items():
-        branch = score >= F.lit(lowest)
-        result = F.when(branch, name) if result is None else result.when(branch, name)
-    return result.otherwise(CATEGORIES[-1])
+    branches = " ".join(f"WHEN {score} >= {lowest} THEN '{name}'" for name, lowest in cutoffs.items())
+    return F.expr(f"CASE {branches} ELSE '{CATEGORIES[-1]}' END")
 
 
-def severity(category_column: Column) -> Column:
+def severity(category_column: str = "risk_category") -> Column:
     """1 for the most severe category up to 4; NULL for anything else."""
-    result = None
-    for rank, name in enumerate(CATEGORIES, start=1):
-        result = F.when(category_column == name, rank) if result is None else result.when(category_column == name, rank)
-    return result
-
-
-def tier(value: Column, tiers: Sequence[tuple[int, int]], otherwise: int = 0) -> Column:
-    """Points of the first limit that ``value`` exceeds."""
-    result = None
-    for limit, points in tiers:
-        result = F.when(value > limit, points) if result is None else result.when(value > limit, points)
-    return result.otherwise(otherwise)
+    branches = " ".join(f"WHEN '{name}' THEN {rank}" for rank, name in enumerate(CATEGORIES, start=1))
+    return F.expr(f"CASE {category_column} {branches} END")
+
+
+def tier(value: str, tiers: Sequence[tuple[int, int]], otherwise: int = 0) -> str:
+    """SQL text for the points of the first limit that ``value`` exceeds."""
+    branches = " ".join(f"WHEN {value} > {limit} THEN {points}" for limit, points in tiers)
+    return f"CASE {branches} ELSE {otherwise} END"
 
 
 def ratio(numerator: Column, denominator: Column, scale: int = 2) -> Column:

@@ -6,36 +6,33 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def money_label(amount: Column) -> Column:
-    """$1.2T / $3.4B / $5.6M, below a million grouped digits; N/A for NULL."""
-    value = amount.cast("double")
+def _in_units(amount: str, unit: int, suffix: str, decimals: int = 1) -> str:
+    return f"CONCAT('$', STRING(CAST(CAST({amount} AS DECIMAL(20,2)) / {unit} AS DECIMAL(20,{decimals}))), '{suffix}')"
 
-    def scaled(unit: float, suffix: str) -> Column:
-        return F.concat(F.lit("$"), F.format_string("%.1f", value / F.lit(unit)), F.lit(suffix))
 
-    return (
-        F.when(value.isNull(), "N/A")
-        .when(value >= 1e12, scaled(1e12, "T"))
-        .when(value >= 1e9, scaled(1e9, "B"))
-        .when(value >= 1e6, scaled(1e6, "M"))
-        .otherwise(F.concat(F.lit("$"), F.format_number(value, 0)))
+def money_label(amount: str) -> Column:
+    """$1.2T / $3.4B / $5.6M, below a million grouped digits; N/A for NULL."""
+    return F.expr(
+        f"""CASE WHEN {amount} IS NULL THEN 'N/A'
+        WHEN {amount} >= 1000000000000 THEN {_in_units(amount, 10**12, 'T')}
+        WHEN {amount} >= 1000000000 THEN {_in_units(amount, 10**9, 'B')}
+        WHEN {amount} >= 1000000 THEN {_in_units(amount, 10**6, 'M')}
+        ELSE CONCAT('$', FORMAT_NUMBER({amount}, 0)) END"""
     )
 
 
-def money_short(amount: Column) -> Column:
+def money_short(amount: str) -> Column:
     """Card form: millions with one decimal, else whole thousands; N/A for NULL."""
-    value = amount.cast("double")
-    return (
-        F.when(value.isNull(), "N/A")
-        .when(value >= 1e6, F.concat(F.lit("$"), F.format_string("%.1f", value / F.lit(1e6)), F.lit("M")))
-        .otherwise(F.concat(F.lit("$"), F.format_string("%.0f", value / F.lit(1e3)), F.lit("K")))
+    return F.expr(
+        f"""CASE WHEN {amount} IS NULL THEN 'N/A' WHEN {amount} >= 1000000 THEN {_in_units(amount, 10**6, 'M')}
+        ELSE {_in_units(amount, 1000, 'K', 0)} END"""
     )
 
 
-def money_grouped(amount: Column) -> Column:
+def money_grouped(amount: str) -> Column:
     """Whole dollars with thousands separators; N/A for NULL or zero."""
-    return F.when(amount.isNull() | (amount == 0), "N/A").otherwise(
-        F.concat(F.lit("$"), F.format_number(amount, 0))
+    return F.expr(
+        f"CASE WHEN {amount} IS NULL OR {amount} = 0 THEN 'N/A' ELSE CONCAT('$', FORMAT_NUMBER({amount}, 0)) END"
     )
 
 

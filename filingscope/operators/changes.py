@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filingscope.functions.metrics import drop_pct, drop_pct_integer
-from filingscope.operators.history import firm_window, with_previous
+from filingscope.operators.history import with_previous
 from filingscope.rules import TREND_MEAN_PCT, TREND_PERIODS
 from filingscope.schemas import CHANGE, KEY, conform
 
@@ -34,32 +34,30 @@ def filing_changes(
     if pct_mode not in ("fractional", "as_written"):
         raise ValueError(f"unknown pct_mode {pct_mode!r}")
     compared = with_previous(history.select(*NEEDED), COMPARED)
-    scope = F.col("prev_filing_date").isNotNull() if require_previous else F.col("raum") > 0
-    w = firm_window()
-    measured = compared.where(scope).select(
+    before = "COALESCE(prev_disciplinary_disclosures, 0)" if null_disclosures_as_zero else "prev_disciplinary_disclosures"
+    measured = compared.where("prev_filing_date IS NOT NULL" if require_previous else "raum > 0").select(
         *KEY,
         "raum",
-        drop_pct(F.col("prev_raum"), F.col("raum")).alias("raum_drop"),
+        drop_pct("prev_raum", "raum").alias("raum_drop"),
         _count_drop("client_count", pct_mode, growth_counts=False).alias("client_drop"),
         _count_drop("account_count", pct_mode, growth_counts=True).alias("acct_drop"),
-        _new_disclosures(null_disclosures_as_zero).alias("new_disc_flag"),
-        F.coalesce(F.col("cco_name") != F.col("prev_cco_name"), F.lit(False)).alias("cco_changed"),
+        F.expr(f"COALESCE(disciplinary_disclosures > {before}, FALSE)").alias("new_disc_flag"),
+        F.expr("COALESCE(cco_name <> prev_cco_name, FALSE)").alias("cco_changed"),
     )
-    recent_drop = F.col("raum_drop")
-    for back in range(1, TREND_PERIODS):
-        recent_drop = recent_drop + F.coalesce(F.lag("raum_drop", back).over(w), F.lit(0))
-    first_year = F.year(F.min("filing_date").over(w))  # running minimum in date order: the first filing
-    changes = measured.select(
+    w = "(PARTITION BY sec_number ORDER BY filing_date)"
+    earlier = [f"COALESCE(LAG(raum_drop, {back}) OVER {w}, 0)" for back in range(1, TREND_PERIODS)]
+    changes = measured.selectExpr(
         *KEY,
-        F.round("raum_drop", 2).alias("raum_drop_pct"),
-        F.round("client_drop", 2).alias("client_drop_pct"),
-        F.round("acct_drop", 2).alias("acct_drop_pct"),
+        "ROUND(raum_drop, 2) AS raum_drop_pct",
+        "ROUND(client_drop, 2) AS client_drop_pct",
+        "ROUND(acct_drop, 2) AS acct_drop_pct",
         "new_disc_flag",
         "cco_changed",
         # the mean reaches the limit: compared as a sum, exact in decimals, before any rounding
-        (recent_drop >= TREND_MEAN_PCT * TREND_PERIODS).alias("trend_down_flag"),
-        F.lit(0).alias("owner_moves_12m"),
-        (F.year("filing_date") - first_year).alias("adviser_age_years"),
+        f"raum_drop + {' + '.join(earlier)} >= {TREND_MEAN_PCT * TREND_PERIODS} AS trend_down_flag",
+        "0 AS owner_moves_12m",
+        # the running minimum in date order is the firm's first filing
+        f"YEAR(filing_date) - YEAR(MIN(filing_date) OVER {w}) AS adviser_age_years",
         "raum",
     )
     if owner_moves is not None:
@@ -72,27 +70,18 @@ def filing_changes(
 
 
 def _count_drop(column: str, pct_mode: str, growth_counts: bool) -> Column:
-    previous, current = F.col(f"prev_{column}"), F.col(column)
     if pct_mode == "as_written":
-        return drop_pct_integer(previous, current, growth_counts)
-    return drop_pct(previous, current)
-
-
-def _new_disclosures(null_as_zero: bool) -> Column:
-    previous = F.col("prev_disciplinary_disclosures")
-    if null_as_zero:
-        previous = F.coalesce(previous, F.lit(0))
-    return F.coalesce(F.col("disciplinary_disclosures") > previous, F.lit(False))
+        return drop_pct_integer(f"prev_{column}", column, growth_counts)
+    return drop_pct(f"prev_{column}", column)
 
 
 def largest_drops(history: DataFrame, column: str, limit: int = 10, integer_division: bool = False) -> DataFrame:
     """The largest percentage drops of a count from one filing to the next."""
-    previous, current = F.col(f"prev_{column}"), F.col(column)
-    pct = drop_pct_integer(previous, current, False) if integer_division else drop_pct(previous, current)
+    drop = _count_drop(column, "as_written" if integer_division else "fractional", growth_counts=False)
     return (
         with_previous(history.select(*KEY, column), [column])
-        .where((previous > 0) & (current < previous))
-        .select(*KEY, column, f"prev_{column}", F.round(pct, 2).alias("drop_pct"))
+        .where(f"prev_{column} > 0 AND {column} < prev_{column}")
+        .select(*KEY, column, f"prev_{column}", F.round(drop, 2).alias("drop_pct"))
         .orderBy(F.desc("drop_pct"), *KEY)
         .limit(limit)
     )

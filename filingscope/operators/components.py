@@ -143,7 +143,7 @@ def weighted_scores(history: DataFrame, measures: DataFrame | None = None) -> Da
     )
     weighted = [F.coalesce(name, F.lit(0.0)) * weight for name, weight in rules.COMPONENT_WEIGHTS.items()]
     return components.withColumn("overall_risk_score", clip(reduce(add, weighted))).withColumn(
-        "risk_category", category(F.col("overall_risk_score"), rules.WEIGHTED_CUTOFFS)
+        "risk_category", category("overall_risk_score", rules.WEIGHTED_CUTOFFS)
     )
 
 

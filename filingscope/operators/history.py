@@ -1,8 +1,7 @@
 """Filing history per firm: one row per firm and date, previous and latest filings.
 
-Skew: rows are first reduced to one per (firm, date) by an aggregate that combines map-side, so a firm or
-even a (firm, date) that holds a third of all rows costs no single task more than its distinct dates.
-After that a firm has at most one row per calendar day, which is what makes the per-firm windows safe.
+Skew: rows are first reduced to one per (firm, date), already before the shuffle, so a firm or even a
+(firm, date) that holds a third of all rows costs no single task more than its distinct dates. After that a firm has at most one row per calendar day, which is what makes the per-firm windows safe.
 """
 
 from __future__ import annotations
@@ -20,14 +19,14 @@ def firm_window(firm: str = "sec_number") -> WindowSpec:
 
 
 def dedupe_filings(filings: DataFrame, tiebreak: str = "filing_key", key: Sequence[str] = tuple(KEY)) -> DataFrame:
-    """Keep the row with the highest ``tiebreak`` per firm and date."""
-    rest = [tiebreak] + [c for c in filings.columns if c not in (*key, tiebreak)]
-    return (
-        filings.groupBy(*key)
-        .agg(F.max(F.struct(*rest)).alias("kept"))
-        .select(*key, *[F.col(f"kept.{c}").alias(c) for c in rest])
-        .select(*filings.columns)
-    )
+    """Keep the row with the highest ``tiebreak`` per firm and date; equal ones are told apart by the other columns.
+
+    Spark cuts each group to its first row in every map task before the shuffle (window group limit), so a
+    repeated key costs one row per task, however often it is repeated.
+    """
+    rest = [c for c in filings.columns if c not in (*key, tiebreak)]
+    best_first = Window.partitionBy(*key).orderBy(*[F.desc(c) for c in (tiebreak, *rest)])
+    return filings.withColumn("nth", F.row_number().over(best_first)).where("nth = 1").drop("nth")
 
 
 def duplicate_filings(filings: DataFrame, tiebreak: str = "filing_key") -> DataFrame:
@@ -39,8 +38,8 @@ def duplicate_filings(filings: DataFrame, tiebreak: str = "filing_key") -> DataF
 
 def with_previous(history: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Add ``prev_<column>`` from the firm's filing just before. Needs one row per firm and date."""
-    w = firm_window()
-    return history.select("*", *[F.lag(c).over(w).alias(f"prev_{c}") for c in columns])
+    w = "(PARTITION BY sec_number ORDER BY filing_date)"
+    return history.selectExpr("*", *[f"LAG({c}) OVER {w} AS prev_{c}" for c in columns])
 
 
 def asof_previous(filings: DataFrame, history: DataFrame, columns: Sequence[str], tiebreak: str = "filing_key") -> DataFrame:

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filingscope import rules
@@ -13,86 +10,74 @@ from filingscope.functions.metrics import category, tier
 from filingscope.schemas import KEY, RISK_SCORE, conform
 
 
-def risk_points(changes: DataFrame) -> DataFrame:
-    """Points of every rule of the change model, one column per rule, and their sum."""
-    points = changes.select(
-        *KEY,
-        *[F.when(F.expr(r.condition), r.points).otherwise(0).alias(r.name) for r in rules.CHANGE_POINTS],
-    )
-    return points.withColumn("score", _total([F.col(r.name) for r in rules.CHANGE_POINTS]))
-
-
-def _total(columns: list[Column]) -> Column:
-    return reduce(add, columns)
+def _points(rule: rules.PointRule) -> str:
+    return f"CASE WHEN {rule.condition} THEN {rule.points} ELSE 0 END"
 
 
-def _flag(condition: Column) -> Column:
-    return F.when(condition, 1).otherwise(0)
+def risk_points(changes: DataFrame) -> DataFrame:
+    """Points of every rule of the change model, one column per rule, and their sum."""
+    points = changes.selectExpr(*KEY, *[f"{_points(r)} AS {r.name}" for r in rules.CHANGE_POINTS])
+    return points.withColumn("score", F.expr(" + ".join(r.name for r in rules.CHANGE_POINTS)))
 
 
-def factors() -> Column:
-    """The explanation kept with each score."""
-    return F.struct(
-        F.coalesce(F.col("raum_drop_pct").cast("double"), F.lit(0.0)).alias("aum_drop_pct"),
-        F.coalesce(F.col("client_drop_pct").cast("double"), F.lit(0.0)).alias("client_drop_pct"),
-        F.coalesce(F.col("acct_drop_pct").cast("double"), F.lit(0.0)).alias("acct_drop_pct"),
-        _flag(F.col("new_disc_flag")).alias("new_disc"),
-        _flag(F.col("cco_changed")).alias("cco_changed"),
-        _flag(F.col("trend_down_flag")).alias("trend_down"),
-        F.coalesce("owner_moves_12m", F.lit(0)).alias("owner_moves_12m"),
-        F.coalesce("adviser_age_years", F.lit(0)).alias("adviser_age_yrs"),
-        _flag(F.col("raum") < rules.SMALL_RAUM).alias("small_raum"),
-    )
+# The explanation kept with each change-model score.
+FACTORS_SQL = f"""NAMED_STRUCT(
+    'aum_drop_pct', COALESCE(CAST(raum_drop_pct AS DOUBLE), 0D),
+    'client_drop_pct', COALESCE(CAST(client_drop_pct AS DOUBLE), 0D),
+    'acct_drop_pct', COALESCE(CAST(acct_drop_pct AS DOUBLE), 0D),
+    'new_disc', INT(COALESCE(new_disc_flag, FALSE)),
+    'cco_changed', INT(COALESCE(cco_changed, FALSE)),
+    'trend_down', INT(COALESCE(trend_down_flag, FALSE)),
+    'owner_moves_12m', COALESCE(owner_moves_12m, 0),
+    'adviser_age_yrs', COALESCE(adviser_age_years, 0),
+    'small_raum', INT(COALESCE(raum < {rules.SMALL_RAUM}, FALSE)))"""
 
 
 def score_changes(changes: DataFrame) -> DataFrame:
     """Score, factors and category of every filing change."""
-    total = _total([F.when(F.expr(r.condition), r.points).otherwise(0) for r in rules.CHANGE_POINTS])
+    total = " + ".join(_points(r) for r in rules.CHANGE_POINTS)
     scored = (
-        changes.where(F.col("sec_number").isNotNull() & F.col("filing_date").isNotNull())
-        .select(*KEY, total.alias("score"), factors().alias("factors"))
-        .withColumn("risk_category", category(F.col("score"), rules.CHANGE_CUTOFFS))
+        changes.where("sec_number IS NOT NULL AND filing_date IS NOT NULL")
+        .selectExpr(*KEY, f"{total} AS score", f"{FACTORS_SQL} AS factors")
+        .withColumn("risk_category", category("score", rules.CHANGE_CUTOFFS))
     )
     return conform(scored, RISK_SCORE)
 
 
+SINGLE_FACTORS = {
+    "disciplinary_risk": f"""CASE WHEN disciplinary_disclosures > 0
+        THEN LEAST({rules.DISCLOSURE_POINTS_CAP}, disciplinary_disclosures * {rules.DISCLOSURE_POINTS_EACH}) END""",
+    "size_factor_risk": f"CASE WHEN raum <> 0 THEN {tier('raum', rules.SIZE_POINTS, rules.SIZE_POINTS_ELSE)} END",
+    "client_concentration_risk": f"""CASE WHEN client_count <> 0 AND raum <> 0
+        THEN {tier('raum / client_count', rules.CONCENTRATION_POINTS)} END""",
+    "filing_compliance_risk": "0",
+    "cco_stability_risk": "0",
+    "aum_volatility_risk": "0",
+}
+
+
 def score_single_filings(history: DataFrame) -> DataFrame:
     """Single-filing model over the filings with assets.
 
     A factor whose input is missing or zero is NULL, and so absent from the factors document. The three
     factors without data behind them stay at 0.
     """
-    disclosures, raum, clients = F.col("disciplinary_disclosures"), F.col("raum"), F.col("client_count")
-    per_client = F.try_divide(raum, clients.cast("decimal(10,0)"))
-    scored = history.where(raum > 0).select(
+    scored = history.where("raum > 0").selectExpr(*KEY, *[f"{sql} AS {n}" for n, sql in SINGLE_FACTORS.items()])
+    return scored.selectExpr(
         *KEY,
-        F.when(
-            disclosures > 0,
-            F.least(F.lit(rules.DISCLOSURE_POINTS_CAP), disclosures * rules.DISCLOSURE_POINTS_EACH),
-        ).alias("disciplinary_risk"),
-        F.when(raum != 0, tier(raum, rules.SIZE_POINTS, rules.SIZE_POINTS_ELSE)).alias("size_factor_risk"),
-        F.when((clients != 0) & (raum != 0), tier(per_client, rules.CONCENTRATION_POINTS)).alias(
-            "client_concentration_risk"
-        ),
-        F.lit(0).alias("filing_compliance_risk"),
-        F.lit(0).alias("cco_stability_risk"),
-        F.lit(0).alias("aum_volatility_risk"),
-    )
-    names = [c for c in scored.columns if c not in KEY]
-    return scored.select(
-        *KEY,
-        _total([F.coalesce(n, F.lit(0)) for n in names]).alias("score"),
-        F.struct(*names).alias("factors"),
-    ).withColumn("risk_category", category(F.col("score"), rules.SINGLE_CUTOFFS))
+        " + ".join(f"COALESCE({n}, 0)" for n in SINGLE_FACTORS) + " AS score",
+        f"STRUCT({', '.join(SINGLE_FACTORS)}) AS factors",
+    ).withColumn("risk_category", category("score", rules.SINGLE_CUTOFFS))
 
 
 def preview_scores(history: DataFrame) -> DataFrame:
     """Ten points per disclosure plus a few for size."""
-    disciplinary = F.coalesce("disciplinary_disclosures", F.lit(0)) * rules.DISCLOSURE_POINTS_EACH
-    size = tier(F.col("raum"), rules.PREVIEW_SIZE_POINTS)
-    return history.where(F.col("sec_number").isNotNull()).select(
-        *KEY,
-        disciplinary.alias("disciplinary_risk"),
-        size.alias("size_risk"),
-        (disciplinary + size).alias("overall_risk"),
+    return (
+        history.where("sec_number IS NOT NULL")
+        .selectExpr(
+            *KEY,
+            f"COALESCE(disciplinary_disclosures, 0) * {rules.DISCLOSURE_POINTS_EACH} AS disciplinary_risk",
+            f"{tier('raum', rules.PREVIEW_SIZE_POINTS)} AS size_risk",
+        )
+        .withColumn("overall_risk", F.expr("disciplinary_risk + size_risk"))
     )

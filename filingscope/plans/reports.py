@@ -48,7 +48,7 @@ def risk_statistics_latest(scores: DataFrame) -> DataFrame:
             _share_of_total("firm_count").alias("percentage"),
             ratio(F.col("score_sum"), F.col("firm_count")).alias("avg_score"),
         )
-        .orderBy(severity(F.col("risk_category")))
+        .orderBy(severity())
     )
 
 
@@ -63,7 +63,7 @@ def risk_stats_latest(scores: DataFrame) -> DataFrame:
             "min_score",
             "max_score",
         )
-        .orderBy(severity(F.col("risk_category")))
+        .orderBy(severity())
     )
 
 
@@ -76,7 +76,7 @@ def risk_statistics_all_dates(scores: DataFrame) -> DataFrame:
             ratio(F.sum("score"), F.count("*")).alias("avg_score"),
         )
         .select("risk_category", "firm_count", _share_of_total("firm_count").alias("percentage"), "avg_score")
-        .orderBy(severity(F.col("risk_category")))
+        .orderBy(severity())
     )
 
 
@@ -120,7 +120,7 @@ def dashboard_summary(scores: DataFrame, filings: DataFrame, days: int = 30, as_
         .where("is_total = 0")
         .drop("is_total")
         .withColumn("recent_filings", recent)
-        .orderBy(severity(F.col("risk_category")))
+        .orderBy(severity())
     )
 
 
@@ -206,7 +206,7 @@ def risk_run_summary(scores: DataFrame) -> DataFrame:
         )
         .where("filing_date = latest_date")
         .drop("filing_date")
-        .orderBy(severity(F.col("risk_category")))
+        .orderBy(severity())
     )
 
 

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 KEY = ["sec_number", "filing_date"]
@@ -107,12 +106,13 @@ RUN_LOG = T.StructType(
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project ``df`` to ``schema``: cast what is there, NULL for what is not."""
     present = set(df.columns)
-
-    def pick(field: T.StructField) -> Column:
-        source = F.col(f"`{field.name}`") if field.name in present else F.lit(None)
-        return source.cast(field.dataType).alias(field.name)
-
-    return df.select(*[pick(field) for field in schema])
+    return df.selectExpr(
+        *[
+            f"CAST({f'`{field.name}`' if field.name in present else 'NULL'} AS {field.dataType.simpleString()})"
+            f" AS `{field.name}`"
+            for field in schema
+        ]
+    )
 
 
 def describe_columns(df: DataFrame, containing: str | None = None) -> DataFrame:

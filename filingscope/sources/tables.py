@@ -23,33 +23,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _sec_number(custkey: str):
-    return F.format_string("801-%06d", F.col(custkey))
+def _sec_number(custkey: str) -> str:
+    digits = f"STRING({custkey})"
+    return f"CONCAT('801-', CASE WHEN LENGTH({digits}) < 6 THEN LPAD({digits}, 6, '0') ELSE {digits} END)"
+
+
+# Price times 100, 1000, 10000 or 100000 by firm: whole dollars, so integers until the last cast.
+RAUM_SQL = """CAST(CASE WHEN o_orderkey % 97 = 0 THEN NULL WHEN o_orderkey % 89 = 0 THEN 0
+    ELSE BIGINT(ROUND(o_totalprice * 100)) * CASE o_custkey % 4 WHEN 0 THEN 1 WHEN 1 THEN 10 WHEN 2 THEN 100 ELSE 1000 END
+    END AS DECIMAL(20,2))"""
 
 
 def _order_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, firm = F.col("o_orderkey"), F.col("o_custkey")
-    scale = F.element_at(F.array(*[F.lit(f) for f in (100, 1000, 10000, 100000)]), (firm % 4 + 1).cast("int"))
-    assets = (F.col("o_totalprice").cast("decimal(15,2)") * scale).cast("decimal(20,2)")
-    return table(spark, sf_dir, "orders").select(
-        _sec_number("o_custkey").alias("sec_number"),
-        firm.cast("string").alias("crd_number"),
-        F.col("o_orderdate").cast("date").alias("filing_date"),
-        key.alias("filing_key"),
-        F.when(key % 97 == 0, None).when(key % 89 == 0, F.lit(0).cast("decimal(20,2)")).otherwise(assets).alias("raum"),
-        F.col("o_orderpriority").alias("cco_name"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        f"{_sec_number('o_custkey')} AS sec_number",
+        "STRING(o_custkey) AS crd_number",
+        "DATE(o_orderdate) AS filing_date",
+        "o_orderkey AS filing_key",
+        f"{RAUM_SQL} AS raum",
+        "o_orderpriority AS cco_name",
     )
 
 
 def _line_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    disclosed = (F.col("l_returnflag") == "R") & (F.col("l_discount") >= 0.08)
     return (
         table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("filing_key"))
+        .withColumnRenamed("l_orderkey", "filing_key")
+        .groupBy("filing_key")
         .agg(
-            F.count("*").cast("int").alias("client_count"),
-            F.sum("l_quantity").cast("int").alias("account_count"),
-            F.count_if(disclosed).cast("int").alias("disciplinary_disclosures"),
+            F.expr("INT(COUNT(*)) AS client_count"),
+            F.expr("INT(SUM(l_quantity)) AS account_count"),
+            F.expr("INT(COUNT_IF(l_returnflag = 'R' AND l_discount >= 0.08D)) AS disciplinary_disclosures"),
         )
     )
 
@@ -62,12 +66,12 @@ def firm_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "customer")
         .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .select(
-            _sec_number("c_custkey").alias("sec_number"),
-            F.col("c_name").alias("firm_name"),
-            F.col("c_mktsegment").alias("firm_type"),
-            F.col("r_name").alias("sec_region"),
-            F.col("n_name").alias("main_office_country"),
+        .selectExpr(
+            f"{_sec_number('c_custkey')} AS sec_number",
+            "c_name AS firm_name",
+            "c_mktsegment AS firm_type",
+            "r_name AS sec_region",
+            "n_name AS main_office_country",
         )
     )
 

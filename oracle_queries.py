@@ -326,6 +326,11 @@ def _grouped(value: str) -> str:
     return f"format('{{:,}}', CAST({value} AS BIGINT))"
 
 
+def _in_units(unit: int, suffix: str) -> str:
+    tenths = f"((CAST(raum AS HUGEINT) * 20 + {unit}) // {2 * unit})"
+    return f"'$' || ({tenths} // 10) || '.' || ({tenths} % 10) || '{suffix}'"
+
+
 _PROFILED = (
     ("sec_number", "string"), ("crd_number", "string"), ("filing_date", "date"), ("filing_key", "bigint"),
     ("raum", "decimal(20,2)"), ("cco_name", "string"), ("client_count", "int"), ("account_count", "int"),
@@ -558,12 +563,11 @@ ORACLES: dict[str, str] = {
         AS DATE) AS short_date FROM filings), names AS ({_NAME_FORMS})
       SELECT file_name, CAST(d AS VARCHAR) AS file_date, CAST(y AS INTEGER) AS archive_year FROM names""",
     "money_format": f"""WITH {FILINGS} SELECT sec_number, day AS filing_date,
-        CASE WHEN raum IS NULL THEN 'N/A' WHEN raum >= 1e12 THEN printf('$%.1fT', CAST(raum AS DOUBLE) / 1e12)
-          WHEN raum >= 1e9 THEN printf('$%.1fB', CAST(raum AS DOUBLE) / 1e9)
-          WHEN raum >= 1e6 THEN printf('$%.1fM', CAST(raum AS DOUBLE) / 1e6)
+        CASE WHEN raum IS NULL THEN 'N/A' WHEN raum >= 1e12 THEN {_in_units(10**12, 'T')}
+          WHEN raum >= 1e9 THEN {_in_units(10**9, 'B')} WHEN raum >= 1e6 THEN {_in_units(10**6, 'M')}
           ELSE '$' || {_grouped('raum')} END AS label,
-        CASE WHEN raum IS NULL THEN 'N/A' WHEN raum >= 1e6 THEN printf('$%.1fM', CAST(raum AS DOUBLE) / 1e6)
-          ELSE printf('$%.0fK', CAST(raum AS DOUBLE) / 1e3) END AS short_label,
+        CASE WHEN raum IS NULL THEN 'N/A' WHEN raum >= 1e6 THEN {_in_units(10**6, 'M')}
+          ELSE '$' || ((CAST(raum AS HUGEINT) * 2 + 1000) // 2000) || 'K' END AS short_label,
         CASE WHEN raum IS NULL OR raum = 0 THEN 'N/A' ELSE '$' || {_grouped('raum')} END AS grouped
       FROM filings""",
     "page_links": r"""WITH anchors AS (
