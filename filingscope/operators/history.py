@@ -24,9 +24,13 @@ def dedupe_filings(filings: DataFrame, tiebreak: str = "filing_key", key: Sequen
     Spark cuts each group to its first row in every map task before the shuffle (window group limit), so a
     repeated key costs one row per task, however often it is repeated.
     """
-    rest = [c for c in filings.columns if c not in (*key, tiebreak)]
-    best_first = Window.partitionBy(*key).orderBy(*[F.desc(c) for c in (tiebreak, *rest)])
-    return filings.withColumn("nth", F.row_number().over(best_first)).where("nth = 1").drop("nth")
+    return dedupe_by(filings, key, [tiebreak, *[c for c in filings.columns if c not in (*key, tiebreak)]])
+
+
+def dedupe_by(df: DataFrame, key: Sequence[str], descending: Sequence[str]) -> DataFrame:
+    """The first row per key in descending order of the given columns."""
+    best_first = Window.partitionBy(*key).orderBy(*[F.desc(c) for c in descending])
+    return df.withColumn("nth", F.row_number().over(best_first)).where("nth = 1").drop("nth")
 
 
 def duplicate_filings(filings: DataFrame, tiebreak: str = "filing_key") -> DataFrame:
@@ -62,15 +66,12 @@ def asof_previous(filings: DataFrame, history: DataFrame, columns: Sequence[str]
 
 
 def latest_per_firm(filings: DataFrame, tiebreak: str | None = None, firm: str = "sec_number") -> DataFrame:
-    """Each firm's newest filing; ``tiebreak`` decides between filings of the same date."""
+    """Each firm's newest filing; ``tiebreak``, then the other columns decide between filings of one date.
+
+    As in :func:`dedupe_filings`, each map task keeps one row per firm before the shuffle.
+    """
     lead = ["filing_date", *([tiebreak] if tiebreak else [])]
-    rest = lead + [c for c in filings.columns if c not in (firm, *lead)]
-    return (
-        filings.groupBy(firm)
-        .agg(F.max(F.struct(*rest)).alias("latest"))
-        .select(firm, *[F.col(f"latest.{c}").alias(c) for c in rest])
-        .select(*filings.columns)
-    )
+    return dedupe_by(filings, [firm], [*lead, *[c for c in filings.columns if c not in (firm, *lead)]])
 
 
 def latest_per_firm_ties(filings: DataFrame, firm: str = "sec_number") -> DataFrame:

@@ -141,13 +141,17 @@ def category_distribution(scores: DataFrame) -> DataFrame:
 
 
 def category_cards(scores: DataFrame) -> DataFrame:
-    """Distinct firms: in total and per category, as one row of columns."""
-    in_category = [
-        F.countDistinct(F.when(F.col("risk_category") == name, F.col("sec_number"))) for name in rules.CATEGORIES
-    ]
-    return scores.agg(
-        F.countDistinct("sec_number").alias("total_firms"),
-        *[n.alias(f"{name.lower()}_firms") for name, n in zip(rules.CATEGORIES, in_category)],
+    """Distinct firms: in total and per category, as one row of columns.
+
+    One row of flags per firm, then sums: scores come partitioned by firm, so this needs no further shuffle,
+    where a distinct count per category would multiply the rows.
+    """
+    per_firm = scores.groupBy("sec_number").agg(
+        *[F.expr(f"INT(BOOL_OR(risk_category = '{name}'))").alias(name) for name in rules.CATEGORIES]
+    )
+    return per_firm.agg(
+        F.count("*").alias("total_firms"),
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(f"{name.lower()}_firms") for name in rules.CATEGORIES],
     )
 
 
@@ -171,10 +175,13 @@ def overview_stats(filings: DataFrame, change_scores: DataFrame, weighted: DataF
     severe alerts, and the category distribution on the newest date."""
     recent = F.col("filing_date") >= F.date_sub(latest_date(filings), days)
     newest = filings.groupBy("filing_date").agg(F.sum("raum").alias("raum"))
-    firms = filings.agg(
-        F.countDistinct("crd").alias("total_firms"),
-        F.countDistinct(F.when(recent, F.col("crd"))).alias("firms_with_recent_activity"),
-        F.countDistinct(F.when(recent & (F.col("disclosure_flag") == "Y"), F.col("crd"))).alias("new_disclosures"),
+    per_firm = filings.groupBy("crd").agg(
+        F.bool_or(recent).alias("recent"), F.bool_or(recent & (F.col("disclosure_flag") == "Y")).alias("disclosed")
+    )
+    firms = per_firm.agg(
+        F.count("*").alias("total_firms"),
+        F.count_if("recent").alias("firms_with_recent_activity"),
+        F.count_if("disclosed").alias("new_disclosures"),
     )
     assets = newest.agg(F.coalesce(F.max_by("raum", "filing_date"), F.lit(0)).alias("total_aum"))
     alerts = weighted.agg(F.count_if(F.col("risk_category").isin("Critical", "High")).alias("high_severity_alerts"))
