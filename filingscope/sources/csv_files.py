@@ -120,6 +120,7 @@ def read_layout(spark: SparkSession, layout: Layout, paths: Sequence[str]) -> tu
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("columnPruning", "false")  # with pruning, the parser no longer sees how long a row is
         .csv(list(paths))
         .select("*", F.col("_metadata.file_path").alias("path"))
     )

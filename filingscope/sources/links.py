@@ -30,7 +30,8 @@ def page_links(pages: DataFrame) -> DataFrame:
 def absolute_url(page_url: Column, href: Column) -> Column:
     """``href`` itself if it is absolute, else below the page's host."""
     origin = F.regexp_extract(page_url, r"^([a-zA-Z]+://[^/]+)", 1)
-    return F.when(href.startswith("http"), href).otherwise(F.concat(origin, href))
+    below = F.when(href.startswith("/"), href).otherwise(F.concat(F.lit("/"), href))
+    return F.when(href.startswith("http"), href).otherwise(F.concat(origin, below))
 
 
 def archive_links(pages: DataFrame, first_year: int = 2020, exclude: str = "exempt") -> DataFrame:
