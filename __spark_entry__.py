@@ -19,6 +19,7 @@ from filingscope.operators import factors as fac  # noqa: E402
 from filingscope.operators import history as hist  # noqa: E402
 from filingscope.operators import points as pts  # noqa: E402
 from filingscope.plans import firms, reports  # noqa: E402
+from filingscope.plans.scoring import register_views, score_filings  # noqa: E402
 from filingscope.schemas import FILING, KEY, WEIGHTED_SCORE, conform  # noqa: E402
 from filingscope.session import shared_dir  # noqa: E402
 from filingscope.sinks import tables as sinks  # noqa: E402
@@ -62,7 +63,7 @@ def change_rows(spark: SparkSession, sf: str, mode: str = "fractional") -> DataF
 
 
 def scores(spark: SparkSession, sf: str, mode: str = "fractional") -> DataFrame:
-    return pts.score_changes(change_rows(spark, sf, mode))
+    return score_filings(filings(spark, sf, CHANGE_COLUMNS), mode)
 
 
 def flat_scores(df: DataFrame) -> DataFrame:
@@ -219,6 +220,16 @@ def _incremental(spark: SparkSession, sf: str) -> DataFrame:
     return flat_scores(incremental.current_scores(spark, f"{folder}/store"))
 
 
+def _views(spark: SparkSession, sf: str) -> DataFrame:
+    register_views(filings(spark, sf, (*CHANGE_COLUMNS, "firm_name")), scores(spark, sf))
+    return spark.sql(
+        """SELECT t.risk_category, t.firm_count, s.min_score, s.max_score,
+        (SELECT total_firms FROM dashboard_stats) AS total_firms,
+        (SELECT total_filings FROM dashboard_stats) AS total_filings
+        FROM risk_statistics t JOIN risk_stats s ON s.risk_category = t.risk_category"""
+    )
+
+
 def _firm_page(spark: SparkSession, sf: str, **search) -> DataFrame:
     page = {k: search.pop(k) for k in ("sort_by", "descending", "page", "page_size") if k in search}
     found = firms.search_firms(model_input(spark, sf), weighted(spark, sf), **search)
@@ -269,6 +280,9 @@ def queries() -> dict[str, Query]:
         # filing profiles
         "dashboard_stats": lambda s, d: rounded(reports.dashboard_stats(filings(s, d, (*KEY, "raum"))), "avg_raum"),
         "filing_census": lambda s, d: reports.filing_census(filings(s, d, KEY)),
+        "asset_filing_census": lambda s, d: reports.filing_census(filings(s, d, (*KEY, "raum")).where("raum > 0")),
+        "filing_sample": lambda s, d: reports.top_filings(filings(s, d, PROFILE), [], PROFILE, 10),
+        "standing_views": _views,
         "recent_filings": lambda s, d: reports.recent_filings(filings(s, d, KEY)),
         "raum_counts": lambda s, d: reports.raum_counts(filings(s, d, (*KEY, "raum", "disciplinary_disclosures"))),
         "raum_status_breakdown": lambda s, d: reports.raum_status_breakdown(
@@ -387,6 +401,13 @@ def queries() -> dict[str, Query]:
             derive.listing_pages(filings(s, d, KEY)), first_year=1998
         ),
         "normalize_raw": lambda s, d: _typed(_normalized(s, d)),
+        "normalize_raw_counts": lambda s, d: _typed(
+            normalize.normalize(
+                form(s, d, disclosure_counts=True),
+                source_file=derive.monthly_name(F.col("filed")),
+                disclosure_variant="counts",
+            )
+        ),
         "load_report": lambda s, d: normalize.load_report(_normalized(s, d)),
         "load_totals": lambda s, d: normalize.load_totals(normalize.load_report(_normalized(s, d))),
         "csv_ingest": _csv_files,

@@ -46,8 +46,8 @@ def form_rows(filings: DataFrame, disclosure_counts: bool = False, blank_keys: b
         FILING_DATE_HEADER: F.date_format("filing_date", FORM_DATE),
     }
     if disclosure_counts:
-        values["Count of 11A(1)"] = F.least(listed, F.lit(1)).cast("string")
-        values["Count of 11H(2)"] = (listed - F.least(listed, F.lit(1))).cast("string")
+        values["11A(1) Count"] = F.least(listed, F.lit(1)).cast("string")
+        values["11H(2) Count"] = (listed - F.least(listed, F.lit(1))).cast("string")
     else:
         values["11"] = F.when(listed > 0, "Y").otherwise("N")
     return filings.select(*[c.alias(name) for name, c in values.items()], F.col("filing_date").alias("filed"))

@@ -62,10 +62,11 @@ def stored_filings(spark: SparkSession, store: str) -> DataFrame:
     return spark.read.schema(STORED_FILING).parquet(f"{store}/filings")
 
 
-def current_filings(spark: SparkSession, store: str, upto: int | None = None) -> DataFrame:
-    """One row per firm and date; a later batch corrects an earlier one."""
+def current_filings(spark: SparkSession, store: str, upto: int | None = None, firms: DataFrame | None = None) -> DataFrame:
+    """One row per firm and date; a later batch corrects an earlier one. ``firms`` limits the firms first."""
     rows = stored_filings(spark, store)
     rows = rows if upto is None else rows.where(F.col("batch_id") <= upto)
+    rows = rows if firms is None else rows.join(firms, "sec_number", "left_semi")
     ranked = rows.withColumn("arrival", F.struct("batch_id", "source_file"))
     return dedupe_filings(ranked, "arrival").drop("arrival", "batch_id", "source_file")
 
@@ -84,7 +85,7 @@ def load_batch(spark: SparkSession, store: str, filings: DataFrame, batch_id: in
     """
     _write_batch(filings.select(*[f.name for f in FILING], "source_file"), f"{store}/filings", batch_id)
     touched = stored_filings(spark, store).where(F.col("batch_id") == batch_id).select("sec_number").distinct()
-    history = current_filings(spark, store, upto=batch_id).join(touched, "sec_number", "left_semi")
+    history = current_filings(spark, store, batch_id, touched)
     _write_batch(score_changes(filing_changes(history)), f"{store}/scores", batch_id)
 
 

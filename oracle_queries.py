@@ -406,6 +406,16 @@ ORACLES: dict[str, str] = {
       count(DISTINCT filing_date) AS unique_dates, min(day) AS first_date, max(day) AS last_date,
       count(*) FILTER (WHERE sec_number IS NULL) AS null_sec_numbers,
       count(*) FILTER (WHERE filing_date IS NULL) AS null_filing_dates FROM filings""",
+    "asset_filing_census": f"""WITH {FILINGS} SELECT count(*) AS total_filings, count(DISTINCT sec_number) AS unique_firms,
+      count(DISTINCT filing_date) AS unique_dates, min(day) AS first_date, max(day) AS last_date,
+      count(*) FILTER (WHERE sec_number IS NULL) AS null_sec_numbers,
+      count(*) FILTER (WHERE filing_date IS NULL) AS null_filing_dates FROM filings WHERE raum > 0""",
+    "filing_sample": f"""WITH {FILINGS} SELECT sec_number, day AS filing_date, firm_name, CAST(raum AS DOUBLE) AS raum,
+      client_count, account_count FROM filings ORDER BY sec_number, filings.filing_date LIMIT 10""",
+    "standing_views": f"""WITH {SCORES} SELECT risk_category, count(*) AS firm_count, min(score) AS min_score,
+        max(score) AS max_score, (SELECT count(DISTINCT sec_number) FROM filings) AS total_firms,
+        (SELECT count(*) FROM filings) AS total_filings
+      FROM scores WHERE filing_date = (SELECT max(filing_date) FROM scores) GROUP BY risk_category""",
     "recent_filings": f"""WITH {FILINGS} SELECT count(*) AS recent_filings FROM filings
       WHERE filing_date >= (SELECT max(filing_date) FROM filings) - 30""",
     "raum_counts": f"""WITH {FILINGS} SELECT count(*) AS total_firms, count(*) FILTER (WHERE raum > 0) AS firms_with_raum,
@@ -586,6 +596,7 @@ ORACLES: dict[str, str] = {
         'Registered ' || t AS label, 'https://data.example.org/files/ia' || t || '.zip' AS link,
         CAST(year(d) AS INTEGER) AS year FROM placed WHERE year(d) >= 1998""",
     "normalize_raw": _normalized(),
+    "normalize_raw_counts": _normalized(disclosures="disciplinary_disclosures"),
     "load_report": f"""WITH {FILINGS} SELECT 'ia' || strftime(filing_date, '%m%d%Y') || '.csv' AS source_file,
         count(raum) AS rows_loaded, count(*) - count(raum) AS rows_rejected, count(raum) > 0 AS success,
         CASE WHEN count(raum) > 0 THEN 'Success' ELSE 'No valid records' END AS message FROM filings GROUP BY filing_date""",
