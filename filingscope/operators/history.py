@@ -80,6 +80,20 @@ def latest_per_firm_ties(filings: DataFrame, firm: str = "sec_number") -> DataFr
     return filings.join(newest, [firm, "filing_date"])
 
 
+BROADCAST_ROWS = 10_000
+
+
+def only_keys(filings: DataFrame, few: DataFrame, limit: int) -> DataFrame:
+    """The filings whose key is among ``few`` (at most ``limit`` rows).
+
+    A short list is broadcast, so the filings are filtered where they are read instead of being shuffled
+    for a join with a handful of rows. A long one is left to the join that follows.
+    """
+    if limit > BROADCAST_ROWS:
+        return filings
+    return filings.join(F.broadcast(few.select(*KEY)), KEY, "left_semi")
+
+
 def latest_date(filings: DataFrame) -> Column:
     """The newest date in the data, as a scalar subquery."""
     return filings.agg(F.max("filing_date")).scalar()

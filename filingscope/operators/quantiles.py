@@ -2,7 +2,8 @@
 
 ``percentile`` keeps every distinct value in one aggregation buffer, which cannot hold a column of billions
 of distinct amounts. Here the wanted ranks are narrowed down in three counting passes. Buckets are monotone in
-the value, so ranks follow from running counts over the buckets:
+the value, so ranks follow from running counts over the buckets. Equal values are counted together first; that
+shuffle of (value, count) is the only one of the whole column, and the three passes share it:
 
 1. coarse: 1024 buckets per power of two (a bounded number, whatever the row count);
 2. fine: each coarse bucket that holds a wanted rank, cut into 2**18 equal steps between its own ends;
@@ -30,19 +31,17 @@ _OCTAVES = 1100  # more than the binary exponents of a double, so that bucket nu
 def exact_percentiles(df: DataFrame, column: str, probabilities: Mapping[str, float]) -> DataFrame:
     """One row with a linearly interpolated percentile per name; NULLs are ignored."""
     values = df.select(F.col(column).cast("double").alias("v")).where("v IS NOT NULL")
-    values = values.withColumn("coarse", _coarse_bucket(F.col("v")))
+    counts = values.groupBy("v").agg(F.count("*").alias("n")).withColumn("coarse", _coarse_bucket(F.col("v")))
 
-    coarse = values.groupBy("coarse").agg(
-        F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
-    )
+    coarse = counts.groupBy("coarse").agg(F.sum("n").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
     whole = Window.orderBy("coarse").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     coarse = coarse.select(
         "coarse", "low", "high", (F.sum("n").over(whole) - F.col("n")).alias("start"), F.col("n"),
         F.sum("n").over(Window.partitionBy()).alias("total"),
     ).where(_holds_wanted_rank(probabilities))  # at most two buckets per probability: safe to broadcast
 
-    fine = values.join(F.broadcast(coarse.drop("n")), "coarse").withColumn("fine", _fine_bucket())
-    steps = fine.groupBy("coarse", "start", "total", "fine").agg(F.count("*").alias("n"))
+    fine = counts.join(F.broadcast(coarse.drop("n")), "coarse").withColumn("fine", _fine_bucket())
+    steps = fine.groupBy("coarse", "start", "total", "fine").agg(F.sum("n").alias("n"))
     steps = steps.withColumn("start", F.col("start") + _running_before("fine", "coarse")).where(
         _holds_wanted_rank(probabilities)
     )
@@ -50,19 +49,20 @@ def exact_percentiles(df: DataFrame, column: str, probabilities: Mapping[str, fl
     hits = fine.drop("start", "total").join(
         F.broadcast(steps.select("coarse", "fine", "start", "total")), ["coarse", "fine"]
     )
-    ranked = hits.groupBy("coarse", "fine", "start", "total", "v").agg(F.count("*").alias("n"))
-    ranked = ranked.withColumn("start", F.col("start") + _running_before("v", "coarse", "fine"))
+    ranked = hits.withColumn("start", F.col("start") + _running_before("v", "coarse", "fine"))
     return ranked.agg(*[_interpolated(p).alias(name) for name, p in probabilities.items()])
 
 
 def _coarse_bucket(v: Column) -> Column:
+    """Never NULL, also in Spark's eyes: a join on it then adds no filter below the counts, whose shuffle the
+    three passes can only share if it is the same for all."""
     magnitude = F.floor(F.log2(F.abs(v)) * COARSE_PER_OCTAVE) + _OCTAVES * COARSE_PER_OCTAVE
-    return F.when(v > 0, magnitude).when(v < 0, -magnitude).otherwise(F.lit(0).cast("long"))
+    return F.coalesce(F.when(v > 0, magnitude).when(v < 0, -magnitude), F.lit(0).cast("long"))
 
 
 def _fine_bucket() -> Column:
     v, low, high = F.col("v"), F.col("low"), F.col("high")
-    return F.when(high > low, F.floor((v - low) / (high - low) * FINE_STEPS)).otherwise(F.lit(0).cast("long"))
+    return F.coalesce(F.when(high > low, F.floor((v - low) / (high - low) * FINE_STEPS)), F.lit(0).cast("long"))
 
 
 def _running_before(order: str, *group: str) -> Column:

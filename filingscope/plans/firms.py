@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from filingscope import rules
 from filingscope.functions.text import contains_text
-from filingscope.operators.history import latest_per_firm, latest_per_firm_ties
+from filingscope.operators.history import latest_per_firm, latest_per_firm_ties, only_keys
 from filingscope.schemas import KEY
 
 SORTABLE = ("crd", "aum", "overall_risk_score", "risk_category")
@@ -42,7 +42,7 @@ def _named(scores: DataFrame, filings: DataFrame, limit: int) -> DataFrame:
     order = [F.desc("score"), F.desc("filing_date"), F.col("sec_number")]
     top = scores.orderBy(*order).limit(limit)
     return (
-        top.join(filings.select(*KEY, "firm_name"), KEY, "left")
+        top.join(only_keys(filings.select(*KEY, "firm_name"), top, limit), KEY, "left")
         .withColumn("firm_name", F.coalesce("firm_name", F.lit("Unknown")))
         .orderBy(*order)
     )

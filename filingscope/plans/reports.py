@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from filingscope import rules
 from filingscope.functions.metrics import percent, ratio, severity
 from filingscope.operators.factors import mentions, parse_factors
-from filingscope.operators.history import latest_date, latest_per_firm, since
+from filingscope.operators.history import latest_date, latest_per_firm, only_keys, since
 from filingscope.operators.quantiles import exact_percentiles
 from filingscope.schemas import KEY
 
@@ -97,29 +97,32 @@ def category_summary(scores: DataFrame, score: str = "score") -> DataFrame:
 def dashboard_summary(scores: DataFrame, filings: DataFrame, days: int = 30, as_of: Column | None = None) -> DataFrame:
     """Category statistics with the number of firms and of recent filings beside them.
 
-    Firms per category and in total come from one grouping-sets pass.
+    Each firm is summed up first, where its scores already are; firms per category and in total then come
+    from the same pass.
     """
-    counted = scores.rollup("risk_category").agg(
-        F.grouping("risk_category").alias("is_total"),
-        F.countDistinct("sec_number").alias("firm_count"),
-        ratio(F.sum("score"), F.count("*")).alias("avg_score"),
-    )
-    everything = Window.partitionBy()
-    total_firms = F.max(F.when(F.col("is_total") == 1, F.col("firm_count"))).over(everything)
-    in_categories = F.sum(F.when(F.col("is_total") == 0, F.col("firm_count"))).over(everything)
-    recent = recent_filings(filings, days, as_of).scalar()
+    names = rules.CATEGORIES
+    per_firm = scores.groupBy("sec_number").agg(
+        *[F.expr(f"COUNT_IF(risk_category = '{name}') AS n_{name}") for name in names],
+        *[F.expr(f"SUM(CASE WHEN risk_category = '{name}' THEN score END) AS s_{name}") for name in names],
+    )
+    totals = per_firm.agg(
+        F.expr("COUNT(*) AS total_firms"),
+        *[F.expr(f"COUNT_IF(n_{name} > 0) AS f_{name}") for name in names],
+        *[F.expr(f"SUM(n_{name}) AS n_{name}") for name in names],
+        *[F.expr(f"SUM(s_{name}) AS s_{name}") for name in names],
+    )
+    rows = ", ".join(f"'{name}', f_{name}, n_{name}, s_{name}" for name in names)
     return (
-        counted.select(
-            "is_total",
+        totals.selectExpr("total_firms", f"STACK({len(names)}, {rows}) AS (risk_category, firm_count, n, score_sum)")
+        .where("firm_count > 0")
+        .select(
             "risk_category",
             "firm_count",
-            percent(F.col("firm_count"), in_categories).alias("percentage"),
-            "avg_score",
-            total_firms.alias("total_firms"),
+            _share_of_total("firm_count").alias("percentage"),
+            ratio(F.col("score_sum"), F.col("n")).alias("avg_score"),
+            "total_firms",
         )
-        .where("is_total = 0")
-        .drop("is_total")
-        .withColumn("recent_filings", recent)
+        .withColumn("recent_filings", recent_filings(filings, days, as_of).scalar())
         .orderBy(severity())
     )
 
@@ -247,7 +250,17 @@ def filing_census(filings: DataFrame) -> DataFrame:
 
 
 def recent_filings(filings: DataFrame, days: int = 30, as_of: Column | None = None) -> DataFrame:
-    return since(filings, days, as_of).agg(F.count("*").alias("recent_filings"))
+    """Number of filings in the ``days`` before ``as_of`` (default: the newest date in the data).
+
+    One pass: the filings shrink to a count per date before the newest date is needed.
+    """
+    per_date = filings.groupBy("filing_date").agg(F.count("*").alias("n"))
+    anchor = F.max("filing_date").over(Window.partitionBy()) if as_of is None else as_of
+    return (
+        per_date.withColumn("anchor", anchor)
+        .where(F.col("filing_date") >= F.date_sub("anchor", days))
+        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("recent_filings"))
+    )
 
 
 def raum_counts(filings: DataFrame) -> DataFrame:
@@ -436,7 +449,7 @@ def coverage_gap(filings: DataFrame, documents: DataFrame, factor: str = "discip
 def top_with_factors(scores: DataFrame, filings: DataFrame, limit: int = 10) -> DataFrame:
     """Highest scores with firm data and one row per factor of the parsed document."""
     top = scores.select(*KEY, "score", "risk_category", "factors_json").orderBy(F.desc("score"), *KEY).limit(limit)
-    return top.join(filings, KEY, "left").select(
+    return top.join(only_keys(filings, top, limit), KEY, "left").select(
         *KEY,
         F.coalesce("firm_name", F.lit("Unknown")).alias("firm_name"),
         "score",
