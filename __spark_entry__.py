@@ -193,8 +193,7 @@ def _csv_files(spark: SparkSession, sf: str) -> DataFrame:
 
 def _archive_rows(spark: SparkSession, sf: str) -> DataFrame:
     members = archives.zip_entries(derive.archives(form(spark, sf)))
-    rows = archives.member_rows(members)
-    return _typed(normalize.normalize(rows, normalize.MapColumn("fields"), F.col("source_file")))
+    return _typed(archives.normalize_rows(archives.member_rows(members)))
 
 
 def _archive_census(spark: SparkSession, sf: str) -> DataFrame:
@@ -204,7 +203,7 @@ def _archive_census(spark: SparkSession, sf: str) -> DataFrame:
 
 def _workbook_rows(spark: SparkSession, sf: str) -> DataFrame:
     rows = archives.workbook_rows(derive.workbooks(form(spark, sf)))
-    return _typed(normalize.normalize(rows, normalize.MapColumn("fields"), F.col("source_file"), dates="column"))
+    return _typed(archives.normalize_rows(rows, dates="column"))
 
 
 def _incremental(spark: SparkSession, sf: str) -> DataFrame:

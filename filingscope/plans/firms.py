@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -101,13 +101,14 @@ def firm_details(filings: DataFrame, weighted: DataFrame, crd: int | None = None
     return _with_model(latest, weighted)
 
 
-def _with_model(latest: DataFrame, weighted: DataFrame) -> DataFrame:
+def _with_model(latest: DataFrame, weighted: DataFrame, *extra: str) -> DataFrame:
     return latest.join(weighted.select("crd", *MODEL_COLUMNS), "crd", "left").select(
         "crd",
         F.col("raum").alias("aum"),
         "total_clients",
         "total_accounts",
         F.col("filing_date").alias("last_filing_date"),
+        *extra,
         *MODEL_COLUMNS,
     )
 
@@ -120,18 +121,22 @@ def search_firms(
     min_aum: float | None = None,
     max_aum: float | None = None,
 ) -> DataFrame:
-    """Firms at their newest filing (all of them if several share the date) with their model score."""
+    """Firms at their newest filing (all of them if several share the date) with their model score.
+
+    ``search`` looks into the firm id and, where the filings have one, the firm name.
+    """
+    name = [c for c in ("firm_name",) if c in filings.columns]
     conditions = _in_category(category)
     if search:
-        conditions.append(contains_text(F.col("crd"), search))
+        conditions.append(reduce(or_, [contains_text(F.col(c), search) for c in ("crd", *name)]))
     if min_aum is not None:
         conditions.append(F.col("aum") >= min_aum)
     if max_aum is not None:
         conditions.append(F.col("aum") <= max_aum)
     newest = latest_per_firm_ties(
-        filings.select("crd", "filing_date", "raum", "total_clients", "total_accounts"), firm="crd"
+        filings.select("crd", "filing_date", "raum", "total_clients", "total_accounts", *name), firm="crd"
     )
-    return _with_model(newest, weighted).where(all_of(conditions))
+    return _with_model(newest, weighted, *name).where(all_of(conditions))
 
 
 def firm_page(firms: DataFrame, sort_by: str = "crd", descending: bool = False, page: int = 1, page_size: int = 20) -> DataFrame:

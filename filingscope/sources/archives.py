@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filingscope.rules import DATA_EXTENSIONS
-from filingscope.sources.csv_files import base_name
+from filingscope.sources.csv_files import base_name, loadable
+from filingscope.sources.normalize import MapColumn, normalize
 
 MEMBER_SCHEMA = "archive string, entry string, member string, content binary, error string"
 ROW_SCHEMA = "source_file string, row_number long, fields map<string,string>, error string"
@@ -211,3 +212,25 @@ def file_types(files: DataFrame) -> DataFrame:
         F.when(name.endswith(".xlsx") | name.endswith(".xls"), "workbook").when(name.endswith(".csv"), "csv").otherwise("other")
     )
     return files.groupBy(kind.alias("kind")).agg(F.count("*").alias("files"))
+
+
+def normalize_rows(rows: DataFrame, dates: str = "file_name", disclosure_variant: str = "flag_or_counts") -> DataFrame:
+    """Rows of archive members or workbooks as normalised rows; unreadable files and long rows are rejected."""
+    return normalize(
+        rows, MapColumn("fields"), F.col("source_file"), dates, disclosure_variant, F.col("error").isNotNull()
+    )
+
+
+def read_filing_archives(spark: SparkSession, path: str, include_exempt: bool = False, **options: str) -> DataFrame:
+    """The CSV files and workbooks inside the ZIP archives below ``path`` as normalised rows."""
+    members = zip_entries(read_binary(spark, path, "*.[zZ][iI][pP]")).where(
+        F.col("member").isNotNull() & loadable(F.col("member"), include_exempt)
+    )
+    books = members.where(F.lower("member").endswith(".xlsx")).select(F.col("member").alias("path"), "content")
+    return normalize_rows(member_rows(members).unionByName(workbook_rows(books)), **options)
+
+
+def read_filing_workbooks(spark: SparkSession, path: str, include_exempt: bool = False, **options: str) -> DataFrame:
+    """The workbooks below ``path`` as normalised rows."""
+    books = read_binary(spark, path, "*.[xX][lL][sS][xX]").where(loadable(F.col("path"), include_exempt))
+    return normalize_rows(workbook_rows(books), **options)

@@ -103,7 +103,9 @@ def find_layouts(spark: SparkSession, paths: str | Sequence[str], include_exempt
     return dict(layouts)
 
 
-def read_layout(spark: SparkSession, layout: Layout, paths: Sequence[str]) -> tuple[DataFrame, NamedColumns, Column]:
+def read_layout(
+    spark: SparkSession, layout: Layout, paths: Sequence[str], multi_line: bool = False
+) -> tuple[DataFrame, NamedColumns, Column]:
     """Text rows of the files of one layout, access to them by header, and the too-many-fields test.
 
     Short rows are padded with NULL. Spark marks short and long rows alike, so the fields of the marked
@@ -118,6 +120,7 @@ def read_layout(spark: SparkSession, layout: Layout, paths: Sequence[str]) -> tu
         .option("sep", layout.separator)
         .option("encoding", layout.encoding)
         .option("escape", '"')
+        .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("columnPruning", "false")  # with pruning, the parser no longer sees how long a row is
@@ -140,16 +143,18 @@ def read_filing_csv(
     disclosure_variant: str = "flag_or_counts",
     include_exempt: bool = False,
     layouts: dict[Layout, list[str]] | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """All filing CSV files below ``paths`` as normalised rows (see :func:`normalize`).
 
     ``layouts`` may name the files of each layout where they are known, which saves the discovery scan.
+    ``multi_line`` allows line breaks inside quotes, but then Spark cannot split a file between tasks.
     """
     layouts = find_layouts(spark, paths, include_exempt) if layouts is None else layouts
     if not layouts:
         raise ValueError(f"no filing files with a {KEY_HEADER} column below {paths}")
     parts = []
     for layout, files in layouts.items():
-        rows, raw, too_long = read_layout(spark, layout, files)
+        rows, raw, too_long = read_layout(spark, layout, files, multi_line)
         parts.append(normalize(rows, raw, F.col("path"), dates, disclosure_variant, too_long))
     return reduce(DataFrame.unionByName, parts)

@@ -67,6 +67,12 @@ def test_load_report(spark, folder):
     assert (totals.files, totals.files_failed, totals.rows_loaded, totals.rows_rejected) == (4, 1, 5, 3)
 
 
+def test_line_breaks_inside_quotes_on_request(spark, tmp_path):
+    (tmp_path / "ia01032022.csv").write_text(HEADER + '\n801-1,7,"Two\nLines",5,1,1,1,Y,N\n801-2,8,One,5,1,1,1,Y,N\n')
+    rows = normalize.accepted(csv_files.read_filing_csv(spark, str(tmp_path), multi_line=True)).collect()
+    assert sorted((r.sec_number, r.firm_name) for r in rows) == [("801-1", "Two\nLines"), ("801-2", "One")]
+
+
 def test_layouts_by_header_and_encoding(spark, folder):
     layouts = csv_files.find_layouts(spark, folder)
     assert {(layout.separator, layout.encoding): len(paths) for layout, paths in layouts.items()} == {
@@ -148,10 +154,8 @@ def test_archives(spark, tmp_path):
     assert archives.multi_file_archives(archives.archive_census(found)).count() == 1
     entries = archives.zip_entries(found)
     assert {r.member for r in entries.collect()} == {"ia01032022.csv", "b.XLSX", "ia020122.csv", None}
-    rows = archives.member_rows(entries)
-    typed = normalize.normalize(
-        rows, normalize.MapColumn("fields"), F.col("source_file"), malformed=F.col("error").isNotNull()
-    )
+    typed = archives.read_filing_archives(spark, str(tmp_path))
+    assert typed.where("reject_reason IS NOT NULL").count() == 2  # the long row and the unreadable workbook
     good = {r.sec_number: r for r in normalize.accepted(typed).collect()}
     assert set(good) == {"801-1", "801-3"}
     assert (good["801-3"].firm_name, good["801-3"].filing_date, good["801-3"].client_count) == ("Café", date(2022, 2, 1), 0)
@@ -175,7 +179,7 @@ def test_workbooks(spark, tmp_path):
     (tmp_path / "broken.xlsx").write_bytes(b"no workbook")
     found = archives.read_binary(spark, str(tmp_path), "*.xlsx")
     rows = archives.workbook_rows(found)
-    typed = normalize.normalize(rows, normalize.MapColumn("fields"), F.col("source_file"))
+    typed = archives.read_filing_workbooks(spark, str(tmp_path))
     (row,) = normalize.accepted(typed).collect()
     assert (row.sec_number, row.filing_date, row.raum) == ("801-1", date(2020, 1, 2), Decimal("1234.50"))
     assert (row.disciplinary_disclosures, row.sec_status_date) == (1, date(2020, 1, 2))

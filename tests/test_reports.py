@@ -104,6 +104,8 @@ def test_pages(spark):
     narrowed = firms.search_firms(filings, model, category="High", min_aum=95)
     assert sorted(r.crd for r in narrowed.collect()) == [4, 5]
     assert sorted(r.crd for r in firms.search_firms(filings, model, search="7").collect()) == [7]
+    named = filings.withColumn("firm_name", F.concat(F.lit("Firm "), F.col("crd").cast("string")))
+    assert {r.firm_name for r in firms.search_firms(named, model, search="m 3").collect()} == {"Firm 3"}
     assert firms.firm_details(filings, model, crd=1).collect()[0].aum == Decimal(99)
 
 
