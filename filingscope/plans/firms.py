@@ -143,7 +143,8 @@ def firm_page(firms: DataFrame, sort_by: str = "crd", descending: bool = False,
     """One page, with the total number of firms and pages. Unknown sort columns fall back to the firm id."""
     column = sort_by if sort_by in SORTABLE else "crd"
     lead = F.desc_nulls_first(column) if descending else F.asc_nulls_last(column)
-    total = firms.agg(F.count("*")).scalar()
+    # counting the id alone lets Spark drop the join with the scores, unless a filter needs them
+    total = firms.select("crd").agg(F.count("*")).scalar()
     return (
         firms.orderBy(lead, "crd", "last_filing_date")
         .offset((page - 1) * page_size)
