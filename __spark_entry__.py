@@ -51,8 +51,8 @@ def edge(df: DataFrame) -> DataFrame:
     return df.select(*[shown(f) for f in df.schema])
 
 
-def rounded(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: metrics.round6(F.col(c).cast("double")) for c in columns})
+def rounded(df: DataFrame, *columns: str, decimals: int = 6) -> DataFrame:
+    return df.withColumns({c: metrics.rounded(F.col(c).cast("double"), decimals) for c in columns})
 
 
 # --- shared inputs -----------------------------------------------------------------------------------
@@ -277,7 +277,9 @@ def queries() -> dict[str, Query]:
         "dashboard_summary": lambda s, d: reports.dashboard_summary(scores(s, d), filings(s, d, KEY)),
         "risk_run_summary": lambda s, d: reports.risk_run_summary(scores(s, d)),
         # filing profiles
-        "dashboard_stats": lambda s, d: rounded(reports.dashboard_stats(filings(s, d, (*KEY, "raum"))), "avg_raum"),
+        "dashboard_stats": lambda s, d: rounded(
+            reports.dashboard_stats(filings(s, d, (*KEY, "raum"))), "avg_raum", decimals=2
+        ),
         "filing_census": lambda s, d: reports.filing_census(filings(s, d, KEY)),
         "asset_filing_census": lambda s, d: reports.filing_census(filings(s, d, (*KEY, "raum")).where("raum > 0")),
         "filing_sample": lambda s, d: reports.top_filings(filings(s, d, PROFILE), [], PROFILE, 10),
@@ -298,7 +300,9 @@ def queries() -> dict[str, Query]:
             filings(s, d, (*KEY, "client_count", "account_count"))
         ),
         "raum_percentiles": lambda s, d: rounded(
-            reports.raum_percentiles(filings(s, d, (*KEY, "raum"))), "avg_raum", "median_raum", "p95_raum", "p99_raum"
+            reports.raum_percentiles(filings(s, d, (*KEY, "raum"))),
+            *("avg_raum", "median_raum", "p95_raum", "p99_raum"),
+            decimals=2,
         ),
         "filings_by_date": lambda s, d: reports.filings_by_date(filings(s, d, KEY)),
         "filings_by_year": lambda s, d: reports.filings_by_year(filings(s, d, KEY)),

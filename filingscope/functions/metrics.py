@@ -65,6 +65,7 @@ def clip(value: Column, low: float = 0.0, high: float = 1.0) -> Column:
     return F.when(value.isNotNull(), F.least(F.greatest(value, F.lit(low)), F.lit(high)))
 
 
-def round6(value: Column) -> Column:
-    """Six decimals by the same double arithmetic any SQL engine has."""
-    return F.floor(value * 1e6 + 0.5) / 1e6
+def rounded(value: Column, decimals: int = 6) -> Column:
+    """Rounding half up by the same double arithmetic any SQL engine has."""
+    unit = float(10**decimals)
+    return F.floor(value * unit + 0.5) / unit

@@ -1,7 +1,7 @@
 """Reference SQL for the registered queries, for DuckDB over the same tables.
 
 Percentages and averages with two decimals are computed in integers, (2·100·100·part + whole) // (2·whole) / 100,
-which is exact rounding half up; six decimals by floor(x·1e6 + 0.5) / 1e6.
+which is exact rounding half up; other figures by floor(x·unit + 0.5) / unit, money in cents and the rest in millionths.
 """
 
 from __future__ import annotations
@@ -48,6 +48,10 @@ def _round6(value: str) -> str:
     return f"floor(CAST({value} AS DOUBLE) * 1e6 + 0.5) / 1e6"
 
 
+def _round2(value: str) -> str:
+    return f"floor(CAST({value} AS DOUBLE) * 100.0 + 0.5) / 100.0"
+
+
 def _pct(previous: str, current: str) -> str:
     """Drop in hundredths of a percent, of whole numbers."""
     p, c = f"CAST({previous} AS HUGEINT)", f"CAST({current} AS HUGEINT)"
@@ -398,7 +402,7 @@ ORACLES: dict[str, str] = {
         (SELECT count(*) FROM scores) AS total_scores, CAST(max(filing_date) AS VARCHAR) AS latest_date
       FROM scores WHERE filing_date = (SELECT max(filing_date) FROM scores) GROUP BY risk_category""",
     "dashboard_stats": f"""WITH {FILINGS} SELECT count(DISTINCT sec_number) AS total_firms, count(*) AS total_filings,
-      max(day) AS latest_filing_date, {_round6("sum(CAST(raum AS DECIMAL(38,2))) / CAST(count(raum) AS DOUBLE)")} AS avg_raum,
+      max(day) AS latest_filing_date, {_round2("sum(CAST(raum AS DECIMAL(38,2))) / CAST(count(raum) AS DOUBLE)")} AS avg_raum,
       count(*) FILTER (WHERE raum >= 1000000000) AS firms_over_1b,
       count(*) FILTER (WHERE raum >= 100000000) AS firms_over_100m,
       count(*) FILTER (WHERE raum < 100000000) AS firms_under_100m FROM filings""",
@@ -445,8 +449,8 @@ ORACLES: dict[str, str] = {
                  for c, n in (('client_count', 'clients'), ('account_count', 'accounts')))} FROM filings""",
     "raum_percentiles": f"""WITH {FILINGS} SELECT count(*) AS total_firms, count(*) FILTER (WHERE raum > 0) AS firms_with_raum,
       CAST(min(raum) AS DOUBLE) AS min_raum, CAST(max(raum) AS DOUBLE) AS max_raum,
-      {_round6("sum(CAST(raum AS DECIMAL(38,2))) / CAST(count(raum) AS DOUBLE)")} AS avg_raum,
-      {', '.join(f"{_round6(f'quantile_cont(CAST(raum AS DOUBLE), {p})')} AS {n}"
+      {_round2("sum(CAST(raum AS DECIMAL(38,2))) / CAST(count(raum) AS DOUBLE)")} AS avg_raum,
+      {', '.join(f"{_round2(f'quantile_cont(CAST(raum AS DOUBLE), {p})')} AS {n}"
                  for n, p in (('median_raum', 0.5), ('p95_raum', 0.95), ('p99_raum', 0.99)))} FROM filings""",
     "filings_by_date": f"WITH {FILINGS} SELECT day AS filing_date, count(*) AS count FROM filings GROUP BY day",
     "filings_by_year": f"""WITH {FILINGS} SELECT CAST(year(filing_date) AS INTEGER) AS year, count(*) AS count
