@@ -27,6 +27,11 @@ from filingscope.sources import archives, csv_files, derive, links, normalize  #
 from filingscope.sources.tables import filings, model_input, table  # noqa: E402
 from filingscope.streaming import incremental  # noqa: E402
 
+try:  # the package for training data and its pipeline may be absent
+    from filingscope.llm import queries as llm_queries  # noqa: E402
+except ImportError:
+    llm_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 CHANGE_COLUMNS = ch.NEEDED
@@ -424,7 +429,7 @@ def queries() -> dict[str, Query]:
             reports.risk_statistics_all_dates(scores(s, d)).select("risk_category", "firm_count")
         ),
     }
-    return {name: _edged(plan) for name, plan in plans.items()}
+    return {name: _edged(plan) for name, plan in plans.items()} | (llm_queries.queries() if llm_queries else {})
 
 
 def _edged(plan: Query) -> Query:
@@ -434,4 +439,4 @@ def _edged(plan: Query) -> Query:
 def oracle_sql() -> dict[str, str]:
     from oracle_queries import ORACLES
 
-    return dict(ORACLES)
+    return dict(ORACLES) | (llm_queries.oracle_sql() if llm_queries else {})
