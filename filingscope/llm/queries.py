@@ -2,10 +2,27 @@
 
 from __future__ import annotations
 
+from . import licenses
+from .bpe_index import op6_bpe_pair_index
+from .language import op9_language_subwords
+from .licenses import op4_license_scan
+from .line_runs import op2_line_runs
+from .orc_tokens import op10_orc_tokens
+from .packing import op3_sequence_packing
+from .phrases import op7_phrase_fingerprints
 from .quality import op8_quality_divergence
+from .suffix_tree import op1_suffix_tree_scores
 
 QUERIES = {
+    "op1_suffix_tree_scores": op1_suffix_tree_scores,
+    "op2_line_runs": op2_line_runs,
+    "op3_sequence_packing": op3_sequence_packing,
+    "op4_license_scan": op4_license_scan,
+    "op6_bpe_pair_index": op6_bpe_pair_index,
+    "op7_phrase_fingerprints": op7_phrase_fingerprints,
     "op8_quality_divergence": op8_quality_divergence,
+    "op9_language_subwords": op9_language_subwords,
+    "op10_orc_tokens": op10_orc_tokens,
 }
 
 
@@ -14,4 +31,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_license_scan": licenses.ORACLE}
