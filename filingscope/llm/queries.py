@@ -8,6 +8,7 @@ from .language import op9_language_subwords
 from .licenses import op4_license_scan
 from .line_runs import op2_line_runs
 from .orc_tokens import op10_orc_tokens
+from .overlap_join import op5_shingle_overlap
 from .packing import op3_sequence_packing
 from .phrases import op7_phrase_fingerprints
 from .quality import op8_quality_divergence
@@ -18,6 +19,7 @@ QUERIES = {
     "op2_line_runs": op2_line_runs,
     "op3_sequence_packing": op3_sequence_packing,
     "op4_license_scan": op4_license_scan,
+    "op5_shingle_overlap": op5_shingle_overlap,
     "op6_bpe_pair_index": op6_bpe_pair_index,
     "op7_phrase_fingerprints": op7_phrase_fingerprints,
     "op8_quality_divergence": op8_quality_divergence,
