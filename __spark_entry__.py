@@ -28,9 +28,10 @@ from filingscope.sources.tables import filings, model_input, table  # noqa: E402
 from filingscope.streaming import incremental  # noqa: E402
 
 try:  # the package for training data and its pipeline may be absent
-    from filingscope.llm import queries as llm_queries  # noqa: E402
+    import corpus_pipeline
+    from filingscope.llm import queries as llm_queries
 except ImportError:
-    llm_queries = None
+    corpus_pipeline = llm_queries = None
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -429,7 +430,12 @@ def queries() -> dict[str, Query]:
             reports.risk_statistics_all_dates(scores(s, d)).select("risk_category", "firm_count")
         ),
     }
-    return {name: _edged(plan) for name, plan in plans.items()} | (llm_queries.queries() if llm_queries else {})
+    return {name: _edged(plan) for name, plan in plans.items()} | training_data_queries()
+
+
+def training_data_queries() -> dict[str, Query]:
+    """Those of the package for training data, if it is there."""
+    return llm_queries.queries() | {"pipeline": corpus_pipeline.run} if llm_queries else {}
 
 
 def _edged(plan: Query) -> Query:

@@ -12,7 +12,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages".split()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not present")
-OWN = {n for n in (entry.llm_queries.queries() if entry.llm_queries else {})}  # tested in their own folder
+OWN = set(entry.training_data_queries())  # tested in their own folder
 QUERIES = {n: q for n, q in entry.queries().items() if n not in OWN} if os.path.isdir(SF_DIR) else {}
 
 
