@@ -10,18 +10,22 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 
 import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has the cores
 
+UNSIGNED = "I"
+LITTLE = sys.byteorder == "little" and array(UNSIGNED).itemsize == 4
 VISIBLE_CUT = re.compile(r" (?:\s|\Z)")
 
 
 class TokenIds:
     """Ids as little-endian unsigned 32-bit integers. ``memory`` bounds what is remembered, in characters."""
 
-    def __init__(self, path: str, memory: int = 4_000_000):
+    def __init__(self, path: str, memory: int = 12_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -30,11 +34,12 @@ class TokenIds:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.memory = memory
         self.known: dict[str, bytes] = {}
+        self.heads: dict[str, bytes] = {}  # what stands before a text's first cut has no blank in front
         self.size = 0
 
     def library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [array(UNSIGNED, e.ids).tobytes() if LITTLE else np.array(e.ids, "<u4").tobytes() for e in found]
 
     def cuts(self, text: str) -> list[str]:
         pieces = text.split(" ")
@@ -52,7 +57,10 @@ class TokenIds:
         if any(s in text for s in self.special):
             return self.library([text])[0]
         head, *rest = self.cuts(text)
-        first = self.library([head])[0] if head else b""
+        first = self.heads.get(head)
+        if first is None:
+            first = self.heads[head] = self.library([head])[0]
+            self.size += len(head)
         try:
             return first + b"".join(map(self.known.__getitem__, rest))
         except KeyError:
@@ -61,7 +69,7 @@ class TokenIds:
 
     def learn(self, pieces: list[str]) -> None:
         if self.size > self.memory:
-            self.known, self.size = {}, 0
+            self.known, self.heads, self.size = {}, {}, 0
         new = list({p for p in pieces if p not in self.known})
         self.known.update(zip(new, self.library([" " + p for p in new]), strict=True))
         self.size += sum(map(len, new))
