@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -34,6 +36,16 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def slices(batch: pa.RecordBatch, column: int | str, size: int = 6_000_000) -> Iterator[pa.RecordBatch]:
+    """The rows in order, in parts of about ``size`` bytes of text, or one longer text: bounds a worker's memory."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(lengths, dtype=np.int64) // size
+    cuts = [0, *(np.nonzero(part[1:] != part[:-1])[0] + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 def words_of(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray]:
     """All words ``[^\\x20\\x09-\\x0D]+`` of a column of texts in order, and the row that each belongs to."""
     texts = pc.ascii_lower(texts) if lower else texts

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, mixed, words_of
+from .common import documents, mixed, slices, words_of
 
 BUCKETS = 1 << 15
 DIMENSIONS = 16
@@ -196,8 +196,7 @@ def annotate(docs: DataFrame, model: Model | None) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory: dict = {}
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                some = batch.slice(at, 2000)
+            for some in slices(batch, "text"):
                 texts = some.column("text")
                 names, scores = model.score(texts, memory) if model else (["und"] * len(texts), np.zeros(len(texts)))
                 plain = [t is None or LETTER.search(t) is None for t in texts.to_pylist()]

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import MIX, documents, mixed, partitions, texts, word_hashes, words_of, written
+from .common import MIX, documents, mixed, partitions, slices, texts, word_hashes, words_of, written
 
 SHINGLE = 5
 SHARE = 80  # percent
@@ -89,7 +89,7 @@ def members(docs: DataFrame) -> DataFrame:
     every row."""
 
     def run(batches: Batches) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             n, sig = [0] * batch.num_rows, [None] * batch.num_rows
             for row, digest, own in _sets(batch.column(1)):
                 n[row], sig[row] = len(own), digest
@@ -145,8 +145,8 @@ def _postings(buckets: int):
     def run(batches: Batches) -> Iterator[pa.RecordBatch]:
         source, digests, sizes, found, held = TaskContext.get().partitionId() << 32, {}, [], [], 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                for _, digest, own in _sets(batch.column(0).slice(at, 2000)):
+            for some in slices(batch, 0):
+                for _, digest, own in _sets(some.column(0)):
                     if digest not in digests:
                         digests[digest] = len(sizes)
                         sizes.append(len(own))

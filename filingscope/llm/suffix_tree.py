@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, mixed, texts, word_hashes, words_of, written
+from .common import documents, mixed, slices, texts, word_hashes, words_of, written
 
 LEAST_SHARE = 2e-7
 LEAST_COUNT = 2
@@ -67,8 +67,8 @@ def word_counts(train: DataFrame) -> DataFrame:
 
     def count(batches: Batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            index, _, hashes = _tokens(batch.column(0))
-            if len(index):
+            for some in slices(batch, 0):
+                index, _, hashes = _tokens(some.column(0))
                 yield _counted(hashes, np.bincount(index, minlength=len(hashes)))
 
     return _sums(train, count).where("n > 0")
@@ -218,9 +218,10 @@ def learn(train: DataFrame, counts: DataFrame) -> Tree:
 
         def count(batches: Batches) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                word, rows, _, _ = shared.value.places(batch.column(0))
-                keys, there = keys_of(shared.value, word, rows)
-                yield _counted(keys[there])
+                for some in slices(batch, 0):
+                    word, rows, _, _ = shared.value.places(some.column(0))
+                    keys, there = keys_of(shared.value, word, rows)
+                    yield _counted(keys[there])
 
         return count
 
@@ -246,7 +247,7 @@ def score(docs: DataFrame, train: DataFrame) -> DataFrame:
     def parts(batches: Batches) -> Iterator[pa.RecordBatch]:
         t = shared.value
         kinds = pa.struct([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("by_context", pa.int64())])
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             n = batch.num_rows
             word, rows, index, hashes = t.places(batch.column("text"))
             logs, length = t.score(word, rows)
