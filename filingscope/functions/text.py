@@ -55,6 +55,15 @@ def file_name_date(name: Column) -> Column:
     return F.try_to_date(full, "MMddyyyy")
 
 
+def arrival_order(path: Column) -> Column:
+    """Orders files of filings: by date, then by the number of the correction (``-2``), then by name."""
+    name = F.element_at(F.split(path, "/"), -1)
+    suffix = F.regexp_extract(name, r"[-_](\d{1,4})\.[A-Za-z]+$", 1)
+    return F.struct(
+        file_name_date(path).alias("date"), F.coalesce(suffix.try_cast("int"), F.lit(0)).alias("number"), name.alias("name")
+    )
+
+
 def archive_year(name: Column) -> Column:
     """Year in an archive name ``ia[-]MMDDYY[YY][-_n].zip``; NULL if the name has another form."""
     base = F.element_at(F.split(name, "/"), -1)

@@ -34,10 +34,10 @@ def dedupe_by(df: DataFrame, key: Sequence[str], descending: Sequence[str]) -> D
 
 
 def duplicate_filings(filings: DataFrame, tiebreak: str = "filing_key") -> DataFrame:
-    """The rows that :func:`dedupe_filings` drops."""
-    unique = [*KEY, tiebreak]
-    kept = filings.groupBy(*KEY).agg(F.max(tiebreak).alias(tiebreak))
-    return filings.join(kept, unique, "left_anti")
+    """The rows that :func:`dedupe_filings` drops: all but the first in the same order."""
+    order = [tiebreak, *[c for c in filings.columns if c not in (*KEY, tiebreak)]]
+    best_first = Window.partitionBy(*KEY).orderBy(*[F.desc(c) for c in order])
+    return filings.withColumn("nth", F.row_number().over(best_first)).where("nth > 1").drop("nth")
 
 
 def with_previous(history: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -76,22 +76,14 @@ def latest_per_firm(filings: DataFrame, tiebreak: str | None = None, firm: str =
 
 def latest_per_firm_ties(filings: DataFrame, firm: str = "sec_number") -> DataFrame:
     """Each firm's newest filings, all of them if several share that date."""
-    newest = filings.groupBy(firm).agg(F.max("filing_date").alias("filing_date"))
-    return filings.join(newest, [firm, "filing_date"])
+    newest_first = Window.partitionBy(firm).orderBy(F.desc("filing_date"))
+    return filings.withColumn("nth", F.rank().over(newest_first)).where("nth = 1").drop("nth")
 
 
-BROADCAST_ROWS = 10_000
-
-
-def only_keys(filings: DataFrame, few: DataFrame, limit: int) -> DataFrame:
-    """The filings whose key is among ``few`` (at most ``limit`` rows).
-
-    A short list is broadcast, so the filings are filtered where they are read instead of being shuffled
-    for a join with a handful of rows. A long one is left to the join that follows.
-    """
-    if limit > BROADCAST_ROWS:
-        return filings
-    return filings.join(F.broadcast(few.select(*KEY)), KEY, "left_semi")
+def only_keys(filings: DataFrame, few: DataFrame) -> DataFrame:
+    """The filings whose key is among ``few``. If Spark measures ``few`` as small it sends them to the filings, which
+    are then filtered where they are read; else this is one more shuffle on the key that the next join reuses."""
+    return filings.join(few.select(*KEY), KEY, "left_semi")
 
 
 def latest_date(filings: DataFrame) -> Column:

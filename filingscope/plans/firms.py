@@ -42,7 +42,7 @@ def _named(scores: DataFrame, filings: DataFrame, limit: int) -> DataFrame:
     order = [F.desc("score"), F.desc("filing_date"), F.col("sec_number")]
     top = scores.orderBy(*order).limit(limit)
     return (
-        top.join(only_keys(filings.select(*KEY, "firm_name"), top, limit), KEY, "left")
+        top.join(only_keys(filings.select(*KEY, "firm_name"), top), KEY, "left")
         .withColumn("firm_name", F.coalesce("firm_name", F.lit("Unknown")))
         .orderBy(*order)
     )

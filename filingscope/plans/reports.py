@@ -449,7 +449,7 @@ def coverage_gap(filings: DataFrame, documents: DataFrame, factor: str = "discip
 def top_with_factors(scores: DataFrame, filings: DataFrame, limit: int = 10) -> DataFrame:
     """Highest scores with firm data and one row per factor of the parsed document."""
     top = scores.select(*KEY, "score", "risk_category", "factors_json").orderBy(F.desc("score"), *KEY).limit(limit)
-    return top.join(only_keys(filings, top, limit), KEY, "left").select(
+    return top.join(only_keys(filings, top), KEY, "left").select(
         *KEY,
         F.coalesce("firm_name", F.lit("Unknown")).alias("firm_name"),
         "score",

@@ -29,11 +29,14 @@ def _write(df: DataFrame, path: str, mode: str, schema: T.StructType | None, par
 def upsert(existing: DataFrame, updates: DataFrame, key: Sequence[str], created_at: str | None = None) -> DataFrame:
     """``existing`` with the rows of ``updates`` added or, where the key exists, replaced.
 
-    One full join on the key. With ``created_at``, an updated row keeps the creation time it had.
+    One full join on the key. With ``created_at``, an updated row keeps the creation time it had. Two updates of one
+    key are an error, since neither is the later one.
     """
     rest = [c for c in existing.columns if c not in key]
     old = existing.select(*key, F.struct(*rest).alias("old"))
-    new = updates.select(*key, F.struct(*rest).alias("new"))
+    new = updates.groupBy(*key).agg(F.count("*").alias("times"), F.max(F.struct(*rest)).alias("new"))
+    repeated = F.raise_error(F.concat(F.lit("repeated key in updates: "), F.to_json(F.struct(*key))))
+    new = new.select(*key, F.when(F.col("times") == 1, F.col("new")).otherwise(repeated).alias("new"))
     merged = old.join(new, list(key), "full")
 
     def pick(name: str):

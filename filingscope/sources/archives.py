@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from filingscope.rules import DATA_EXTENSIONS
 from filingscope.sources.csv_files import base_name, loadable
-from filingscope.sources.normalize import MapColumn, normalize
+from filingscope.sources.normalize import BROKEN_ARCHIVE, UNSUPPORTED, MapColumn, normalize, whole_file_rejects
 
 MEMBER_SCHEMA = "archive string, entry string, member string, content binary, error string"
 ROW_SCHEMA = "source_file string, row_number long, fields map<string,string>, error string"
@@ -83,6 +83,11 @@ def multi_file_archives(census: DataFrame) -> DataFrame:
     return census.where("files > 1")
 
 
+def member_name() -> Column:
+    """The archive's name and the entry's, so that equal names in different places stay apart."""
+    return F.concat(base_name(F.col("archive")), F.lit("!/"), F.col("entry")).alias("source_file")
+
+
 def member_rows(members: DataFrame) -> DataFrame:
     """Rows of CSV members as header-to-text maps; over-long rows carry an error. Short rows lack keys."""
 
@@ -92,10 +97,11 @@ def member_rows(members: DataFrame) -> DataFrame:
 
         import pandas as pd
 
+        csv.field_size_limit(2**31 - 1)  # a member is in memory as a whole already
         columns = ["source_file", "row_number", "fields", "error"]
         rows = []
         for batch in batches:
-            for name, content in zip(batch["member"], batch["content"]):
+            for name, content in zip(batch["source_file"], batch["content"]):
                 try:
                     text = content.decode("utf-8-sig")
                 except UnicodeDecodeError:
@@ -114,7 +120,7 @@ def member_rows(members: DataFrame) -> DataFrame:
         if rows:
             yield pd.DataFrame(rows, columns=columns)
 
-    csv_members = members.where(F.lower("member").endswith(".csv")).select("member", "content")
+    csv_members = members.where(F.lower("member").endswith(".csv")).select(member_name(), "content")
     return csv_members.mapInPandas(parse, ROW_SCHEMA)
 
 
@@ -223,11 +229,15 @@ def normalize_rows(rows: DataFrame, dates: str = "file_name", disclosure_variant
 
 def read_filing_archives(spark: SparkSession, path: str, include_exempt: bool = False, **options: str) -> DataFrame:
     """The CSV files and workbooks inside the ZIP archives below ``path`` as normalised rows."""
-    members = zip_entries(read_binary(spark, path, "*.[zZ][iI][pP]")).where(
-        F.col("member").isNotNull() & loadable(F.col("member"), include_exempt)
+    entries = zip_entries(read_binary(spark, path, "*.[zZ][iI][pP]"))
+    members = entries.where(F.col("member").isNotNull() & loadable(F.col("member"), include_exempt))
+    books = members.where(F.lower("member").endswith(".xlsx")).select(member_name().alias("path"), "content")
+    rows = normalize_rows(member_rows(members).unionByName(workbook_rows(books)), **options)
+    broken = entries.where("error IS NOT NULL").select(
+        base_name(F.col("archive")).alias("source_file"), F.lit(BROKEN_ARCHIVE).alias("reason")
     )
-    books = members.where(F.lower("member").endswith(".xlsx")).select(F.col("member").alias("path"), "content")
-    return normalize_rows(member_rows(members).unionByName(workbook_rows(books)), **options)
+    old = members.where(F.lower("member").endswith(".xls")).select(member_name(), F.lit(UNSUPPORTED).alias("reason"))
+    return rows.unionByName(whole_file_rejects(broken.unionByName(old)))
 
 
 def read_filing_workbooks(spark: SparkSession, path: str, include_exempt: bool = False, **options: str) -> DataFrame:

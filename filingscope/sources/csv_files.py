@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filingscope.rules import DATA_EXTENSIONS, HEADERS
-from filingscope.sources.normalize import NamedColumns, normalize
+from filingscope.sources.normalize import EMPTY_FILE, LATE_HEADER, NO_HEADER, NamedColumns, normalize, whole_file_rejects
 
 KEY_HEADER = HEADERS["sec_number"]
 CORRUPT = "_corrupt_record"
@@ -26,6 +26,7 @@ CORRUPT = "_corrupt_record"
 class Layout(NamedTuple):
     header: str
     encoding: str
+    multi_line: bool = False  # a quoted value spans lines
 
     @property
     def separator(self) -> str:
@@ -73,15 +74,22 @@ def fetch_due(run_log: DataFrame, as_of: Column, hours: float = 24) -> DataFrame
 
 
 def find_layouts(spark: SparkSession, paths: str | Sequence[str], include_exempt: bool = False) -> dict[Layout, list[str]]:
-    """Files by layout. One row per file reaches the driver, as Spark's own file listing does.
+    return inspect_files(spark, paths, include_exempt)[0]
 
-    The header is the first line of the file's start that names the key column; a file without it has no
-    key in any row and is left out. A file with any line that is not UTF-8 is read as Latin-1.
+
+def inspect_files(
+    spark: SparkSession, paths: str | Sequence[str], include_exempt: bool = False
+) -> tuple[dict[Layout, list[str]], dict[str, str]]:
+    """Files by layout, and the files that cannot be read with the reason. One row per file reaches the driver, as
+    Spark's own file listing does.
+
+    The header is the first line, and names the key column. A file with any line that is not UTF-8 is read as
+    Latin-1. A file with an odd number of quotes in some line has values that span lines.
     """
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[cC][sS][vV]")
+    texts = reader.text(paths if isinstance(paths, str) else list(paths))
     lines = (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.[cC][sS][vV]")
-        .text(paths if isinstance(paths, str) else list(paths))
+        texts
         .select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
         .where(loadable(F.col("path"), include_exempt))
     )
@@ -90,17 +98,38 @@ def find_layouts(spark: SparkSession, paths: str | Sequence[str], include_exempt
         "path",
         at.alias("at"),
         F.when((F.col("start") == 0) & F.col("value").contains(KEY_HEADER), F.col("value")).alias("header"),
+        F.when((F.col("start") == 0) & (F.trim("value") != ""), at).alias("line"),
         F.is_valid_utf8("value").alias("valid"),
-    ).where("header IS NOT NULL OR NOT valid")
-    files = marked.groupBy("path").agg(
+        (F.pmod(F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit(""))), F.lit(2)) == 1).alias("open"),
+    )
+    found = marked.groupBy("path").agg(
         F.min_by("header", F.when(F.col("header").isNotNull(), F.col("at"))).alias("header"),
+        F.min(F.when(F.col("header").isNotNull(), F.col("at"))).alias("header_at"),
+        F.min("line").alias("first_at"),
         F.bool_and("valid").alias("utf8"),
+        F.bool_or("open").alias("multi_line"),
     )
     layouts: dict[Layout, list[str]] = defaultdict(list)
-    for row in files.where("header IS NOT NULL").orderBy("path").collect():
-        header = row.header.removeprefix("\ufeff").rstrip("\r")
-        layouts[Layout(header, "UTF-8" if row.utf8 else "ISO-8859-1")].append(row.path)
-    return dict(layouts)
+    unreadable: dict[str, str] = {}
+    for row in found.orderBy("path").collect():
+        if row.header is None:
+            unreadable[row.path] = NO_HEADER
+        elif row.header_at != row.first_at:
+            unreadable[row.path] = LATE_HEADER
+        else:
+            header = row.header.removeprefix("\ufeff").rstrip("\r")
+            layouts[Layout(header, "UTF-8" if row.utf8 else "ISO-8859-1", row.multi_line)].append(row.path)
+    seen = {_plain(path) for group in (unreadable, *layouts.values()) for path in group}
+    named = spark.createDataFrame([(path,) for path in texts.inputFiles()], "path string")
+    for row in named.where(loadable(F.col("path"), include_exempt)).collect():
+        if _plain(row.path) not in seen:  # no line at all
+            unreadable[row.path] = EMPTY_FILE
+    return dict(layouts), unreadable
+
+
+def _plain(path: str) -> str:
+    """One spelling for a local path, which Spark writes with one slash or three."""
+    return path.replace("file:///", "file:/", 1)
 
 
 def read_layout(
@@ -143,18 +172,16 @@ def read_filing_csv(
     disclosure_variant: str = "flag_or_counts",
     include_exempt: bool = False,
     layouts: dict[Layout, list[str]] | None = None,
-    multi_line: bool = False,
 ) -> DataFrame:
     """All filing CSV files below ``paths`` as normalised rows (see :func:`normalize`).
 
-    ``layouts`` may name the files of each layout where they are known, which saves the discovery scan.
-    ``multi_line`` allows line breaks inside quotes, but then Spark cannot split a file between tasks.
+    A file that cannot be read is one rejected row with the reason and the file's name alone. ``layouts`` may name
+    the files of each layout where they are known, which saves the discovery scan. Spark cannot split a file with
+    line breaks inside quotes between tasks.
     """
-    layouts = find_layouts(spark, paths, include_exempt) if layouts is None else layouts
-    if not layouts:
-        raise ValueError(f"no filing files with a {KEY_HEADER} column below {paths}")
-    parts = []
+    layouts, unreadable = inspect_files(spark, paths, include_exempt) if layouts is None else (layouts, {})
+    parts = [whole_file_rejects(spark.createDataFrame(sorted(unreadable.items()), "source_file string, reason string"))]
     for layout, files in layouts.items():
-        rows, raw, too_long = read_layout(spark, layout, files, multi_line)
+        rows, raw, too_long = read_layout(spark, layout, files, layout.multi_line)
         parts.append(normalize(rows, raw, F.col("path"), dates, disclosure_variant, too_long))
     return reduce(DataFrame.unionByName, parts)

@@ -7,17 +7,36 @@ from pyspark.sql import functions as F
 
 from filingscope.functions.text import archive_year
 
-ANCHOR = r"(?is)<a\s[^>]*?href\s*=\s*[\"'][^\"']*[\"'][^>]*>.*?</a>"
-HREF = r"(?is)^<a\s[^>]*?href\s*=\s*[\"']([^\"']*)[\"']"
+HIDDEN = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
+VALUE = r"(?:\"[^\"]*\"|'[^']*'|[^\s>\"']+)"
+ANCHOR = r"(?is)<a\s(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?=</a\s*>|<a\s|$)"
+HREF = (
+    r"(?is)^<a(?:\s+(?!href\s*=)[^\s=>]+(?:\s*=\s*" + VALUE + r")?)*\s+href\s*=\s*"
+    r"(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))"
+)
+TAG = r"(?s)<(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
+
+# The named characters that links use; the ampersand comes last, so that nothing is read twice.
+NAMED = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
+
+
+def unescaped(text: Column) -> Column:
+    for name, character in NAMED:
+        text = F.replace(text, F.lit(name), F.lit(character))
+    return text
 
 
 def page_links(pages: DataFrame) -> DataFrame:
-    """Anchors of each page: position, href, label without tags, absolute URL."""
-    anchors = pages.select(
-        "page_id", "url", F.posexplode(F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(0))).alias("position", "anchor")
-    )
-    href = F.trim(F.regexp_extract("anchor", HREF, 1))
-    label = F.trim(F.regexp_replace("anchor", r"(?s)<[^>]*>", ""))
+    """Anchors with a target on each page: position, href, label without tags, absolute URL.
+
+    Comments, scripts and styles hold no anchors. The target may stand in either kind of quotes or in none.
+    """
+    shown = F.regexp_replace("html", HIDDEN, "")
+    found = F.filter(F.regexp_extract_all(shown, F.lit(ANCHOR), F.lit(0)), lambda a: a.rlike(HREF))
+    anchors = pages.select("page_id", "url", F.posexplode(found).alias("position", "anchor"))
+    target = F.concat(*[F.regexp_extract("anchor", HREF, group) for group in (1, 2, 3)])
+    href = F.trim(unescaped(target))
+    label = F.trim(unescaped(F.regexp_replace("anchor", TAG, "")))
     return anchors.select(
         "page_id",
         "position",

@@ -21,6 +21,12 @@ DATE_PATTERNS = ("MM/dd/yyyy", "yyyy-MM-dd", "MM/dd/yyyy hh:mm:ss a")
 MISSING_KEY = "missing SEC number"
 MISSING_DATE = "missing filing date"
 TOO_MANY_FIELDS = "too many fields"
+NO_HEADER = "no header line with the key column"
+LATE_HEADER = "lines above the header"
+EMPTY_FILE = "empty file"
+BROKEN_ARCHIVE = "archive cannot be read"
+UNSUPPORTED = "file type is not supported"
+WHOLE_FILE = (NO_HEADER, LATE_HEADER, EMPTY_FILE, BROKEN_ARCHIVE, UNSUPPORTED)
 
 
 class NamedColumns:
@@ -162,6 +168,12 @@ def normalize(
     return typed.withColumn("reject_reason", reason).drop("too_long")
 
 
+def whole_file_rejects(files: DataFrame) -> DataFrame:
+    """One rejected row for each file (``source_file``, ``reason``) that cannot be read at all."""
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in FILING]
+    return files.select(*empty, "source_file", F.col("reason").alias("reject_reason"))
+
+
 def accepted(normalized: DataFrame) -> DataFrame:
     return normalized.where("reject_reason IS NULL").drop("reject_reason")
 
@@ -173,11 +185,17 @@ def rejected(normalized: DataFrame) -> DataFrame:
 def load_report(normalized: DataFrame) -> DataFrame:
     """Per file: rows loaded and rejected, whether anything was loaded, and why not."""
     good = F.count_if(F.col("reject_reason").isNull())
+    whole_file = F.col("reject_reason").isin(*WHOLE_FILE)
     return (
         normalized.groupBy("source_file")
-        .agg(good.alias("rows_loaded"), F.count("reject_reason").alias("rows_rejected"))
+        .agg(
+            good.alias("rows_loaded"),
+            F.count_if(F.col("reject_reason").isNotNull() & ~whole_file).alias("rows_rejected"),
+            F.max(F.when(whole_file, F.col("reject_reason"))).alias("problem"),
+        )
         .withColumn("success", F.col("rows_loaded") > 0)
-        .withColumn("message", F.when(F.col("success"), "Success").otherwise("No valid records"))
+        .withColumn("message", F.when(F.col("success"), "Success").otherwise(F.coalesce("problem", F.lit("No valid records"))))
+        .drop("problem")
     )
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from filingscope.functions.text import arrival_order
 from filingscope.operators.changes import filing_changes
 from filingscope.operators.history import dedupe_filings
 from filingscope.operators.points import score_changes
@@ -49,13 +50,8 @@ def new_file_stream(spark: SparkSession, path: str, files_per_batch: int = 100)
 
 
 def _write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    (
-        rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(path)
-    )
+    """Replaces the batch's own partition, also by nothing."""
+    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
 def stored_filings(spark: SparkSession, store: str) -> DataFrame:
@@ -63,18 +59,20 @@ def stored_filings(spark: SparkSession, store: str) -> DataFrame:
 
 
 def current_filings(spark: SparkSession, store: str, upto: int | None = None, firms: DataFrame | None = None) -> DataFrame:
-    """One row per firm and date; a later batch corrects an earlier one. ``firms`` limits the firms first."""
+    """One row per firm and date. Corrections are told by the files' names, however the files fell into batches; a
+    file of the same name that comes again in a later batch replaces the earlier one. ``firms`` limits the firms."""
     rows = stored_filings(spark, store)
     rows = rows if upto is None else rows.where(F.col("batch_id") <= upto)
     rows = rows if firms is None else rows.join(firms, "sec_number", "left_semi")
-    ranked = rows.withColumn("arrival", F.struct("batch_id", "source_file"))
+    ranked = rows.withColumn("arrival", F.struct(arrival_order(F.col("source_file")).alias("file"), "batch_id", "source_file"))
     return dedupe_filings(ranked, "arrival").drop("arrival", "batch_id", "source_file")
 
 
 def current_scores(spark: SparkSession, store: str) -> DataFrame:
-    """Each batch scored the whole history of the firms it touched: a firm's last batch is its current one."""
+    """Each batch scored the whole history of the firms it touched: the last batch that touched a firm has its current
+    scores, none if the corrected filings earn none."""
     rows = spark.read.schema(STORED_SCORE).parquet(f"{store}/scores")
-    newest = rows.groupBy("sec_number").agg(F.max("batch_id").alias("batch_id"))
+    newest = stored_filings(spark, store).groupBy("sec_number").agg(F.max("batch_id").alias("batch_id"))
     return rows.join(newest, ["sec_number", "batch_id"], "left_semi").drop("batch_id")
 
 

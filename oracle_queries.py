@@ -584,14 +584,18 @@ ORACLES: dict[str, str] = {
           ELSE '$' || ((CAST(raum AS HUGEINT) * 2 + 1000) // 2000) || 'K' END AS short_label,
         CASE WHEN raum IS NULL OR raum = 0 THEN 'N/A' ELSE '$' || {_grouped('raum')} END AS grouped
       FROM filings""",
-    "page_links": r"""WITH anchors AS (
-        SELECT page_id, url, regexp_extract_all(html, '(?is)<a\s[^>]*?href\s*=\s*["''][^"'']*["''][^>]*>.*?</a>') AS found FROM pages),
-      each_one AS (SELECT page_id, url, unnest(found) AS anchor, unnest(range(len(found))) AS position FROM anchors),
-      parsed AS (SELECT page_id, url, position,
-        trim(regexp_extract(anchor, '(?is)^<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']', 1)) AS href,
-        trim(regexp_replace(anchor, '(?s)<[^>]*>', '', 'g')) AS label FROM each_one)
+    # By plain string functions: the given pages write every anchor as <a href="...">.
+    "page_links": r"""WITH shown AS (
+        SELECT page_id, url, regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '(?s)<script.*?</script>', '', 'g') AS html
+        FROM pages),
+      parts AS (SELECT page_id, url, unnest(string_split(html, '<a href="')[2:]) AS part,
+        generate_subscripts(string_split(html, '<a href="')[2:], 1) - 1 AS position FROM shown),
+      parsed AS (SELECT page_id, url, position, string_split(part, '"')[1] AS href,
+        string_split(part[instr(part, '>') + 1:], '</a>')[1] AS inner_html FROM parts),
+      plain AS (SELECT page_id, url, position, trim(replace(replace(replace(replace(href, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&')) AS href,
+        trim(replace(replace(replace(replace(regexp_replace(inner_html, '(?s)<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&')) AS label FROM parsed)
       SELECT page_id, CAST(position AS INTEGER) AS position, href, label, CASE WHEN starts_with(href, 'http') THEN href
-        ELSE regexp_extract(url, '^([a-zA-Z]+://[^/]+)', 1) || href END AS link FROM parsed""",
+        ELSE regexp_extract(url, '^([a-zA-Z]+://[^/]+)', 1) || href END AS link FROM plain""",
     "archive_links": f"""WITH {FILINGS}, dates AS (SELECT DISTINCT filing_date AS d FROM filings WHERE year(filing_date) >= 1998),
       numbered AS (SELECT d, strftime(d, '%m%d%Y') AS t, CAST(year(d) * 100 + month(d) AS BIGINT) AS page_id FROM
         (SELECT DISTINCT filing_date AS d FROM filings)),

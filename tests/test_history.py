@@ -5,7 +5,14 @@ from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
-from filingscope.operators.history import asof_previous, latest_per_firm, latest_per_firm_ties, since
+from filingscope.operators.history import (
+    asof_previous,
+    dedupe_filings,
+    duplicate_filings,
+    latest_per_firm,
+    latest_per_firm_ties,
+    since,
+)
 
 SCHEMA = "sec_number string, filing_date date, filing_key long, v int"
 
@@ -52,3 +59,10 @@ def test_since_counts_from_the_newest_date_or_a_given_one(spark):
     df = spark.createDataFrame([("f", date(2020, 1, d), d, 0) for d in (1, 11, 21, 31)], SCHEMA)
     assert sorted(r.filing_key for r in since(df, 20).collect()) == [11, 21, 31]
     assert sorted(r.filing_key for r in since(df, 5, F.lit("2020-01-26").cast("date")).collect()) == [21, 31]
+
+
+def test_duplicates_are_what_dedupe_drops(spark):
+    rows = sample(80) + [("f0", date(2020, 1, 1), 5, 1), ("f0", date(2020, 1, 1), 5, 1), ("f0", date(2020, 1, 1), 5, 2)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    both = [tuple(r) for part in (dedupe_filings(df), duplicate_filings(df)) for r in part.collect()]
+    assert sorted(both) == sorted(rows)

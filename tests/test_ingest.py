@@ -67,12 +67,45 @@ def test_load_report(spark, folder):
     assert (totals.files, totals.files_failed, totals.rows_loaded, totals.rows_rejected) == (4, 1, 5, 3)
 
 
-def test_line_breaks_inside_quotes_on_request(spark, tmp_path):
+def test_line_breaks_inside_quotes(spark, tmp_path):
     (tmp_path / "ia01032022.csv").write_text(HEADER + '\n801-1,7,"Two\nLines",5,1,1,1,Y,N\n801-2,8,One,5,1,1,1,Y,N\n')
-    rows = normalize.accepted(csv_files.read_filing_csv(spark, str(tmp_path), multi_line=True)).collect()
+    rows = normalize.accepted(csv_files.read_filing_csv(spark, str(tmp_path))).collect()
     assert sorted((r.sec_number, r.firm_name) for r in rows) == [("801-1", "Two\nLines"), ("801-2", "One")]
 
 
+def test_every_file_is_accounted_for(spark, tmp_path):
+    good = HEADER + "\n801-1,7,Alpha,5,1,1,1,Y,N\n"
+    (tmp_path / "ia01032022.csv").write_text(good)
+    (tmp_path / "ia02032022.csv").write_text("Adviser data\n" + good)
+    (tmp_path / "ia03032022.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "ia04032022.csv").write_text("")
+    rows = csv_files.read_filing_csv(spark, str(tmp_path))
+    report = {r.source_file.rsplit("/", 1)[-1]: tuple(r)[1:] for r in normalize.load_report(rows).collect()}
+    assert report == {
+        "ia01032022.csv": (1, 0, True, "Success"),
+        "ia02032022.csv": (0, 0, False, normalize.LATE_HEADER),
+        "ia03032022.csv": (0, 0, False, normalize.NO_HEADER),
+        "ia04032022.csv": (0, 0, False, normalize.EMPTY_FILE),
+    }
+    assert normalize.failed_files(normalize.load_report(rows)).count() == 3
+    bad = [str(tmp_path / "ia03032022.csv")]
+    assert normalize.accepted(csv_files.read_filing_csv(spark, bad)).count() == 0
+
+
+def test_long_fields_and_broken_archives(spark, tmp_path):
+    (tmp_path / "a.zip").write_bytes(zipped({"ia01032022.csv": HEADER + f'\n801-1,7,"{"x" * 200_000}",5,1,1,1,Y,N\n', "ia0103.xls": "x"}))
+    (tmp_path / "b.zip").write_bytes(zipped({"ia01032022.csv": HEADER + "\n801-2,7,Beta,5,1,1,1,Y,N\n"}))
+    (tmp_path / "c.zip").write_bytes(b"no archive")
+    rows = archives.read_filing_archives(spark, str(tmp_path))
+    report = {r.source_file: (r.rows_loaded, r.message) for r in normalize.load_report(rows).collect()}
+    assert report == {
+        "a.zip!/ia01032022.csv": (1, "Success"),
+        "b.zip!/ia01032022.csv": (1, "Success"),
+        "a.zip!/ia0103.xls": (0, normalize.UNSUPPORTED),
+        "c.zip": (0, normalize.BROKEN_ARCHIVE),
+    }
+
+
 def test_layouts_by_header_and_encoding(spark, folder):
     layouts = csv_files.find_layouts(spark, folder)
     assert {(layout.separator, layout.encoding): len(paths) for layout, paths in layouts.items()} == {
@@ -155,7 +188,7 @@ def test_archives(spark, tmp_path):
     entries = archives.zip_entries(found)
     assert {r.member for r in entries.collect()} == {"ia01032022.csv", "b.XLSX", "ia020122.csv", None}
     typed = archives.read_filing_archives(spark, str(tmp_path))
-    assert typed.where("reject_reason IS NOT NULL").count() == 2  # the long row and the unreadable workbook
+    assert typed.where("reject_reason IS NOT NULL").count() == 3  # the long row, the unreadable workbook and archive
     good = {r.sec_number: r for r in normalize.accepted(typed).collect()}
     assert set(good) == {"801-1", "801-3"}
     assert (good["801-3"].firm_name, good["801-3"].filing_date, good["801-3"].client_count) == ("Café", date(2022, 2, 1), 0)
@@ -203,6 +236,17 @@ def test_links(spark):
     assert [r.href for r in links.archive_links(pages).collect()] == ["/files/ia010120.zip"]
 
 
+def test_links_that_are_easy_to_misread(spark):
+    html = (
+        '<a data-href="/wrong" href=/plain?a=1&amp;b=2 title="x > y">R&amp;D</a><!-- <a href="/hidden">no</a> -->'
+        "<script>var s = '<a href=\"/script\">no</a>';</script><a data-href='/only-data'>no</a><a href='/open'>one<a href=\"/two\">two</a>"
+    )
+    pages = spark.createDataFrame([(1, "https://host.org/list", html)], "page_id long, url string, html string")
+    assert [(r.position, r.href, r.label) for r in links.page_links(pages).orderBy("position").collect()] == [
+        (0, "/plain?a=1&b=2", "R&D"), (1, "/open", "one"), (2, "/two", "two"),
+    ]
+
+
 def test_schema_tools(spark):
     df = conform(spark.createDataFrame([("801-1", "2020-01-02", "5")], "sec_number string, filing_date string, raum string"), FILING)
     assert df.schema["raum"].dataType.simpleString() == "decimal(20,2)" and df.first().filing_date == date(2020, 1, 2)

@@ -68,6 +68,13 @@ def test_upsert_keeps_creation_time(spark):
     assert sorted(map(tuple, tables.upsert(old, new, ["k"]).collect()))[1] == (2, None, 20)
 
 
+def test_upsert_refuses_two_updates_of_one_key(spark):
+    schema = "k int, v string"
+    old = spark.createDataFrame([(1, "a")], schema)
+    with pytest.raises(Exception, match="repeated key"):
+        tables.upsert(old, spark.createDataFrame([(1, "b"), (1, "c")], schema), ["k"]).collect()
+
+
 def test_append_replace_and_documents(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.createDataFrame([(1, "x"), (2, None)], "n int, t string")
@@ -109,3 +116,34 @@ def test_shared_folder_follows_the_setting():
 
 def test_shared_folders_of_a_local_session_are_fresh(spark):
     assert shared_dir(spark, "x") != shared_dir(spark, "x")
+
+
+@pytest.mark.parametrize("batches", [[["a", "b"]], [["a"], ["b"]]])
+def test_a_correction_wins_however_files_are_batched(spark, tmp_path, batches):
+    store = str(tmp_path / "store")
+    monthly(tmp_path / "a", "ia01032022.csv", "801-1,100,10,10,0,A")
+    monthly(tmp_path / "b", "ia01032022-2.csv", "801-1,60,10,10,0,A")
+    for number, folders in enumerate(batches):
+        rows = accepted(read_filing_csv(spark, [str(tmp_path / f) for f in folders]))
+        incremental.load_batch(spark, store, rows, number)
+    assert [int(r.raum) for r in incremental.current_filings(spark, store).collect()] == [60]
+
+
+def test_a_correction_can_take_a_score_away(spark, tmp_path):
+    store = str(tmp_path / "store")
+    monthly(tmp_path / "one", "ia01032022.csv", "801-1,100,10,10,0,A", "801-2,7,1,1,0,A")
+    monthly(tmp_path / "two", "ia01032022-2.csv", "801-1,0,10,10,0,A")
+    for number, folder in enumerate(("one", "two")):
+        incremental.load_batch(spark, store, accepted(read_filing_csv(spark, str(tmp_path / folder))), number)
+    assert [r.sec_number for r in incremental.current_scores(spark, store).collect()] == ["801-2"]
+    rows = accepted(read_filing_csv(spark, str(tmp_path / "two")))
+    incremental.load_batch(spark, store, rows.limit(0), 1)  # the batch again, now without its file's rows
+    assert incremental.stored_filings(spark, store).count() == 2
+
+
+def test_an_unreadable_file_does_not_stop_the_stream(spark, tmp_path):
+    source = tmp_path / "in"
+    monthly(source, "ia01032022.csv", "801-1,100,10,10,0,A")
+    (source / "ia02032022.csv").write_text("no header here\n1\n")
+    run(spark, tmp_path, 1)
+    assert incremental.current_scores(spark, str(tmp_path / "store")).count() == 1
