@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from filingscope.session import shared_dir
 
-from .common import documents, partitions, texts
+from .common import documents, partitions, slices, texts
 from .packing import END_ID, vocabulary_path
 from .public_ids import token_ids
 
@@ -37,9 +37,8 @@ def write_tokens(docs: DataFrame, vocabulary: str, path: str, end_id: int = END_
     def encoded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part, before = token_ids(vocabulary), TaskContext.get().partitionId(), 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):  # long texts: small batches
-                some = batch.slice(at, 500)
-                ids = [coder.encode(text) + end for text in some.column(1).to_pylist()]
+            for some in slices(batch, 1):
+                ids = [x + end for x in coder.encode_all(some.column(1).to_pylist())]
                 counts = np.array([len(x) // 4 for x in ids], np.int64)
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(ids), "<i4")))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, partitions, texts, written
+from .common import documents, partitions, slices, texts, written
 from .public_ids import token_ids
 
 MAX_TOKENS = 1024
@@ -36,10 +36,11 @@ def pieces(docs: DataFrame, vocabulary: str, max_tokens: int = MAX_TOKENS, end_i
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = token_ids(vocabulary)
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             rows: list[list] = [[] for _ in names]
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = coder.encode(text) + end
+            found = coder.encode_all(batch.column(1).to_pylist())
+            for doc_id, ids in zip(batch.column(0).to_pylist(), found, strict=True):
+                ids += end
                 for at in range(0, len(ids), 4 * max_tokens):
                     piece = ids[at : at + 4 * max_tokens]
                     row = (doc_id, at // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4, piece)

@@ -1,9 +1,10 @@
 """Token ids of a public byte-level vocabulary, as the tokenizers library gives them.
 
 The pattern of such a vocabulary never joins a word to what stands before the blank in front of it, so a text can be
-cut before every blank that a visible character follows, and the ids of the cuts put together are the ids of the
-text. Each distinct cut goes through the library once and is remembered. Texts that hold one of the vocabulary's
-special tokens go through the library whole.
+cut before every blank that a visible character follows, around a single line break between visible characters, and
+between a word and the marks that end it; the ids of the cuts put together are the ids of the text. Each distinct cut
+goes through the library once and is remembered. Texts that hold one of the vocabulary's special tokens go through
+the library whole.
 """
 
 from __future__ import annotations
@@ -19,13 +20,21 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has the cores
 
 UNSIGNED = "I"
 LITTLE = sys.byteorder == "little" and array(UNSIGNED).itemsize == 4
+LINE_BREAKS = re.compile(r"\s\n|\n\s|\A\n|\n\Z")  # those that are not single ones between visible characters
+MARKS = frozenset(".,!?;:")
+MARKED = re.compile(r"(.*[^\W_])([.,!?;:]+)", re.DOTALL)
 VISIBLE_CUT = re.compile(r" (?:\s|\Z)")
 
 
+#: Byte-level vocabularies write a byte as its own character if that can be seen, else as the next one from 256 on.
+_SEEN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_CHARACTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SEEN)}
+
+
 class TokenIds:
     """Ids as little-endian unsigned 32-bit integers. ``memory`` bounds what is remembered, in characters."""
 
-    def __init__(self, path: str, memory: int = 12_000_000):
+    def __init__(self, path: str, memory: int = 8_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -35,12 +44,23 @@ class TokenIds:
         self.memory = memory
         self.known: dict[str, bytes] = {}
         self.heads: dict[str, bytes] = {}  # what stands before a text's first cut has no blank in front
+        self.marks: dict[str, bytes] = {}
+        self.spelled_break = self.spelling("\n")
+        self.line_break = self.library(["\n"])[0]
         self.size = 0
 
     def library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array(UNSIGNED, e.ids).tobytes() if LITTLE else np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def spelling(self, text: str) -> str:
+        """The text in the characters that stand for its bytes in the vocabulary."""
+        return text.encode().decode("latin-1").translate(BYTE_CHARACTERS)
+
+    def merged(self, spelled: str) -> bytes:
+        ids = [t.id for t in self.tokenizer.model.tokenize(spelled)]
+        return array(UNSIGNED, ids).tobytes() if LITTLE else np.array(ids, "<u4").tobytes()
+
     def cuts(self, text: str) -> list[str]:
         pieces = text.split(" ")
         if VISIBLE_CUT.search(text) is None:
@@ -54,24 +74,47 @@ class TokenIds:
         return joined
 
     def encode(self, text: str) -> bytes:
-        if any(s in text for s in self.special):
-            return self.library([text])[0]
-        head, *rest = self.cuts(text)
-        first = self.heads.get(head)
-        if first is None:
-            first = self.heads[head] = self.library([head])[0]
-            self.size += len(head)
-        try:
-            return first + b"".join(map(self.known.__getitem__, rest))
-        except KeyError:
-            self.learn(rest)
-            return first + b"".join(map(self.known.__getitem__, rest))
-
-    def learn(self, pieces: list[str]) -> None:
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text. What is new in any of them goes through the library together."""
         if self.size > self.memory:
             self.known, self.heads, self.size = {}, {}, 0
-        new = list({p for p in pieces if p not in self.known})
-        self.known.update(zip(new, self.library([" " + p for p in new]), strict=True))
+        done: list[list[bytes]] = []
+        later: list[tuple[list[bytes], int, str, list[str]]] = []
+        for text in texts:
+            if any(s in text for s in self.special):
+                done.append([self.library([text])[0]])
+                continue
+            lines = text.split("\n") if "\n" in text and LINE_BREAKS.search(text) is None else [text]
+            parts: list[bytes] = []
+            for at, line in enumerate(lines):
+                head, *rest = self.cuts(line)
+                try:
+                    parts.append(self.heads[head] + b"".join(map(self.known.__getitem__, rest)))
+                except KeyError:
+                    parts.append(b"")
+                    later.append((parts, at, head, rest))
+            done.append(parts)
+        if later:
+            self._learn(self.heads, "", {head for _, _, head, _ in later}.difference(self.heads))
+            self._learn(self.known, " ", set().union(*(set(r).difference(self.known) for _, _, _, r in later)))
+            for parts, at, head, rest in later:
+                parts[at] = self.heads[head] + b"".join(map(self.known.__getitem__, rest))
+        return [self.line_break.join(parts) for parts in done]
+
+    def _learn(self, known: dict[str, bytes], blank: str, new: set[str]) -> None:
+        parts = {p: m.groups() for p in new if p[-1:] in MARKS and (m := MARKED.fullmatch(p))}
+        whole = {*(new - parts.keys()), *(word for word, _ in parts.values() if word not in known)}
+        words = [p for p in whole if p.isalpha()]  # the pattern leaves these whole: only the merges are left to do
+        spelled = self.spelling("\n".join(blank + p for p in words)).split(self.spelled_break) if words else []
+        known.update(zip(words, map(self.merged, spelled), strict=True))
+        others = list(whole.difference(words))
+        known.update(zip(others, self.library([blank + p for p in others]), strict=True))
+        for piece, (word, marks) in parts.items():
+            if marks not in self.marks:
+                self.marks[marks] = self.library([marks])[0]
+            known[piece] = known[word] + self.marks[marks]
         self.size += sum(map(len, new))
 
 
