@@ -6,7 +6,7 @@
    must share at least 80 percent of either set, so a document with fewer shared shingles has no partner and drops
    out; what is left is its shared shingles, ordered from the shortest list to the longest.
 3. A document posts the shortest lists it is in: so many that a partner must be in one of them. In each list one
-   member, of the largest group so far, is the query for all others that are not in its group yet; after two such
+   member, of the largest group so far, is the query for all others that are not in its group yet; after three such
    rounds the pairs that are left in the lists across groups are searched one by one. The work in a list of near
    copies is thus in proportion to the list, and no link between groups is lost.
 4. A search holds one query and a block of candidates: T is the overlap that a candidate of that size needs. DivideSkip
@@ -38,7 +38,7 @@ from .common import MIX, documents, mixed, partitions, slices, texts, word_hashe
 
 SHINGLE = 5
 SHARE = 80  # percent
-HUB_ROUNDS = 2
+HUB_ROUNDS = 3
 FLUSH = 2_000_000  # postings that a map task gathers before it sends them
 BUCKET = 1_000_000  # postings of a range of the hash space, about
 BLOCK = 512  # candidates of a search; members of a list that meet in one step
@@ -402,7 +402,10 @@ def rest_pairs(named: DataFrame) -> DataFrame:
         def out() -> pa.RecordBatch:
             pairs = np.unique(np.concatenate(held), axis=0) if held else np.empty((0, 2), np.int64)
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+            first = np.nonzero(np.append(True, pairs[1:, 0] != pairs[:-1, 0]))[0] if len(pairs) else np.empty(0, np.int64)
+            offsets = pa.array(np.append(first, len(pairs)).astype(np.int32))
+            partners = pa.ListArray.from_arrays(offsets, pa.array(pairs[:, 1])) if len(pairs) else pa.array([], pa.list_(pa.int64()))
+            return pa.RecordBatch.from_arrays([pa.array(pairs[first, 0]), partners], ["a", "partners"])
 
         def stream() -> Iterator[tuple]:
             for batch in batches:
@@ -429,7 +432,9 @@ def rest_pairs(named: DataFrame) -> DataFrame:
 
     n = partitions(named.sparkSession)
     dealt = rows.repartition(n, "h", "x", "y").sortWithinPartitions("h", "x", "y")
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+    met = dealt.mapInArrow(run, "a bigint, partners array<bigint>")
+    partners = met.groupBy("a").agg(F.array_distinct(F.flatten(F.collect_list("partners"))).alias("partners"))
+    return partners.select("a", F.explode("partners").alias("b"))
 
 
 def similar_groups(docs: DataFrame) -> DataFrame:
