@@ -32,6 +32,8 @@ SIZES = (2, 3, 4)
 PER_LANGUAGE = 400
 MAX_LANGUAGES = 100
 EPOCHS = 12
+BATCH = 32
+LEAST_STEPS = 480  # a small sample is gone through more often
 RATE = 4.0
 LETTER = re.compile(r"[^\W\d_]")
 TOO_MANY = 300_000  # words that a Python worker remembers
@@ -149,11 +151,12 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
         return used, matrix
 
     learned = np.arange(held, len(bags))
-    for epoch in range(EPOCHS):
-        rate = RATE * (1 - epoch / EPOCHS)
+    epochs = max(EPOCHS, -(-LEAST_STEPS * BATCH // len(learned)))
+    for epoch in range(epochs):
+        rate = RATE * (1 - epoch / epochs)
         random.shuffle(learned)
-        for at in range(0, len(learned), 32):
-            these = learned[at : at + 32]
+        for at in range(0, len(learned), BATCH):
+            these = learned[at : at + BATCH]
             used, matrix = dense(these)
             hidden = matrix @ embed[used]
             logits = hidden @ layer + bias
