@@ -6,7 +6,7 @@
    must share at least 80 percent of either set, so a document with fewer shared shingles has no partner and drops
    out; what is left is its shared shingles, ordered from the shortest list to the longest.
 3. A document posts the shortest lists it is in: so many that a partner must be in one of them. In each list one
-   member, of the largest group so far, is the query for all others that are not in its group yet; after three such
+   member, of the largest group so far, is the query for all others that are not in its group yet; after two such
    rounds the pairs that are left in the lists across groups are searched one by one. The work in a list of near
    copies is thus in proportion to the list, and no link between groups is lost.
 4. A search holds one query and a block of candidates: T is the overlap that a candidate of that size needs. DivideSkip
@@ -38,7 +38,8 @@ from .common import MIX, documents, mixed, partitions, slices, texts, word_hashe
 
 SHINGLE = 5
 SHARE = 80  # percent
-HUB_ROUNDS = 3
+HUB_ROUNDS = 2
+HUBS = 12  # members of a group that serve as queries in a round, so that they differ
 FLUSH = 2_000_000  # postings that a map task gathers before it sends them
 BUCKET = 1_000_000  # postings of a range of the hash space, about
 BLOCK = 512  # candidates of a search; members of a list that meet in one step
@@ -378,23 +379,44 @@ def _possible(n1: str, pos1: str, n2: str, pos2: str):
 
 def hub_pairs(named: DataFrame) -> DataFrame:
     """In every list: one member of its largest group as ``a``, and each member of other groups as ``b``."""
-    hub = F.max(F.struct("size", "v", "c", "n", "pos")).alias("hub")
+    turn = F.when(F.col("size") == 1, -F.col("n")).otherwise(F.xxhash64("v", F.pmod("h", F.lit(HUBS))))
+    hub = F.max(F.struct("size", turn.alias("turn"), "v", "c", "n", "pos")).alias("hub")
     lists = named.groupBy("h").agg(hub, F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 <> c2")
     met = named.join(lists.select("h", "hub"), "h").where("c <> hub.c")
     met = met.select("n", "pos", F.col("hub.n").alias("n2"), F.col("hub.pos").alias("pos2"), F.col("hub.v").alias("a"), F.col("v").alias("b"))
     return met.where(_possible("n", "pos", "n2", "pos2")).select("a", "b").distinct()
 
 
-def rest_pairs(named: DataFrame) -> DataFrame:
+SLOTS = 128
+FULL = 2**16 - 1
+
+
+def slot_counts(sets: DataFrame) -> DataFrame:
+    """``v`` and ``slots``: how many shared hashes fall into each of :data:`SLOTS` parts. The sum of the smaller counts
+    is never below the overlap of two sets."""
+
+    def run(batches: Batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [
+                np.minimum(np.bincount(np.frombuffer(s, np.uint64) % np.uint64(SLOTS), minlength=SLOTS), FULL).astype("<u2").tobytes()
+                for s in batch.column(1).to_pylist()
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["v", "slots"])
+
+    return sets.select("v", "shared").mapInArrow(run, "v bigint, slots binary")
+
+
+def rest_pairs(named: DataFrame, sets: DataFrame) -> DataFrame:
     """All possible pairs across groups that meet in a list. A long list is cut into blocks; every two of its blocks
-    meet in one step."""
+    meet in one step. A pair whose slot counts rule a link out is left out."""
     lists = named.groupBy("h").agg(F.min("c").alias("c1"), F.max("c").alias("c2"), F.count("*").alias("k")).where("c1 <> c2")
     blocks = F.ceil(F.col("k") / (4 * BLOCK)).cast("int")
     rows = named.join(lists.select("h", blocks.alias("blocks")), "h")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
     every = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, "own").alias("x"), F.greatest(x, "own").alias("y")))
     rows = rows.select("h", "v", "n", "pos", "c", "own", F.explode(every).alias("step"))
-    rows = rows.select("h", "v", "n", "pos", "c", "own", "step.x", "step.y")
+    rows = rows.select("h", "v", "n", "pos", "c", "own", "step.x", "step.y").join(slot_counts(sets), "v")
+    rows = rows.select("h", "v", "n", "pos", "c", "own", "x", "y", "slots")
 
     def run(batches: Batches) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -413,16 +435,21 @@ def rest_pairs(named: DataFrame) -> DataFrame:
 
         size = 0
         for (_, x, y), group in groupby(stream(), key=lambda r: (r[0], r[6], r[7])):
-            t = np.array([r[1:6] for r in group], np.int64)
-            one, other = (t, t) if x == y else (t[t[:, 4] == x], t[t[:, 4] == y])
-            for v, n, pos, c, _ in one:
+            members = list(group)
+            t = np.array([r[1:6] for r in members], np.int64)
+            slots = np.frombuffer(b"".join(r[8] for r in members), "<u2").reshape(len(members), SLOTS).astype(np.int32)
+            slots[slots == FULL] = 1 << 24  # or more: as good as no bound
+            here, there = (t[:, 4] == x, t[:, 4] == y)
+            one, other, own_slots, other_slots = t[here], t[there], slots[here], slots[there]
+            for (v, n, pos, c, _), own in zip(one, own_slots, strict=True):
                 ok = other[:, 3] != c
                 ok &= 100 * np.minimum(other[:, 1], n) >= SHARE * np.maximum(other[:, 1], n)
                 ok &= np.minimum(other[:, 1] - other[:, 2], n - pos) >= needed(other[:, 1], n)
                 if x == y:
                     ok &= other[:, 0] > v
                 if ok.any():
-                    w = other[ok, 0]
+                    bound = np.minimum(other_slots[ok], own).sum(axis=1)
+                    w = other[ok, 0][bound >= needed(other[ok, 1], n)]
                     held.append(np.column_stack([np.minimum(w, v), np.maximum(w, v)]))
                     size += len(w)
             if size > 500_000:
@@ -445,17 +472,16 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     found = candidate_sets(docs, total).groupBy("sig").agg(F.first("n").alias("n"), F.first("shared").alias("shared"))
     sets = written(found.join(named, "sig").select("v", "n", "shared"), "shingle-sets")
     postings = written(prefix_postings(sets), "shingle-lists")
-    group, edges, tested = None, None, None
+    group, tested = None, None
     for step in range(HUB_ROUNDS + 1):
         state = written(_named(postings, group), "shingle-groups")
-        pairs = hub_pairs(state) if step < HUB_ROUNDS else rest_pairs(state)
+        pairs = hub_pairs(state) if step < HUB_ROUNDS else rest_pairs(state, sets)
         pairs = pairs.select(F.greatest("a", "b").alias("x"), F.least("a", "b").alias("y"), "a", "b")
         pairs = pairs.dropDuplicates(["x", "y"])
         pairs = written(pairs if tested is None else pairs.join(tested, ["x", "y"], "left_anti"), "shingle-pairs")
         tested = pairs.select("x", "y") if tested is None else tested.unionByName(pairs.select("x", "y"))
         new = written(links(pairs.select("a", "b"), sets), "shingle-links")
-        edges = new if edges is None else edges.unionByName(new)
-        group = groups(edges)
+        group = groups(new if group is None else new.unionByName(group.select(F.col("v").alias("a"), F.col("c").alias("b"))))
     of_sets = named.join(group, "v", "left").select(F.col("sig").alias("key"), F.coalesce("c", "v").alias("component_id"))
     alone = F.concat(F.lit("no set "), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")
     return rows.withColumn("key", F.coalesce("sig", alone)).join(of_sets, "key", "left").select(
