@@ -36,7 +36,7 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def slices(batch: pa.RecordBatch, column: int | str, size: int = 6_000_000) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: int | str, size: int = 1_500_000) -> Iterator[pa.RecordBatch]:
     """The rows in order, in parts of about ``size`` bytes of text, or one longer text: bounds a worker's memory."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     part = np.cumsum(lengths, dtype=np.int64) // size
