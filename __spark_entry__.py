@@ -6,7 +6,8 @@ import os
 import sys
 from collections.abc import Callable
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, HERE)
 
 from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
@@ -435,7 +436,21 @@ def queries() -> dict[str, Query]:
 
 def training_data_queries() -> dict[str, Query]:
     """Those of the package for training data, if it is there."""
-    return llm_queries.queries() | {"pipeline": corpus_pipeline.run} if llm_queries else {}
+    plans = llm_queries.queries() | {"pipeline": corpus_pipeline.run} if llm_queries else {}
+    return {name: _importable(plan) for name, plan in plans.items()}
+
+
+def _importable(plan: Query) -> Query:
+    """Python workers find this folder's package wherever the driver was started."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        environment = spark.sparkContext.environment
+        known = environment.get("PYTHONPATH", "")
+        if HERE not in known.split(os.pathsep):
+            environment["PYTHONPATH"] = os.pathsep.join(filter(None, [HERE, known]))
+        return plan(spark, sf_dir)
+
+    return run
 
 
 def _edged(plan: Query) -> Query:
