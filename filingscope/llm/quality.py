@@ -204,9 +204,14 @@ def verdicts(
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that the quality rules keep, with the input's columns."""
-    known = references(features(docs).withColumn("lang", F.col("_row.lang")), len(_vocabulary(COMMON_WORDS)))
-    return verdicts(features(docs), known).where("kept").select("_row.*")
+    """The documents that the quality rules keep, with the input's columns.
+
+    The features are a table before the verdict filters them: else the filter would be pushed through all their
+    expressions, and the plan would grow beyond measure.
+    """
+    rows = written(features(docs), "quality-rows")
+    known = references(rows.withColumn("lang", F.col("_row.lang")), len(_vocabulary(COMMON_WORDS)))
+    return verdicts(rows, known).where("kept").select("_row.*")
 
 
 def op8_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
