@@ -27,7 +27,8 @@ def corpus():
 
 def test_stages_match_plain_versions(docs, spark):
     rows = corpus()
-    table = docs(*rows, (500, "### $$$ " * 60, "en"), (501, "too short", "en"), *AWKWARD)
+    empty = [r for r in AWKWARD if r[0] in (1, 2, 3, 4)]
+    table = docs(*rows, (500, "### $$$ " * 60, "en"), (501, "too short", "en"), *empty)
     now = table
     kept = []
     for _, stage in corpus_pipeline.STAGES[:-1]:
