@@ -1,16 +1,18 @@
 """Language-model scores by a probabilistic suffix tree over words.
 
-The tree's nodes are contexts of zero, one or two words. Counts come from all training documents in three passes:
-words, then pairs of frequent words, then triples of frequent pairs; a sequence can only be frequent if its parts are.
-An n-gram is frequent if it makes up ``LEAST_SHARE`` of all tokens, so there are at most ``1 / LEAST_SHARE`` of each
-order however large the corpus is: that bounds what is sent to the executors. The root knows every word of the
-corpus, however rare; these counts stay a table and are joined.
+The tree's nodes are contexts of zero, one or two words. All training documents are counted once, as triples (a word
+and the two before it, with a mark before the start of a text); pairs and words are sums of them. Triples, pairs,
+words and contexts are tables and met by joins, so nothing that is learned is bounded by a share of the corpus or held
+by the driver: a pair or triple counts from ``LEAST_COUNT`` occurrences on, whatever the size of the corpus. Keys that
+many rows share (a common word, a common pair) are split by Spark's handling of skewed joins; sums are partial first.
 
 A context stays in the tree if its next words diverge from those of its shorter suffix: by the Kullback-Leibler
 divergence (words that are not recorded count as one), and by that times the context's count. Next-word distributions
 are smoothed by absolute discounting: what is taken off the recorded words goes to the suffix's distribution, and at
 the root to one class of unknown words. Each token is scored from the longest suffix of its past that is in the tree;
-no context reaches across documents.
+no context reaches across documents. Each distinct triple is scored once and joined to the documents that have it.
+
+``learn`` holds the same tree in one process, for corpora whose triples fit there; the tests compare the two.
 
 Nulls: a null text is empty and consists of its end alone; a null ``doc_id`` is neither held out nor learned from.
 Each row has its own result, repeated rows equal ones (and they count as often as they stand there). If there is
@@ -20,20 +22,21 @@ nothing to learn from, every token has probability one of the unknown class. An
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, mixed, slices, texts, word_hashes, words_of, written
 
-LEAST_SHARE = 2e-7
 LEAST_COUNT = 2
 DISCOUNT = 0.75
 LEAST_DIVERGENCE = 0.02  # nats for each token after the context
 LEAST_GAIN = 10.0  # nats for all tokens after the context
 END = np.uint64(0x454E44)  # stands for the end of a text; no word's hash is set to it on purpose
+START = np.uint64(0x5354415254)  # stands before the first word of a text; no context holds it
 
 Batches = Iterable[pa.RecordBatch]
 
@@ -89,7 +92,7 @@ class Frequent:
 
 
 def _frequent(counts: DataFrame, least: float) -> Frequent:
-    table = counts.where(F.col("n") >= least).select("key", "n").toArrow()  # at most 1 / LEAST_SHARE rows
+    table = counts.where(F.col("n") >= least).select("key", "n").toArrow()
     return Frequent(table["key"].to_numpy().astype(np.int64).view(np.uint64), table["n"].to_numpy())
 
 
@@ -97,7 +100,7 @@ SHIFT = np.uint64(24)
 
 
 class Tree:
-    """What scoring needs: places of frequent words, pairs and triples, and the distributions of the kept contexts.
+    """The tree in one process: places of words, pairs and triples, and the distributions of the kept contexts.
 
     Pairs are keyed by two word places, triples by the place of their first pair and that of their last word.
     """
@@ -199,8 +202,19 @@ def _distributions(
     return keep, part, np.clip(left, 1e-9, 1.0)
 
 
-def learn(train: DataFrame, counts: DataFrame) -> Tree:
-    """The tree of the training texts (one column); ``counts`` are their word counts, written."""
+class Root(NamedTuple):
+    total: float
+    distinct: int
+    discount: float
+    unknown: float
+
+    def chance(self, count: Column) -> Column:
+        """A word's probability by its count, or that of the unknown class."""
+        seen = F.greatest(count - self.discount, F.lit(1e-9)) / max(self.total, 1.0)
+        return F.when(count > 0, seen).otherwise(self.unknown)
+
+
+def _root(counts: DataFrame) -> Root:
     s = counts.agg(
         F.sum("n").alias("total"),
         F.count("*").alias("distinct"),
@@ -209,9 +223,13 @@ def learn(train: DataFrame, counts: DataFrame) -> Tree:
     ).first()
     total, once, twice = float(s["total"] or 0), s["once"] or 0, s["twice"] or 0
     discount = min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
-    least = LEAST_SHARE * total
-    tree = Tree(_frequent(counts, max(1.0, least)), total, float(s["distinct"]), discount)
-    least = max(LEAST_COUNT, least)
+    return Root(total, s["distinct"], discount, max(discount * s["distinct"] / total, 1e-12) if total else 1.0)
+
+
+def learn(train: DataFrame, counts: DataFrame) -> Tree:
+    """The tree of the training texts (one column) in one process; ``counts`` are their word counts, written."""
+    root = _root(counts)
+    tree = Tree(_frequent(counts, 1.0), root.total, float(root.distinct), root.discount)
 
     def each(keys_of: Callable) -> Callable[[Batches], Iterator[pa.RecordBatch]]:
         shared = train.sparkSession.sparkContext.broadcast(tree)
@@ -225,71 +243,144 @@ def learn(train: DataFrame, counts: DataFrame) -> Tree:
 
         return count
 
-    tree.pairs = _frequent(_sums(train, each(lambda t, w, r: t.pair_keys(w, r))), least)
-    tree.triples = _frequent(_sums(train, each(lambda t, w, r: t.triple_keys(w, t.pair_places(w, r)))), least)
+    tree.pairs = _frequent(_sums(train, each(lambda t, w, r: t.pair_keys(w, r))), LEAST_COUNT)
+    tree.triples = _frequent(_sums(train, each(lambda t, w, r: t.triple_keys(w, t.pair_places(w, r)))), LEAST_COUNT)
     tree.grow()
     return tree
 
 
-PARTS = (
-    "uid bigint, key bigint, n bigint, "
-    "doc struct<doc_id:bigint,held_out:boolean,n_tokens:bigint,n_known:bigint,base:double,score:double,by_context:bigint>"
-)
+def _triples(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct triples of a column of texts (a row each: u, v, w), each token's triple, and each token's row."""
+    index, rows, hashes = _tokens(column)
+    grams = np.full((3, len(index)), START, np.uint64)
+    grams[2] = hashes[index]
+    same = rows[1:] == rows[:-1]
+    grams[1, 1:] = np.where(same, grams[2, :-1], START)
+    grams[0, 1:] = np.where(same, grams[1, :-1], START)
+    keys = mixed(mixed(mixed(grams[0]) + grams[1]) + grams[2])
+    _, first, coded = np.unique(keys, return_index=True, return_inverse=True)
+    return grams[:, first].view(np.int64), coded, rows
+
+
+def triple_counts(train: DataFrame, others: DataFrame) -> DataFrame:
+    """``u``, ``v``, ``w`` and ``n`` of every triple of the training texts, and with ``n`` 0 of the other texts."""
+
+    def counted(learned: bool) -> Callable[[Batches], Iterator[pa.RecordBatch]]:
+        def count(batches: Batches) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for some in slices(batch, 0):
+                    grams, coded, _ = _triples(some.column(0))
+                    n = np.bincount(coded, minlength=grams.shape[1]) * learned
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*grams, n.astype(np.int64))], ["u", "v", "w", "n"])
+
+        return count
+
+    kinds = "u bigint, v bigint, w bigint, n bigint"
+    both = train.mapInArrow(counted(True), kinds).unionAll(others.select("text").mapInArrow(counted(False), kinds))
+    return both.groupBy("u", "v", "w").agg(F.sum("n").alias("n"))
+
+
+def _divergent(recorded: DataFrame, context: list[str], totals: DataFrame) -> DataFrame:
+    """The contexts of the recorded next words (``n``, and ``suffix``: the probability by the shorter context), with
+    their ``total`` (of ``totals``), the share ``rest`` that is left to the suffix, and ``keep``. See _distributions."""
+    n, total = F.col("n"), F.col("total")
+    sums = recorded.groupBy(*context).agg(
+        F.sum(n * (F.log(n) - F.log(F.greatest("suffix", F.lit(1e-30))))).alias("_terms"),
+        F.sum("n").alias("_n"),
+        F.sum(n - DISCOUNT).alias("_part"),
+        F.sum("suffix").alias("_suffix"),
+    )
+    clipped = lambda x: F.least(F.greatest(1 - x, F.lit(1e-9)), F.lit(1.0))
+    pooled, pooled_suffix = clipped(F.col("_n") / total), clipped(F.col("_suffix"))
+    divergence = (F.col("_terms") - F.col("_n") * F.log(total)) / total + pooled * F.log(pooled / pooled_suffix)
+    keep = (divergence >= LEAST_DIVERGENCE) & (divergence * total >= LEAST_GAIN)
+    return sums.join(totals, context).select(*context, "total", clipped(F.col("_part") / total).alias("rest"), keep.alias("keep"))
+
+
+def triple_scores(types: DataFrame) -> tuple[DataFrame, Root]:
+    """The probability ``p`` of the last word of each triple (written), its count ``c`` and if a context counted."""
+    counts = written(types.where("n > 0").groupBy("w").agg(F.sum("n").alias("n")), "word-counts")
+    root = _root(counts)
+    pairs = types.groupBy("v", "w").agg(F.sum("n").alias("n")).join(counts.select("w", F.col("n").alias("c")), "w", "left")
+    pairs = written(pairs.withColumn("c", F.coalesce("c", F.lit(0))).withColumn("root", root.chance(F.col("c"))), "pairs")
+    start = F.lit(int(START))
+    recorded = F.col("n") >= LEAST_COUNT
+
+    one = pairs.where(recorded & (F.col("v") != start)).select("v", "n", F.col("root").alias("suffix"))
+    one = written(_divergent(one, ["v"], counts.select(F.col("w").alias("v"), F.col("n").alias("total"))), "contexts-1")
+
+    def steps(contexts: DataFrame) -> DataFrame:
+        """Each pair's probability by the contexts of one word that are in the tree, else by the root."""
+        part = F.when(recorded, (F.col("n") - DISCOUNT) / F.col("total")).otherwise(0.0)
+        there = F.col("rest").isNotNull()
+        p = F.when(there, part + F.col("rest") * F.col("root")).otherwise(F.col("root"))
+        return pairs.join(contexts, "v", "left").select("v", "w", "c", p.alias("p"), there.alias("by_context"))
+
+    often = types.where(recorded & (F.col("u") != start))
+    two = often.join(steps(one.where("keep").drop("keep")).withColumnRenamed("p", "suffix"), ["v", "w"])
+    totals = pairs.select(F.col("v").alias("u"), F.col("w").alias("v"), F.col("n").alias("total"))
+    two = written(_divergent(two.select("u", "v", "n", "suffix"), ["u", "v"], totals).where("keep").drop("keep"), "contexts-2")
+
+    # A suffix of a context in the tree is in the tree.
+    suffixes = two.select("v").distinct().withColumn("closed", F.lit(True))
+    one = one.join(suffixes, "v", "left").where(F.col("keep") | F.col("closed")).drop("keep", "closed")
+    part = F.when(recorded, (F.col("n") - DISCOUNT) / F.col("total")).otherwise(0.0)
+    p = F.when(F.col("rest").isNotNull(), part + F.col("rest") * F.col("p")).otherwise(F.col("p"))
+    scored = types.join(steps(one), ["v", "w"]).join(two, ["u", "v"], "left")
+    scored = scored.select(F.xxhash64("u", "v", "w").alias("key"), F.log10(F.greatest(p, F.lit(1e-30))).alias("p"), "c", "by_context")
+    return scored, root
+
+
+PARTS = "uid bigint, u bigint, v bigint, w bigint, n bigint, doc struct<doc_id:bigint,held_out:boolean,n_tokens:bigint>"
+
 
+def score(docs: DataFrame, train: DataFrame, others: DataFrame | None = None) -> DataFrame:
+    """Scores of all ``docs`` (``doc_id``, ``text``, ``held_out``) by a tree learned from ``train`` (``text``).
 
-def score(docs: DataFrame, train: DataFrame) -> DataFrame:
-    """Scores of all ``docs`` (``doc_id``, ``text``, ``held_out``) by a tree learned from ``train`` (``text``)."""
-    spark = docs.sparkSession
-    counts = written(word_counts(train), "word-counts")
-    tree = learn(train, counts)
-    shared = spark.sparkContext.broadcast(tree)
+    ``others``: those of ``docs`` that are not in ``train``, if the caller knows them."""
+    types = written(triple_counts(train, docs if others is None else others), "triples")
+    scored, root = triple_scores(types)
 
     def parts(batches: Batches) -> Iterator[pa.RecordBatch]:
-        t = shared.value
-        kinds = pa.struct([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("by_context", pa.int64())])
+        kinds = pa.struct([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64())])
+        names = ["uid", "u", "v", "w", "n", "doc"]
         for batch in (part for whole in batches for part in slices(whole, "text")):
             n = batch.num_rows
-            word, rows, index, hashes = t.places(batch.column("text"))
-            logs, length = t.score(word, rows)
-            known = word >= 0
-            base = np.where(known, np.log10(t.words.counts[np.maximum(word, 0)] + 0.1), 0.0) if len(t.words.counts) else np.zeros(len(word))
-            sums = [np.bincount(rows, x, n) for x in (np.ones(len(rows)), known, base, logs, length > 0)]
+            grams, coded, rows = _triples(batch.column("text"))
             uid = batch.column("uid")
-            columns = [pa.array(x.astype(np.int64)) for x in sums[:2]] + [pa.array(x) for x in sums[2:4]] + [pa.array(sums[4].astype(np.int64))]
-            of_docs = pa.StructArray.from_arrays([batch.column("doc_id"), batch.column("held_out"), *columns], fields=list(kinds))
-            own = mixed(uid.to_numpy().astype(np.int64).view(np.uint64)).view(np.int64)  # spread; it matches no word that counts
-            yield pa.RecordBatch.from_arrays([uid, pa.array(own), pa.array(np.zeros(n, np.int64)), of_docs], ["uid", "key", "n", "doc"])
-            rare = ~known
-            pairs, often = np.unique(rows[rare] * len(hashes) + index[rare], return_counts=True)
-            if len(pairs):
-                keys = hashes[pairs % len(hashes)].view(np.int64)
-                at = uid.to_numpy()[pairs // len(hashes)]
-                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(keys), pa.array(often.astype(np.int64)), pa.nulls(len(at), kinds)], ["uid", "key", "n", "doc"])
+            tokens = pa.array(np.bincount(rows, minlength=n).astype(np.int64))
+            of_docs = pa.StructArray.from_arrays([batch.column("doc_id"), batch.column("held_out"), tokens], fields=list(kinds))
+            none = pa.array(np.zeros(n, np.int64))
+            yield pa.RecordBatch.from_arrays([uid, uid, none, none, none, of_docs], names)  # no word counts here
+            pairs, often = np.unique(rows * grams.shape[1] + coded, return_counts=True)
+            here = grams[:, pairs % grams.shape[1]]
+            at = uid.to_numpy()[pairs // grams.shape[1]]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (at, *here, often.astype(np.int64))] + [pa.nulls(len(at), kinds)], names)
 
     rows = docs.select("doc_id", "held_out", "text").withColumn("uid", F.monotonically_increasing_id())
-    found = rows.mapInArrow(parts, PARTS).join(counts.select("key", F.col("n").alias("c")), "key", "left")
-    rare, c = F.col("doc").isNull(), F.coalesce(F.col("c"), F.lit(0))
-    root = F.when(c > 0, (c - tree.discount) / max(tree.total, 1.0)).otherwise(tree.unknown)
-    one = found.select(
-        "uid",
-        "doc",
-        F.when(rare & (c > 0), F.col("n")).otherwise(0).alias("known"),
-        F.when(rare, F.col("n") * F.log10(c + 0.1)).otherwise(0.0).alias("base"),
-        F.when(rare, F.col("n") * F.log10(root)).otherwise(0.0).alias("rest"),
+    rows = rows.mapInArrow(parts, PARTS).select("uid", F.xxhash64("u", "v", "w").alias("key"), "n", "doc")
+    found = rows.join(scored, "key", "left")
+    n = F.col("n")
+    whole = found.groupBy("uid").agg(
+        F.max("doc").alias("doc"),
+        F.sum(F.when(F.col("c") > 0, n).otherwise(0)).alias("known"),
+        F.sum(n * F.log10(F.coalesce("c", F.lit(0)) + 0.1)).alias("base"),
+        F.sum(n * F.coalesce("p", F.lit(0.0))).alias("score"),
+        F.sum(F.when(F.col("by_context"), n).otherwise(0)).alias("by_context"),
     )
-    whole = one.groupBy("uid").agg(F.max("doc").alias("doc"), F.sum("known").alias("known"), F.sum("base").alias("base"), F.sum("rest").alias("rest"))
-    norm = float(np.log10(tree.total + 0.1 * (tree.distinct + 1)))
+    norm = float(np.log10(root.total + 0.1 * (root.distinct + 1)))
     return whole.select(
         *("doc.doc_id", "doc.held_out", "doc.n_tokens"),
-        (F.col("doc.n_known") + F.col("known")).alias("n_known"),
-        F.lit(int(tree.total)).cast("long").alias("train_tokens"),
-        (F.col("doc.base") + F.col("base") - F.col("doc.n_tokens") * norm).alias("base_score"),
-        (F.col("doc.score") + F.col("rest")).alias("score"),
-        F.col("doc.by_context").alias("n_by_context"),
+        F.col("known").alias("n_known"),
+        F.lit(int(root.total)).cast("long").alias("train_tokens"),
+        (F.col("base") - F.col("doc.n_tokens") * norm).alias("base_score"),
+        "score",
+        F.col("by_context").alias("n_by_context"),
     )
 
 
 def op1_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     remainder = F.crc32(F.col("doc_id").cast("string")) % 10
     docs = texts(documents(spark, sf_dir)).withColumn("held_out", F.coalesce(remainder == 0, F.lit(False)))
-    return score(docs, docs.where(remainder != 0).select("text"))
+    others = docs.where(F.coalesce(remainder == 0, F.lit(True)))
+    return score(docs, docs.where(remainder != 0).select("text"), others)

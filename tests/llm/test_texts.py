@@ -257,3 +257,31 @@ def test_scores_of_awkward_rows(docs, spark):
     nothing = suffix_tree.score(table, table.select("text").limit(0)).collect()
     assert len(nothing) == len(AWKWARD) and all(r["score"] == 0 and r["n_known"] == 0 for r in nothing)
     assert suffix_tree.score(table.limit(0), table.select("text")).count() == 0
+
+
+def test_scores_are_those_of_the_tree_in_one_process(docs, spark):
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    rng = random.Random(4)
+    line = lambda: " ".join(rng.choice(("p x y", "q x z", "x", *"uvw", f"r{rng.randrange(60)}")) for _ in range(rng.randrange(40)))
+    learned, new = [line() for _ in range(60)], [line() + " unseen" for _ in range(10)]
+    table = suffix_tree.texts(docs(*learned, *new)).withColumn("held_out", F.col("doc_id") >= 60)
+    rows = {r["doc_id"]: r for r in suffix_tree.score(table, table.where("doc_id < 60").select("text")).collect()}
+    tree = tree_of(learned, spark)
+    word, at, _, _ = tree.places(pa.array(learned + new))
+    logs, length = tree.score(word, at)
+    logs = np.where(word < 0, logs + math.log10(tree.unknown), logs)
+    assert tree.keep_one.any() and tree.keep_two.any() and (word < 0).any()
+    for i in range(70):
+        assert math.isclose(rows[i]["score"], logs[at == i].sum(), rel_tol=1e-9)
+        assert rows[i]["n_by_context"] == (length[at == i] > 0).sum()
+
+
+def test_a_rare_context_counts_however_large_the_corpus(docs, spark):
+    from pyspark.sql import functions as F
+
+    large = spark.range(500).select(F.expr("repeat('filler ', 40000)").alias("text"))  # 20 million words
+    table = suffix_tree.texts(docs("alpha beta")).withColumn("held_out", F.lit(True))
+    few = spark.createDataFrame([("alpha beta",)] * 3, "text string")
+    assert suffix_tree.score(table, large.unionAll(few)).first()["n_by_context"] >= 1
