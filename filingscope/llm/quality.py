@@ -3,16 +3,20 @@
 A document's histogram of character classes and its histogram of common words are compared with those of each
 reference language by the Jensen-Shannon distance (base 2, so 0 to 1). A document goes if even the nearest
 language is too far. Short texts say little about a distribution, so each comparison has a minimum length below
-which it is not made. The references are the pooled histograms of all documents of a language; languages with
-less than one percent of the documents are no reference, so there are at most a hundred.
+which it is not made. The references are the pooled histograms of all documents of a language. Those of languages with
+one percent of the documents or more (at most a hundred) hold for every document; that of a rarer language with enough
+words is joined to the documents of that language alone, so that a rare label of junk admits no other document. A
+document whose language has no reference has null distances and stays.
 
 Nulls: a null text has no words and fails the base rule; a null ``lang`` counts for no reference and the row is
-judged like any other; an empty table gives an empty result. Every row is judged alone: repeated rows get equal
+judged by those that hold for every document; an empty table gives an empty result. Every row is judged alone: repeated rows get equal
 verdicts.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +36,7 @@ WORD_GUARD = 150
 MAX_CHAR_DISTANCE = 0.26
 MAX_WORD_DISTANCE = 0.285
 LEAST_SHARE = 0.01
+LEAST_WORDS = 2000  # of a rarer language: its own sampling adds less than 0.1 to a distance, in squares
 RUN = 5
 
 #: Character classes that are counted. Further ones: bytes beyond the first of a character, white space, the rest.
@@ -120,11 +125,19 @@ def _vocabulary(common_words: dict[str, list[str]]) -> list[str]:
     return sorted({w for words in common_words.values() for w in words})
 
 
-def references(rows: DataFrame, n_words: int) -> dict[str, tuple[list[float], list[float]]]:
+class References(NamedTuple):
+    """``common``: by language, the shares of the character classes and of the common words. ``rare``: the same as a
+    table of ``_lang``, ``_own_chars`` and ``_own_words``."""
+
+    common: dict[str, tuple[list[float], list[float]]]
+    rare: DataFrame
+
+
+def references(rows: DataFrame, n_words: int) -> References:
     """Per language the shares of the character classes, and those of the common words (the rest is no word).
 
     ``rows`` has ``lang``, ``n_words``, ``_chars`` and ``_common`` of all documents; ``n_words`` is the number of
-    common words. At most a hundred languages come back, each with a fixed number of shares.
+    common words. At most a hundred languages come to the driver, each with a fixed number of shares.
     """
     marked = lambda place, n: F.struct(F.lit(place).cast("long").alias("word"), n.cast("double").alias("n"))
     marks = [marked(-i, F.get("_chars", F.lit(i))) for i in range(N_CLASSES)]
@@ -132,17 +145,23 @@ def references(rows: DataFrame, n_words: int) -> dict[str, tuple[list[float], li
     labelled = rows.where("lang IS NOT NULL")
     bins = labelled.select("lang", F.explode(F.concat("_common", F.array(*marks))).alias("bin"))
     sums = bins.groupBy("lang", F.col("bin.word").alias("word")).agg(F.sum("bin.n").alias("n"))
-    large = sums.groupBy("lang").agg(
-        F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("sums"),
-        F.max(F.when(F.col("word") == -N_CLASSES, F.col("n"))).alias("docs"),
-    )
+    of = lambda key: F.coalesce(F.element_at("sums", F.lit(key).cast("long")), F.lit(0.0))
+    by_lang = sums.groupBy("lang").agg(F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("sums"))
+    by_lang = written(by_lang.withColumns({"docs": of(-N_CLASSES), "words": of(-N_CLASSES - 1)}), "quality-references")
+    least = LEAST_SHARE * float(by_lang.agg(F.sum("docs")).first()[0] or 0)
     result = {}
-    for r in large.where(F.col("docs") >= LEAST_SHARE * labelled.count()).collect():
+    for r in by_lang.where(F.col("docs") >= least).collect():
         n = r["sums"]
         chars, words = [n[-i] for i in range(N_CLASSES)], n[-N_CLASSES - 1]
         if words and sum(chars):
             result[r["lang"]] = ([c / sum(chars) for c in chars], [n.get(i + 1, 0.0) / words for i in range(n_words)])
-    return dict(sorted(result.items()))
+    chars = [of(-i) for i in range(N_CLASSES)]
+    rare = by_lang.where((F.col("docs") < least) & (F.col("words") >= LEAST_WORDS)).select(
+        F.col("lang").alias("_lang"),
+        F.array(*[c / sum(chars[1:], chars[0]) for c in chars]).alias("_own_chars"),
+        F.array(*[of(i + 1) / F.col("words") for i in range(n_words)]).alias("_own_words"),
+    )
+    return References(dict(sorted(result.items())), rare)
 
 
 def _half(p: Column, q: Column) -> Column:
@@ -152,21 +171,20 @@ def _half(p: Column, q: Column) -> Column:
     return (term(p) + term(q)) / 2
 
 
-def _char_distance(shares: list[float]) -> Column:
+def _char_distance(shares: Column) -> Column:
     total = F.aggregate("_chars", F.lit(0.0), lambda a, x: a + x)
-    bins = [_half(F.get("_chars", F.lit(i)) / total, F.lit(q)) for i, q in enumerate(shares)]
+    bins = [_half(F.get("_chars", F.lit(i)) / total, F.get(shares, F.lit(i))) for i in range(N_CLASSES)]
     return F.sqrt(F.greatest(F.lit(0.0), sum(bins[1:], bins[0])))
 
 
-def _word_distance(shares: list[float]) -> Column:
+def _word_distance(shares: Column, total: Column) -> Column:
     """Bins that the document lacks add half their share each, so only the bins it has are visited."""
-    n, total = F.col("n_words").cast("double"), min(1.0, sum(shares))
-    table = F.array(*[F.lit(q) for q in shares])
-    share = lambda x: F.get(table, (x["word"] - 1).cast("int"))
-    rest = _half(1 - F.col("_n_common") / n, F.lit(1.0 - total))
+    n = F.col("n_words").cast("double")
+    share = lambda x: F.get(shares, (x["word"] - 1).cast("int"))
+    rest = _half(1 - F.col("_n_common") / n, 1 - total)
     seen = F.aggregate(
         "_common",
-        F.lit(total / 2),
+        total / 2,
         lambda sum_, x: sum_ + _half(x["n"] / n, share(x)) - share(x) / 2,
     )
     return F.sqrt(F.greatest(F.lit(0.0), rest + seen))
@@ -174,7 +192,7 @@ def _word_distance(shares: list[float]) -> Column:
 
 def verdicts(
     rows: DataFrame,
-    known: dict[str, tuple[list[float], list[float]]],
+    known: References,
     max_char_distance: float = MAX_CHAR_DISTANCE,
     max_word_distance: float = MAX_WORD_DISTANCE,
     char_guard: int = CHAR_GUARD,
@@ -182,21 +200,26 @@ def verdicts(
 ) -> DataFrame:
     """Adds ``char_distance`` and ``word_distance`` to the nearest reference, and ``kept``.
 
-    A distance is null where its length guard holds it back or there is no reference; a null distance keeps.
+    A distance is null where its length guard holds it back or the document's language has no reference; a null
+    distance keeps. ``rows`` has ``lang``, or it is in ``_row``.
     """
-
-    def nearest(distances: list[Column]) -> Column:
-        return F.least(*distances, F.lit(1.0)) if distances else F.lit(None).cast("double")
-
-    rows = rows.withColumns(
-        {
-            "char_distance": F.when(
-                F.col("_length") >= char_guard, nearest([_char_distance(c) for c, _ in known.values()])
-            ),
-            "word_distance": F.when(
-                F.col("n_words") >= word_guard, nearest([_word_distance(w) for _, w in known.values()])
-            ),
-        }
+    lang = F.col("lang") if "lang" in rows.columns else F.col("_row.lang")
+    own = F.col("_lang").isNotNull()
+    any_language = (lang.isNull() | lang.isin(list(known.common))) if known.common else F.lit(False)
+
+    def nearest(distances: list[Column], of_own: Column) -> Column:
+        return F.when(own | any_language, F.least(*distances, F.when(own, of_own), F.lit(1.0)))
+
+    table = lambda shares: F.array(*[F.lit(q) for q in shares])
+    by_chars = [_char_distance(table(c)) for c, _ in known.common.values()]
+    by_words = [_word_distance(table(w), F.lit(min(1.0, sum(w)))) for _, w in known.common.values()]
+    total = F.least(F.lit(1.0), F.aggregate("_own_words", F.lit(0.0), lambda a, x: a + x))
+    own_words = _word_distance(F.col("_own_words"), total)
+    columns = rows.columns
+    rows = rows.join(known.rare, lang == F.col("_lang"), "left").select(
+        *columns,
+        F.when(F.col("_length") >= char_guard, nearest(by_chars, _char_distance(F.col("_own_chars")))).alias("char_distance"),
+        F.when(F.col("n_words") >= word_guard, nearest(by_words, own_words)).alias("word_distance"),
     )
     near = lambda name, most: F.coalesce(F.col(name) <= most, F.lit(True))
     kept = ~F.col("base_failed") & near("char_distance", max_char_distance) & near("word_distance", max_word_distance)

@@ -47,3 +47,16 @@ def test_awkward_rows_and_empty_table(docs):
     known = quality.references(quality.features(table).withColumn("lang", quality.F.col("_row.lang")), 1)
     assert quality.verdicts(quality.features(table), known).count() == len(AWKWARD)
     assert quality.keep_good(table.limit(0)).count() == 0
+
+
+def test_a_rare_language_is_not_judged_by_the_others(docs):
+    english = "the cat sat on the mat and it is a good day for all of us to be in the sun, as they say. "
+    plain = [english + " ".join(f"w{chr(97 + i % 26)}{chr(97 + j % 26)}" for j in range(20)) for i in range(400)]
+    foreign = lambda seed, n: " ".join(f"kilo{chr(97 + (seed + j) % 26)}ma{chr(97 + j // 26 % 26)}{j}" for j in range(n))
+    junk = " ".join(f"w{i}ord$$$ ***%%%" for i in range(200))
+    rare = [(1000, foreign(1, 1500), "xx"), (1001, foreign(2, 1500), "xx"), (1002, junk, "xx"), (1003, foreign(3, 200), "yy")]
+    table = docs(*[(i, t, "en") for i, t in enumerate(plain)], *rare, (1004, foreign(4, 200), "en"))
+    kept = {r["doc_id"] for r in quality.keep_good(table).collect() if r["doc_id"] >= 1000}
+    assert kept == {1000, 1001, 1003}
+    known = quality.references(quality.features(table).withColumn("lang", quality.F.col("_row.lang")), 1)
+    assert list(known.common) == ["en"] and [r["_lang"] for r in known.rare.collect()] == ["xx"]
