@@ -2,8 +2,9 @@
 
 A document's histogram of character classes and its histogram of common words are compared with those of each
 reference language by the Jensen-Shannon distance (base 2, so 0 to 1). A document goes if even the nearest
-language is too far. Short texts say little about a distribution, so each comparison has a minimum length below
-which it is not made. The references are the pooled histograms of all documents of a language. Those of languages with
+language is too far. A short text is a small sample, whose distance is larger by chance: its square grows with one
+over the length. So below a length each limit widens in the same way; texts of every length are compared.
+The references are the pooled histograms of all documents of a language. Those of languages with
 one percent of the documents or more (at most a hundred) hold for every document; that of a rarer language with enough
 words is joined to the documents of that language alone, so that a rare label of junk admits no other document. A
 document whose language has no reference has null distances and stays.
@@ -31,10 +32,13 @@ COMMON_WORDS = {
 }
 
 WORD_GAP = r"[\x20\x09-\x0D]+"
-CHAR_GUARD = 400
-WORD_GUARD = 150
-MAX_CHAR_DISTANCE = 0.26
-MAX_WORD_DISTANCE = 0.285
+CHAR_LENGTH = 400
+WORD_LENGTH = 150
+MAX_CHAR_DISTANCE = 0.26  # from CHAR_LENGTH characters on
+MAX_WORD_DISTANCE = 0.285  # from WORD_LENGTH words on
+# What the square of a distance spreads by, times the length: between the highest distances of clean shorter texts.
+CHAR_SPREAD = 30.0
+WORD_SPREAD = 3.0
 LEAST_SHARE = 0.01
 LEAST_WORDS = 2000  # of a rarer language: its own sampling adds less than 0.1 to a distance, in squares
 RUN = 5
@@ -190,18 +194,22 @@ def _word_distance(shares: Column, total: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), rest + seen))
 
 
+def limit(size: Column, most: float, length: int, spread: float) -> Column:
+    """The largest distance of a document that is kept: ``most`` from ``length`` on, wider for a shorter one."""
+    n = F.greatest(size, F.lit(1)).cast("double")
+    return F.sqrt(most**2 + spread * F.greatest(F.lit(0.0), 1 / n - 1 / length))
+
+
 def verdicts(
     rows: DataFrame,
     known: References,
     max_char_distance: float = MAX_CHAR_DISTANCE,
     max_word_distance: float = MAX_WORD_DISTANCE,
-    char_guard: int = CHAR_GUARD,
-    word_guard: int = WORD_GUARD,
 ) -> DataFrame:
     """Adds ``char_distance`` and ``word_distance`` to the nearest reference, and ``kept``.
 
-    A distance is null where its length guard holds it back or the document's language has no reference; a null
-    distance keeps. ``rows`` has ``lang``, or it is in ``_row``.
+    A distance is null where there is no text or the document's language has no reference; a null distance keeps.
+    ``rows`` has ``lang``, or it is in ``_row``.
     """
     lang = F.col("lang") if "lang" in rows.columns else F.col("_row.lang")
     own = F.col("_lang").isNotNull()
@@ -218,11 +226,13 @@ def verdicts(
     columns = rows.columns
     rows = rows.join(known.rare, lang == F.col("_lang"), "left").select(
         *columns,
-        F.when(F.col("_length") >= char_guard, nearest(by_chars, _char_distance(F.col("_own_chars")))).alias("char_distance"),
-        F.when(F.col("n_words") >= word_guard, nearest(by_words, own_words)).alias("word_distance"),
+        F.when(F.col("_length") > 0, nearest(by_chars, _char_distance(F.col("_own_chars")))).alias("char_distance"),
+        F.when(F.col("n_words") > 0, nearest(by_words, own_words)).alias("word_distance"),
     )
     near = lambda name, most: F.coalesce(F.col(name) <= most, F.lit(True))
-    kept = ~F.col("base_failed") & near("char_distance", max_char_distance) & near("word_distance", max_word_distance)
+    most_chars = limit(F.col("_length"), max_char_distance, CHAR_LENGTH, CHAR_SPREAD)
+    most_words = limit(F.col("n_words"), max_word_distance, WORD_LENGTH, WORD_SPREAD)
+    kept = ~F.col("base_failed") & near("char_distance", most_chars) & near("word_distance", most_words)
     return rows.withColumn("kept", kept)
 
 

@@ -60,3 +60,15 @@ def test_a_rare_language_is_not_judged_by_the_others(docs):
     assert kept == {1000, 1001, 1003}
     known = quality.references(quality.features(table).withColumn("lang", quality.F.col("_row.lang")), 1)
     assert list(known.common) == ["en"] and [r["_lang"] for r in known.rare.collect()] == ["xx"]
+
+
+def test_short_junk_goes_and_short_clean_text_stays(docs):
+    english = "the cat sat on the mat and it is a good day for all of us to be in the sun, as they say. "
+    own = lambda i, n: " ".join(f"w{chr(97 + (i + j) % 26)}{chr(97 + j % 26)}o{j}" for j in range(n))
+    plain = [english + own(i, 30) for i in range(300)]
+    few = english + own(5, 18)  # 40 words, as the corpus
+    menu = [" | ".join(f"item{chr(97 + j % 26)}{j}" for j in range(n)) for n in (38, 56, 74)]  # 75 to 147 words
+    lines = [own(7, n) for n in (75, 112, 149)]  # no common words
+    short = [(1000, few, "en"), (1001, own(3, 15), "en"), *[(2000 + i, t, "en") for i, t in enumerate(menu + lines)]]
+    kept = {r["doc_id"] for r in quality.keep_good(docs(*[(i, t, "en") for i, t in enumerate(plain)], *short)).collect()}
+    assert {i for i in kept if i >= 1000} == {1000, 1001} and len(kept) == 302
