@@ -1,13 +1,15 @@
 """Licence scan by sentence rules, in DataFrame and SQL functions only.
 
-A text is cut into sentences at line ends and at full stops, exclamation and question marks before white space. A
-sentence is normalised (lower case, letters, digits and single blanks) and looked up among known licence sentences,
-each with an identifier. The identifiers of a text, in order, are then matched against licence rules, also in order:
+A text is normalised (lower case, letters, digits and single blanks) with marks where a sentence may begin and end: a
+hard one at full stops, exclamation and question marks before white space and at blank lines (comment marks alone are
+blank), a soft one at any other line break. Known licence sentences are looked for from mark to mark; soft marks
+inside count as blanks, so that wrapped texts are found, and so does a sentence on a line of its own. Of sentences that begin
+at the same place the longest counts. The known sentences have an identifier each. The identifiers of a text, in order, are then matched against licence rules, also in order:
 a rule is a sequence of identifiers that must stand next to each other in the text's sequence (sentences that are not
 known do not count); the first rules claim their sentences, so a full licence text goes before its parts.
 
-Every known sentence holds one of the anchor words, so only sentences with an anchor are normalised; that skips work,
-not sentences. The tables of sentences and rules are fixed values of this module, of a few dozen entries.
+Every known sentence holds one of the anchor words, so only texts with an anchor are normalised; that skips work,
+not sentences. The SQL cuts at every line break, so it tells nothing about wrapped sentences; tests do. The tables of sentences and rules are fixed values of this module, of a few dozen entries.
 
 Nulls: a null text has no sentences and no licence; a null ``doc_id`` stays null. Repeated rows give equal rows. An
 empty table gives an empty result.
@@ -85,13 +87,32 @@ RULES = (
 )
 
 # Every known sentence holds one of these words.
-ANCHORS = ("licens", "copyright", "permission", "warrant", "redistribut", "software", "rights reserved")
+ANCHORS = ("licens", "copyright", "permission", "warrant", "redistribut", "software", "reserved")
+
+# Ends of known sentences that begin with a name, and the rules for them. The SQL lacks both.
+ENDINGS = {
+    "be used to endorse or promote products derived from this software without specific prior written "
+    "permission": "bsd_names"
+}
+BSD_3 = ("BSD-3-Clause", ("bsd_grant", "bsd_source", "bsd_binary", "bsd_names"))
+ORDERED = (*RULES[:2], BSD_3, *RULES[2:])
+
+# No capital is left in lower case, so these can be marks.
+HARD, SOFT = "H", "S"
 
-CUT = r"\n|[.!?]+(?:\s+|$)"
 
+def _marked(text: Column) -> Column:
+    """The normalised text with its marks; ``text`` is in lower case."""
+    text = F.regexp_replace(text, r"[.!?]+(?:\s+|\z)", HARD)
+    text = F.regexp_replace(F.replace(text, F.lit("\n"), F.lit(SOFT)), "[^a-z0-9HS]+", " ")
+    text = F.regexp_replace(F.concat(F.lit(HARD), text, F.lit(HARD)), " ?([HS]) ?", "$1")
+    return F.regexp_replace(text, "[HS]{2,}", HARD)
 
-def _normal(sentence: Column) -> Column:
-    return F.btrim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
+
+def _pattern() -> str:
+    wrapped = lambda sentence: sentence.replace(" ", "[ S]")
+    whole = "|".join(wrapped(s) for s in sorted(SENTENCES, key=len, reverse=True))
+    return f"(?:(?<=[HS])(?:{whole})|(?<=[HS ])(?:{'|'.join(wrapped(s) for s in ENDINGS)}))(?=[HS])"
 
 
 def _anchored(text: Column) -> Column:
@@ -104,19 +125,18 @@ def scan(docs: DataFrame) -> DataFrame:
     rules), ``n_unmatched`` (known sentences that no rule claimed)."""
     lowered = F.lower("text")
     rows = texts(docs)
-    rows = rows.select(
-        "doc_id", F.when(_anchored(lowered), F.filter(F.split(lowered, CUT), _anchored)).alias("candidates")
-    )
-    table = F.create_map(*[x for s, i in SENTENCES.items() for x in (F.lit(s), F.lit(i))])
-    known = F.transform("candidates", lambda s: F.element_at(table, _normal(s)))
+    found = F.regexp_extract_all(_marked(lowered), F.lit(_pattern()), F.lit(0))
+    rows = rows.select("doc_id", F.when(_anchored(lowered), found).alias("found"))
+    table = F.create_map(*[x for s, i in (SENTENCES | ENDINGS).items() for x in (F.lit(s), F.lit(i))])
+    known = F.transform("found", lambda s: F.element_at(table, F.replace(s, F.lit(SOFT), F.lit(" "))))
     ids = F.filter(F.coalesce(known, F.array().cast("array<string>")), lambda i: i.isNotNull())
     rows = rows.select("doc_id", ids.alias("sentence_ids"))
     # Each identifier stands between two semicolons of its own; a claimed stretch becomes a bar and the rule's number.
     line = F.array_join(F.transform("sentence_ids", lambda i: F.concat(F.lit(";"), i, F.lit(";"))), "")
-    for n, (_, sequence) in enumerate(RULES):
+    for n, (_, sequence) in enumerate(ORDERED):
         line = F.replace(line, F.lit("".join(f";{i};" for i in sequence)), F.lit(f"|{n}|"))
     rows = rows.withColumn("claimed", line)
-    hits = [F.when(F.contains(F.col("claimed"), F.lit(f"|{n}|")), F.lit(name)) for n, (name, _) in enumerate(RULES)]
+    hits = [F.when(F.contains(F.col("claimed"), F.lit(f"|{n}|")), F.lit(name)) for n, (name, _) in enumerate(ORDERED)]
     left = F.length("claimed") - F.length(F.replace(F.col("claimed"), F.lit(";"), F.lit("")))
     return rows.select(
         "doc_id",

@@ -42,6 +42,25 @@ def test_license_rules_claim_in_order(docs):
     assert licenses.scan(docs(*AWKWARD).limit(0)).count() == 0
 
 
+def test_wrapped_licence_texts(docs):
+    import textwrap
+
+    whole = {i: s for s, i in licenses.SENTENCES.items()}
+    grants = ("mit_grant", "mit_notice", "mit_warranty")
+    mit = "Copyright (c) 2020 Someone\n\n" + "\n\n".join(textwrap.fill(whole[i].capitalize() + ".", 72) for i in grants)
+    gpl = "\n".join(" * " + line for line in textwrap.wrap(whole["gpl3_grant"] + ".", 70)) + "\n *\n * " + whole["gpl_copy"] + ". If not"
+    apache = "# Copyright 2020\r\n" + "\r\n".join("# " + line for line in textwrap.wrap(whole["apache2_grant"] + ". " + whole["apache2_obtain"], 70)) + "\r\n#\r\n#  http://x"
+    names = " {} nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+    two = [f"{whole['bsd_grant']}:", f"1. {whole['bsd_source']}.", f"2. {whole['bsd_binary']}."]
+    bsd = ["\n".join(textwrap.fill(x, 76) for x in [*two, *more]) for more in ([], ["3. Neither the name of" + names.format("the copyright holder")], ["3. Neither the name of" + names.format("Acme Inc.")])]
+    lines = "released under the MIT license\nand no more\nAll  rights\treserved\nLicensed under CC BY 4.0"
+    apart = "licensed under the\n\nMIT license. Permission to\nlicense"
+    rows = {r["doc_id"]: (r["licenses"], r["n_unmatched"]) for r in licenses.scan(docs(mit, gpl, apache, *bsd, lines, apart)).collect()}
+    assert [rows[i][0] for i in range(6)] == ["MIT", "GPL-3.0-or-later", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSD-3-Clause"]
+    assert rows[6] == ("MIT,CC-BY-4.0", 1) and rows[7] == ("", 0)
+    assert all(any(a in s for a in licenses.ANCHORS) for s in (*licenses.SENTENCES, *licenses.ENDINGS))
+
+
 # --- fingerprints --------------------------------------------------------------------------------------
 
 
