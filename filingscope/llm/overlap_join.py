@@ -15,7 +15,8 @@
 5. Links become groups by repeated star contraction; every table lies in the shared folder, none on the driver.
 
 Nulls: a document without words or text has an empty set and is linked with nothing; a null ``doc_id`` has no name to
-give, so it takes the smallest other ``doc_id`` of its group, or null. Documents with equal sets, repeated rows among
+give, so it takes the smallest other ``doc_id`` of its group, or null. A set that only such documents have is linked
+like any other, under a hash of its digest. Documents with equal sets, repeated rows among
 them, are linked. An empty table gives an empty result.
 """
 
@@ -465,12 +466,14 @@ def rest_pairs(named: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def similar_groups(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id`` of every row, ``th`` (hash of its text), ``sig`` (of its set)."""
+    """``doc_id``, ``n_shingles``, ``component_id`` of every row, ``th`` (hash of its text), ``sig`` (of its set),
+    ``linked`` (a name of its group that is never null, but for documents without words)."""
     rows = written(members(docs), "shingle-members")
     total = rows.agg(F.sum("n")).first()[0] or 0
-    named = rows.where("sig IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("v")).where("v IS NOT NULL")
+    named = rows.where("sig IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("least"))
+    named = named.withColumn("v", F.coalesce("least", F.xxhash64("sig")))
     found = candidate_sets(docs, total).groupBy("sig").agg(F.first("n").alias("n"), F.first("shared").alias("shared"))
-    sets = written(found.join(named, "sig").select("v", "n", "shared"), "shingle-sets")
+    sets = written(found.join(named.drop("least"), "sig").select("v", "n", "shared"), "shingle-sets")
     postings = written(prefix_postings(sets), "shingle-lists")
     group, tested = None, None
     for step in range(HUB_ROUNDS + 1):
@@ -482,11 +485,16 @@ def similar_groups(docs: DataFrame) -> DataFrame:
         tested = pairs.select("x", "y") if tested is None else tested.unionByName(pairs.select("x", "y"))
         new = written(links(pairs.select("a", "b"), sets), "shingle-links")
         group = groups(new if group is None else new.unionByName(group.select(F.col("v").alias("a"), F.col("c").alias("b"))))
-    of_sets = named.join(group, "v", "left").select(F.col("sig").alias("key"), F.coalesce("c", "v").alias("component_id"))
+    of_sets = named.join(group, "v", "left").select(F.col("sig").alias("key"), "least", F.coalesce("c", "v").alias("linked"))
+    # A group's smallest name is its smallest doc_id, unless one of its sets has a hash for a name.
+    unnamed = of_sets.groupBy("linked").agg(F.min("least").alias("smallest"), F.count("*").alias("k"), F.count("least").alias("ids"))
+    unnamed = unnamed.where("ids < k").select("linked", "smallest", F.lit(True).alias("unnamed"))
+    component = F.when(F.col("unnamed"), F.col("smallest")).otherwise(F.col("linked"))
+    of_sets = of_sets.join(unnamed, "linked", "left").select("key", "linked", component.alias("component_id"))
     alone = F.concat(F.lit("no set "), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")
     return rows.withColumn("key", F.coalesce("sig", alone)).join(of_sets, "key", "left").select(
         *("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")),
-        *("th", "sig"),
+        *("th", "sig", "linked"),
     )
 
 
@@ -496,7 +504,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     Rows with equal id and text are one document. Documents without words are in no group and stay.
     """
     found = similar_groups(docs)
-    group = F.coalesce(F.col("component_id").cast("string"), F.hex("sig"), F.concat(F.lit("-"), "th"))
+    group = F.coalesce(F.concat(F.lit("set "), "linked"), F.col("doc_id").cast("string"), F.concat(F.lit("-"), "th"))
     did = F.coalesce("doc_id", F.lit(2**63 - 1))
     first = found.groupBy(group.alias("group"), F.when(F.col("sig").isNull(), F.col("th")).alias("empty"))
     first = first.agg(F.min(F.struct(did.alias("did"), "th")).alias("first")).select("first.*").distinct()
@@ -505,4 +513,4 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
 
 def op5_shingle_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similar_groups(documents(spark, sf_dir)).drop("th", "sig")
+    return similar_groups(documents(spark, sf_dir)).drop("th", "sig", "linked")

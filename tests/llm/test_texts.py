@@ -219,6 +219,20 @@ def test_one_of_each_group_stays(docs):
     assert overlap_join.one_of_each(table.limit(0)).count() == 0
 
 
+def test_sets_of_null_ids_link_and_bridge(docs):
+    words = lambda name, first: " ".join(f"{name}{i}" for i in range(first, first + 200))
+    rows = [(50, words("a", 0), "en"), (None, words("a", 15), "en"), (60, words("a", 30), "en")]  # 50 and 60 are not alike
+    rows += [(70, words("b", 0), "en"), (None, words("b", 5), "en")]
+    rows += [(None, words("c", 0), "en"), (None, words("c", 5), "en"), (80, words("d", 0), "en")]
+    found = overlap_join.similar_groups(docs(*rows)).collect()
+    by_id = {r["doc_id"]: r["component_id"] for r in found if r["doc_id"] is not None}
+    assert by_id == {50: 50, 60: 50, 70: 70, 80: 80}
+    unnamed = [r["component_id"] for r in found if r["doc_id"] is None]
+    assert sorted(unnamed, key=lambda c: c or 0) == [None, None, 50, 70]
+    kept = [r["doc_id"] for r in overlap_join.one_of_each(docs(*rows)).collect()]
+    assert sorted(kept, key=lambda i: i or 0) == [None, 50, 70, 80]
+
+
 # --- scores --------------------------------------------------------------------------------------------
 
 
