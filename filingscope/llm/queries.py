@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from . import licenses
+from . import licenses, vector_codes
 from .bpe_index import op6_bpe_pair_index
+from .conversation_repair import op13_survivor_repair
 from .language import op9_language_subwords
 from .licenses import op4_license_scan
 from .line_runs import op2_line_runs
@@ -11,8 +12,10 @@ from .orc_tokens import op10_orc_tokens
 from .overlap_join import op5_shingle_overlap
 from .packing import op3_sequence_packing
 from .phrases import op7_phrase_fingerprints
+from .piece_merges import op12_piece_backtracking
 from .quality import op8_quality_divergence
 from .suffix_tree import op1_suffix_tree_scores
+from .vector_codes import op11_mask_codes
 
 QUERIES = {
     "op1_suffix_tree_scores": op1_suffix_tree_scores,
@@ -25,6 +28,9 @@ QUERIES = {
     "op8_quality_divergence": op8_quality_divergence,
     "op9_language_subwords": op9_language_subwords,
     "op10_orc_tokens": op10_orc_tokens,
+    "op11_mask_codes": op11_mask_codes,
+    "op12_piece_backtracking": op12_piece_backtracking,
+    "op13_survivor_repair": op13_survivor_repair,
 }
 
 
@@ -33,4 +39,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_license_scan": licenses.ORACLE}
+    return {"op4_license_scan": licenses.ORACLE, "op11_mask_codes": vector_codes.ORACLE}
