@@ -19,19 +19,23 @@ from filingscope.operators import components as comp  # noqa: E402
 from filingscope.operators import factors as fac  # noqa: E402
 from filingscope.operators import history as hist  # noqa: E402
 from filingscope.operators import points as pts  # noqa: E402
+from filingscope.operators import quantiles as quant  # noqa: E402
 from filingscope.plans import firms, reports  # noqa: E402
-from filingscope.plans.scoring import register_views, score_filings  # noqa: E402
+from filingscope.plans.scoring import register_functions, register_views, score_filings  # noqa: E402
 from filingscope.schemas import FILING, KEY, WEIGHTED_SCORE, conform  # noqa: E402
 from filingscope.session import shared_dir  # noqa: E402
+from filingscope.sinks import snapshots  # noqa: E402
 from filingscope.sinks import tables as sinks  # noqa: E402
 from filingscope.sources import archives, csv_files, derive, links, normalize  # noqa: E402
 from filingscope.sources.tables import filings, model_input, table  # noqa: E402
 from filingscope.streaming import incremental  # noqa: E402
 
-try:  # the package for training data and its pipeline may be absent
+try:  # the package for training data and its pipeline may be absent; anything else that is missing is an error
     import corpus_pipeline
     from filingscope.llm import queries as llm_queries
-except ImportError:
+except ModuleNotFoundError as absent:
+    if absent.name not in ("corpus_pipeline", "filingscope.llm"):
+        raise
     corpus_pipeline = llm_queries = None
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -138,8 +142,8 @@ def _weighted_summary(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _upsert(spark: SparkSession, sf: str) -> DataFrame:
-    """Integer-division scores, with the severe ones of the fractional model put over them."""
+def _upsert_sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Integer-division scores, and the severe ones of the fractional model to put over them."""
 
     def stored(mode: str, created: Column) -> DataFrame:
         kept = scores(spark, sf, mode).select(*KEY, "score", "risk_category")
@@ -147,7 +151,61 @@ def _upsert(spark: SparkSession, sf: str) -> DataFrame:
 
     existing = stored("as_written", F.col("filing_date"))
     updates = stored("fractional", F.date_add("filing_date", 1)).where("risk_category IN ('High', 'Critical')")
-    return sinks.upsert(existing, updates, KEY, created_at="created_at")
+    return existing, updates
+
+
+def _upsert(spark: SparkSession, sf: str) -> DataFrame:
+    return sinks.upsert(*_upsert_sides(spark, sf), KEY, created_at="created_at")
+
+
+def _upsert_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """The same through a stored table, of which only the buckets with updates are written again."""
+    root = shared_dir(spark, "scores")
+    existing, updates = _upsert_sides(spark, sf)
+    snapshots.replace_table(existing, root, KEY)
+    snapshots.upsert_table(updates, root, KEY, created_at="created_at")
+    return snapshots.read(spark, root)
+
+
+def _replace_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored table of scores, replaced by some of its own rows."""
+    root = shared_dir(spark, "scores")
+    snapshots.replace_table(scores(spark, sf).select(*KEY, "score", "risk_category"), root, KEY)
+    snapshots.replace_table(snapshots.read(spark, root).where("risk_category IN ('High', 'Critical')"), root, KEY)
+    return snapshots.read(spark, root)
+
+
+def _incremental_store(spark: SparkSession, sf: str) -> DataFrame:
+    """The history in four batches: the years before 1996 (a tenth of the filings with wrong assets, another tenth
+    missing), the later years, the missing filings, and corrections of the wrong ones."""
+    store = shared_dir(spark, "store")
+    whole = conform(filings(spark, sf), FILING).join(
+        filings(spark, sf, (*KEY, "filing_key")).select(*KEY, F.pmod("filing_key", F.lit(10)).alias("tenth")), KEY
+    )
+    early, named = F.col("filing_date") < "1996-01-01", F.date_format("filing_date", "MMddyyyy")
+
+    def file(suffix: str) -> Column:
+        return F.concat(F.lit("ia"), named, F.lit(f"{suffix}.csv")).alias("source_file")
+
+    wrong = F.when(F.col("tenth") == 3, F.col("raum") * 0 + 7).otherwise(F.col("raum")).cast("decimal(20,2)")
+    batches = [
+        whole.where(early & (F.col("tenth") != 5)).withColumn("raum", wrong).select("*", file("")),
+        whole.where(~early).select("*", file("")),
+        whole.where(early & (F.col("tenth") == 5)).select("*", file("")),
+        whole.where(early & (F.col("tenth") == 3)).select("*", file("-2")),
+    ]
+    for number, batch in enumerate(batches):
+        incremental.load_batch(spark, store, batch, number)
+    return flat_scores(incremental.current_scores(spark, store))
+
+
+def _load_report_files(spark: SparkSession, sf: str) -> DataFrame:
+    """One line for every member of archives of which some are damaged, encrypted, empty or without rows."""
+    packed = derive.archives(form(spark, sf), damaged=True)
+    entries = archives.zip_entries(packed)
+    listed = archives.zip_entries(packed, contents=False).select(archives.member_name())
+    rows = archives.member_rows(entries).unionByName(archives.member_problems(entries))
+    return normalize.load_ledger(listed, rows)
 
 
 def _file_name_dates(spark: SparkSession, sf: str) -> DataFrame:
@@ -200,7 +258,7 @@ def _csv_files(spark: SparkSession, sf: str) -> DataFrame:
 
 def _archive_rows(spark: SparkSession, sf: str) -> DataFrame:
     members = archives.zip_entries(derive.archives(form(spark, sf)))
-    return _typed(archives.normalize_rows(archives.member_rows(members)))
+    return _typed(archives.member_rows(members))
 
 
 def _archive_census(spark: SparkSession, sf: str) -> DataFrame:
@@ -218,7 +276,7 @@ def _incremental(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_dir(spark, "arrivals")
     rows = form(spark, sf, disclosure_counts=True, blank_keys=False)
     derive.write_form_files(rows.repartition(6, "filed", "SEC#"), f"{folder}/source")
-    count = csv_files.list_files(spark, f"{folder}/source", "*.csv").count()
+    count = csv_files.list_files(spark, f"{folder}/source", csv_files.CSV_NAMES).count()
     query = incremental.ingest_stream(
         spark, f"{folder}/source", f"{folder}/store", f"{folder}/progress", max(1, -(-count // 3)), dates="column"
     )
@@ -236,6 +294,43 @@ def _views(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _functions(spark: SparkSession, sf: str) -> DataFrame:
+    """Statistics of each category, asked for one by one in SQL, beside the number of its firms with 50 points or more."""
+    register_functions(filings(spark, sf, (*CHANGE_COLUMNS, "firm_name")), scores(spark, sf))
+    parts = [
+        f"""SELECT s.*, (SELECT COUNT(*) FROM firms_in_category('{name}', 50)) AS high_scores
+        FROM risk_statistics_of('{name}') s"""
+        for name in ("Low", "Medium", "High", "Critical")
+    ]
+    return spark.sql(" UNION ALL ".join(parts))
+
+
+def _merged_percentiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Percentiles out of one sketch per date, and whether their true ranks are as near as the sketch's size promises."""
+    rows = filings(spark, sf, (*KEY, "raum")).select("filing_date", F.col("raum").cast("double").alias("raum"))
+    wanted = {"median": 0.5, "p95": 0.95, "p99": 0.99}
+    merged = quant.merged_percentiles(quant.quantile_sketches(rows, "raum", "filing_date"), wanted)
+    found = merged.select(F.struct(*wanted).alias("p")).scalar()
+    counts = rows.select("raum", found.alias("p")).agg(
+        F.count("raum").alias("values"),
+        *[F.count_if(F.col("raum") < F.col(f"p.{n}")).alias(f"{n}_below") for n in wanted],
+        *[F.count_if(F.col("raum") <= F.col(f"p.{n}")).alias(f"{n}_upto") for n in wanted],
+    )
+
+    def within(name: str) -> Column:
+        rank, slack = F.col("values") * wanted[name], F.col("values") * quant.RANK_ERROR + 1
+        return ((F.col(f"{name}_below") <= rank + slack) & (F.col(f"{name}_upto") >= rank - slack)).alias(f"{name}_within")
+
+    return counts.select("values", *map(within, wanted))
+
+
+def _page_after(spark: SparkSession, sf: str) -> DataFrame:
+    """The second page by assets, asked for by the last row of the first."""
+    found = firms.search_firms(model_input(spark, sf), weighted(spark, sf))
+    *_, last = firms.firm_page_after(found, sort_by="aum", descending=True).collect()
+    return firms.firm_page_after(found, (last.aum, last.crd, last.last_filing_date), "aum", True)
+
+
 def _firm_page(spark: SparkSession, sf: str, **search) -> DataFrame:
     page = {k: search.pop(k) for k in ("sort_by", "descending", "page", "page_size") if k in search}
     found = firms.search_firms(model_input(spark, sf), weighted(spark, sf), **search)
@@ -291,6 +386,7 @@ def queries() -> dict[str, Query]:
         "asset_filing_census": lambda s, d: reports.filing_census(filings(s, d, (*KEY, "raum")).where("raum > 0")),
         "filing_sample": lambda s, d: reports.top_filings(filings(s, d, PROFILE), [], PROFILE, 10),
         "standing_views": _views,
+        "sql_functions": _functions,
         "recent_filings": lambda s, d: reports.recent_filings(filings(s, d, KEY)),
         "raum_counts": lambda s, d: reports.raum_counts(filings(s, d, (*KEY, "raum", "disciplinary_disclosures"))),
         "raum_status_breakdown": lambda s, d: reports.raum_status_breakdown(
@@ -311,6 +407,7 @@ def queries() -> dict[str, Query]:
             *("avg_raum", "median_raum", "p95_raum", "p99_raum"),
             decimals=2,
         ),
+        "raum_percentiles_merged": _merged_percentiles,
         "filings_by_date": lambda s, d: reports.filings_by_date(filings(s, d, KEY)),
         "filings_by_year": lambda s, d: reports.filings_by_year(filings(s, d, KEY)),
         "multi_filing_firms": lambda s, d: reports.multi_filing_firms(filings(s, d, (*KEY, "raum"))),
@@ -332,6 +429,7 @@ def queries() -> dict[str, Query]:
         "firm_page_search": lambda s, d: _firm_page(
             s, d, search="1", min_aum=1e8, max_aum=1e11, sort_by="aum", descending=True
         ),
+        "firm_page_after": _page_after,
         "firm_detail": lambda s, d: firms.firm_details(model_input(s, d), weighted(s, d)),
         "top_raum": lambda s, d: reports.top_filings(
             filings(s, d, PROFILE).where("raum > 0"), ["raum"], ["sec_number", "firm_name", "raum", "filing_date"], 10
@@ -420,13 +518,18 @@ def queries() -> dict[str, Query]:
         ),
         "load_report": lambda s, d: normalize.load_report(_normalized(s, d)),
         "load_totals": lambda s, d: normalize.load_totals(normalize.load_report(_normalized(s, d))),
+        "load_report_files": _load_report_files,
+        "failed_files": lambda s, d: normalize.failed_files(_load_report_files(s, d)),
         "csv_ingest": _csv_files,
         "zip_members": _archive_rows,
         "archive_census": _archive_census,
         "workbook_rows": _workbook_rows,
         "incremental_ingest": _incremental,
+        "incremental_store": _incremental_store,
         # sinks
         "upsert_scores": _upsert,
+        "upsert_roundtrip": _upsert_roundtrip,
+        "replace_roundtrip": _replace_roundtrip,
         "score_documents": lambda s, d: sinks.as_documents(
             reports.risk_statistics_all_dates(scores(s, d)).select("risk_category", "firm_count")
         ),

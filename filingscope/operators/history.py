@@ -47,22 +47,19 @@ def with_previous(history: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def asof_previous(filings: DataFrame, history: DataFrame, columns: Sequence[str], tiebreak: str = "filing_key") -> DataFrame:
-    """Left as-of join: the nearest strictly earlier filing of the same firm.
+    """Left as-of join: the nearest strictly earlier filing of the same firm; of several on that date the one with the
+    highest ``tiebreak``, then the highest other columns.
 
-    Works on filings with repeated dates: the earlier filing depends on the date alone, so it is looked
-    up once per distinct (firm, date) and joined back.
+    Both sides go into one frame and through one exchange on the firm. A window over the dates before each filing keeps
+    the greatest (date, tiebreak, columns) so far, so neither side needs one row per date and nothing is joined.
     """
-    per_date = dedupe_filings(history.select(*{*KEY, tiebreak, *columns}), tiebreak)
-    dates = filings.select(*KEY).distinct().withColumn("asked", F.lit(True))
     looked_up = ["filing_date", *[c for c in columns if c != "filing_date"]]
-    timeline = per_date.select(*KEY, F.struct(*looked_up).alias("seen")).join(dates, KEY, "full")
-    earlier = firm_window().rowsBetween(Window.unboundedPreceding, -1)
-    found = timeline.select(
-        *KEY, "asked", F.last("seen", ignorenulls=True).over(earlier).alias("previous")
-    ).where("asked")
-    return filings.join(
-        found.select(*KEY, *[F.col(f"previous.{c}").alias(f"prev_{c}") for c in looked_up]), KEY, "left"
-    )
+    asked = filings.select(*KEY, F.struct(*filings.columns).alias("filing"))
+    known = history.select(*KEY, F.struct("filing_date", tiebreak, *[c for c in looked_up if c not in ("filing_date", tiebreak)]).alias("seen"))
+    both = asked.unionByName(known, allowMissingColumns=True)
+    before = Window.partitionBy("sec_number").orderBy(F.unix_date("filing_date")).rangeBetween(Window.unboundedPreceding, -1)
+    found = both.withColumn("previous", F.max("seen").over(before)).where("filing IS NOT NULL")
+    return found.select("filing.*", *[F.col(f"previous.{c}").alias(f"prev_{c}") for c in looked_up])
 
 
 def latest_per_firm(filings: DataFrame, tiebreak: str | None = None, firm: str = "sec_number") -> DataFrame:

@@ -152,3 +152,30 @@ def firm_page(firms: DataFrame, sort_by: str = "crd", descending: bool = False,
         .withColumn("total", total)
         .withColumn("total_pages", F.ceil(F.col("total") / page_size))
     )
+
+
+def firm_page_after(
+    firms: DataFrame,
+    after: tuple | None = None,
+    sort_by: str = "crd",
+    descending: bool = False,
+    page_size: int = 20,
+) -> DataFrame:
+    """The page that follows a row of the last one, in the order of :func:`firm_page`.
+
+    ``after`` is that row's (sort value, firm id, last filing date); None asks for the first page. The place is a
+    condition on the rows, so a page costs the same wherever it stands: no earlier page is sorted or skipped.
+    """
+    column = sort_by if sort_by in SORTABLE else "crd"
+    lead = F.desc_nulls_first(column) if descending else F.asc_nulls_last(column)
+    if after is not None:
+        value, crd, day = after
+        same = (F.col("crd") > crd) | ((F.col("crd") == crd) & (F.col("last_filing_date") > day))
+        if value is None:
+            level = F.col(column).isNull()
+            further = F.col(column).isNotNull() if descending else F.lit(False)
+        else:
+            level = F.col(column) == value
+            further = F.col(column) < value if descending else (F.col(column) > value) | F.col(column).isNull()
+        firms = firms.where(further | (level & same))
+    return firms.orderBy(lead, "crd", "last_filing_date").limit(page_size)

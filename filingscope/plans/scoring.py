@@ -29,3 +29,27 @@ def register_views(filings: DataFrame, scores: DataFrame) -> None:
     }
     for name, view in views.items():
         view.createOrReplaceTempView(name)
+
+
+def register_functions(filings: DataFrame, scores: DataFrame) -> None:
+    """Temporary SQL table functions with arguments, over the views of :func:`register_views`:
+
+    ``risk_statistics_of(category)``: the statistics of the newest date, of one category or (null) of all;
+    ``firms_in_category(category, lowest)``: the firms of a category, or of all, with at least that score.
+    """
+    register_views(filings, scores)
+    spark = scores.sparkSession
+    of_category = "(wanted IS NULL OR risk_category = wanted)"
+    spark.sql(
+        f"""CREATE OR REPLACE TEMPORARY FUNCTION risk_statistics_of(wanted STRING)
+        RETURNS TABLE (risk_category STRING, firm_count BIGINT, percentage DOUBLE, avg_score DOUBLE)
+        RETURN SELECT risk_category, firm_count, CAST(percentage AS DOUBLE), CAST(avg_score AS DOUBLE)
+        FROM risk_statistics WHERE {of_category}"""
+    )
+    spark.sql(
+        f"""CREATE OR REPLACE TEMPORARY FUNCTION firms_in_category(wanted STRING, lowest INT)
+        RETURNS TABLE (sec_number STRING, filing_date DATE, score INT, risk_category STRING, firm_name STRING)
+        RETURN SELECT s.sec_number, s.filing_date, s.score, s.risk_category, COALESCE(f.firm_name, 'Unknown')
+        FROM risk_scores s LEFT JOIN filings f ON f.sec_number = s.sec_number AND f.filing_date = s.filing_date
+        WHERE {of_category} AND s.score >= lowest"""
+    )

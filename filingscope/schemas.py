@@ -90,6 +90,18 @@ WEIGHTED_SCORE = T.StructType(
     ]
 )
 
+LOADED_FILE = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("modified", T.TimestampType()),
+        T.StructField("rows_loaded", T.LongType()),
+        T.StructField("rows_rejected", T.LongType()),
+        T.StructField("success", T.BooleanType()),
+        T.StructField("message", T.StringType()),
+    ]
+)
+
 RUN_LOG = T.StructType(
     [
         T.StructField("run_type", T.StringType(), False),

@@ -12,8 +12,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filingscope.rules import DATA_EXTENSIONS
-from filingscope.sources.csv_files import base_name, loadable
-from filingscope.sources.normalize import BROKEN_ARCHIVE, UNSUPPORTED, MapColumn, normalize, whole_file_rejects
+from filingscope.sources.csv_files import base_name, loadable, text_rows
+from filingscope.sources.normalize import (
+    BROKEN_ARCHIVE,
+    BROKEN_MEMBER,
+    ENCRYPTED_MEMBER,
+    NO_MEMBER,
+    UNSUPPORTED,
+    MapColumn,
+    normalize,
+    whole_file_rejects,
+)
 
 MEMBER_SCHEMA = "archive string, entry string, member string, content binary, error string"
 ROW_SCHEMA = "source_file string, row_number long, fields map<string,string>, error string"
@@ -32,32 +41,53 @@ def read_binary(spark: SparkSession, path: str, pattern: str) -> DataFrame:
 def zip_entries(archives: DataFrame, extensions: tuple[str, ...] | None = DATA_EXTENSIONS, contents: bool = True) -> DataFrame:
     """Files inside ZIP archives (``path``, ``content``), named without their folders.
 
-    A broken archive gives one row with an error; ``extensions=None`` lists every entry.
+    An archive that cannot be opened gives one row with an error and no entry, as does one without a wanted entry; a
+    damaged or encrypted member gives its own row with an error, and the others are read. ``extensions=None`` lists every
+    entry.
     """
 
     def open_archives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import io
+        import struct
         import zipfile
+        import zlib
 
         import pandas as pd
 
         columns = ["archive", "entry", "member", "content", "error"]
+        damage = (zipfile.BadZipFile, zlib.error, NotImplementedError, RuntimeError, EOFError, OSError, ValueError, struct.error)
+
+        def members(content: bytes) -> Iterator[tuple]:
+            some = False
+            with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                for info in archive.infolist():
+                    entry = info.filename
+                    if extensions is not None and not entry.lower().endswith(extensions):
+                        continue
+                    some, data, error = True, None, None
+                    if contents and info.flag_bits & 1:
+                        error = ENCRYPTED_MEMBER
+                    elif contents:
+                        try:
+                            data = archive.read(info)
+                        except damage:
+                            error = BROKEN_MEMBER
+                    yield entry, entry.rsplit("/", 1)[-1], data, error
+            if not some:
+                yield None, None, None, NO_MEMBER
+
         rows, size = [], 0
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 try:
-                    with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                        for entry in archive.namelist():
-                            if extensions is not None and not entry.lower().endswith(extensions):
-                                continue
-                            data = archive.read(entry) if contents else None
-                            rows.append((path, entry, entry.rsplit("/", 1)[-1], data, None))
-                            size += len(data or b"")
-                            if len(rows) >= 5000 or size >= 64 << 20:
-                                yield pd.DataFrame(rows, columns=columns)
-                                rows, size = [], 0
-                except zipfile.BadZipFile as problem:
-                    rows.append((path, None, None, None, str(problem)))
+                    for member in members(content):
+                        rows.append((path, *member))
+                        size += len(member[2] or b"")
+                        if len(rows) >= 5000 or size >= 64 << 20:
+                            yield pd.DataFrame(rows, columns=columns)
+                            rows, size = [], 0
+                except damage as problem:
+                    rows.append((path, None, None, None, str(problem) or BROKEN_ARCHIVE))
         if rows:
             yield pd.DataFrame(rows, columns=columns)
 
@@ -88,40 +118,10 @@ def member_name() -> Column:
     return F.concat(base_name(F.col("archive")), F.lit("!/"), F.col("entry")).alias("source_file")
 
 
-def member_rows(members: DataFrame) -> DataFrame:
-    """Rows of CSV members as header-to-text maps; over-long rows carry an error. Short rows lack keys."""
-
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import csv
-        import io
-
-        import pandas as pd
-
-        csv.field_size_limit(2**31 - 1)  # a member is in memory as a whole already
-        columns = ["source_file", "row_number", "fields", "error"]
-        rows = []
-        for batch in batches:
-            for name, content in zip(batch["source_file"], batch["content"]):
-                try:
-                    text = content.decode("utf-8-sig")
-                except UnicodeDecodeError:
-                    text = content.decode("latin-1")
-                first = text.split("\n", 1)[0]
-                separator = "|" if first.count("|") > first.count(",") else ","
-                reader = csv.reader(io.StringIO(text), delimiter=separator)
-                header = [h.strip() for h in next(reader, [])]
-                for number, values in enumerate((v for v in reader if v), start=1):
-                    too_long = "too many fields" if len(values) > len(header) else None
-                    present = {h: v for h, v in zip(header, values) if v != ""}
-                    rows.append((name, number, present, too_long))
-                    if len(rows) == 5000:
-                        yield pd.DataFrame(rows, columns=columns)
-                        rows = []
-        if rows:
-            yield pd.DataFrame(rows, columns=columns)
-
-    csv_members = members.where(F.lower("member").endswith(".csv")).select(member_name(), "content")
-    return csv_members.mapInPandas(parse, ROW_SCHEMA)
+def member_rows(members: DataFrame, **options: str) -> DataFrame:
+    """The rows of CSV members, normalised as those of CSV files are."""
+    csv_members = members.where(F.lower("member").endswith(".csv") & F.col("content").isNotNull())
+    return text_rows(csv_members.select(member_name(), "content"), **options)
 
 
 def workbook_rows(workbooks: DataFrame) -> DataFrame:
@@ -227,17 +227,25 @@ def normalize_rows(rows: DataFrame, dates: str = "file_name", disclosure_variant
     )
 
 
+def member_problems(entries: DataFrame) -> DataFrame:
+    """Archives and members that cannot be read, one rejected row each."""
+    name = F.when(F.col("entry").isNull(), base_name(F.col("archive"))).otherwise(member_name())
+    reason = (
+        F.when(F.col("error").isin(NO_MEMBER, BROKEN_MEMBER, ENCRYPTED_MEMBER), F.col("error"))
+        .when(F.col("error").isNotNull(), BROKEN_ARCHIVE)
+        .when(F.lower("member").endswith(".xls"), UNSUPPORTED)
+    )
+    told = entries.select(name.alias("source_file"), reason.alias("reason"))
+    return whole_file_rejects(told.where("reason IS NOT NULL"))
+
+
 def read_filing_archives(spark: SparkSession, path: str, include_exempt: bool = False, **options: str) -> DataFrame:
     """The CSV files and workbooks inside the ZIP archives below ``path`` as normalised rows."""
     entries = zip_entries(read_binary(spark, path, "*.[zZ][iI][pP]"))
-    members = entries.where(F.col("member").isNotNull() & loadable(F.col("member"), include_exempt))
-    books = members.where(F.lower("member").endswith(".xlsx")).select(member_name().alias("path"), "content")
-    rows = normalize_rows(member_rows(members).unionByName(workbook_rows(books)), **options)
-    broken = entries.where("error IS NOT NULL").select(
-        base_name(F.col("archive")).alias("source_file"), F.lit(BROKEN_ARCHIVE).alias("reason")
-    )
-    old = members.where(F.lower("member").endswith(".xls")).select(member_name(), F.lit(UNSUPPORTED).alias("reason"))
-    return rows.unionByName(whole_file_rejects(broken.unionByName(old)))
+    wanted = entries.where(F.col("member").isNull() | loadable(F.col("member"), include_exempt))
+    books = wanted.where(F.lower("member").endswith(".xlsx") & F.col("content").isNotNull())
+    sheets = normalize_rows(workbook_rows(books.select(member_name().alias("path"), "content")), **options)
+    return member_rows(wanted, **options).unionByName(sheets).unionByName(member_problems(wanted))
 
 
 def read_filing_workbooks(spark: SparkSession, path: str, include_exempt: bool = False, **options: str) -> DataFrame:

@@ -1,7 +1,11 @@
 """Monthly CSV files with drifting headers, two separators and two encodings.
 
-Spark reads many CSV files under one schema by position, so files are grouped by layout (header line and
-encoding) and every layout is read with its own schema. Finding the layouts takes one filter-only scan.
+A file of usual size is one row of a scan: its header, separator and encoding are values of that row, its records are
+exploded from it and cut into fields, of which those wanted are taken by the header's positions. So every byte is read
+once, however many layouts there are, and nothing of the files reaches the driver.
+
+Larger files are split between tasks. Spark reads many CSV files under one schema by position, so these are
+grouped by layout (header line and encoding), found by a filter-only scan, and every layout is read with its own schema.
 """
 
 from __future__ import annotations
@@ -17,10 +21,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filingscope.rules import DATA_EXTENSIONS, HEADERS
-from filingscope.sources.normalize import EMPTY_FILE, LATE_HEADER, NO_HEADER, NamedColumns, normalize, whole_file_rejects
+from filingscope.sources.normalize import (
+    EMPTY_FILE,
+    LATE_HEADER,
+    NO_HEADER,
+    NO_ROWS,
+    NamedColumns,
+    PositionedColumns,
+    normalize,
+    whole_file_rejects,
+)
 
 KEY_HEADER = HEADERS["sec_number"]
 CORRUPT = "_corrupt_record"
+CSV_NAMES = "*.[cC][sS][vV]"
+WHOLE_FILE_BYTES = 64 << 20  # up to this size a file is one row of a scan
 
 
 class Layout(NamedTuple):
@@ -41,6 +56,11 @@ def base_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
+def one_spelling(path: Column) -> Column:
+    """Spark writes a local path with one slash or three; it is kept with three."""
+    return F.regexp_replace(path, "^file:/+", "file:///")
+
+
 def loadable(path: Column, include_exempt: bool = False) -> Column:
     """Whether a file is a filing file: right extension, no resource-fork stub, no FOIA export, and no
     exempt-adviser file unless asked for."""
@@ -57,7 +77,7 @@ def list_files(spark: SparkSession, path: str | Sequence[str], pattern: str = "*
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
         .load(path if isinstance(path, str) else list(path))
-        .select("path", "length", F.col("modificationTime").alias("modified"))
+        .select(one_spelling(F.col("path")).alias("path"), "length", F.col("modificationTime").alias("modified"))
     )
 
 
@@ -86,7 +106,7 @@ def inspect_files(
     The header is the first line, and names the key column. A file with any line that is not UTF-8 is read as
     Latin-1. A file with an odd number of quotes in some line has values that span lines.
     """
-    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[cC][sS][vV]")
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", CSV_NAMES)
     texts = reader.text(paths if isinstance(paths, str) else list(paths))
     lines = (
         texts
@@ -165,6 +185,77 @@ def read_layout(
     return rows, NamedColumns(columns), too_long
 
 
+def _fields(line: Column, separator: Column) -> Column:
+    """The fields of a record. In a quoted one a doubled quote stands for a quote; a quote elsewhere is itself."""
+
+    def quoted(mark: str) -> Column:
+        found = F.regexp_extract_all(
+            F.concat(separator, line), F.lit(f'(?s){mark}("[^"]*+(?:""[^"]*+)*+"(?={mark}|\\z)|[^{mark}]*+)'), F.lit(1)
+        )
+        inside = lambda f: F.replace(F.substring(f, F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"'))
+        is_quoted = lambda f: f.startswith('"') & f.endswith('"') & (F.length(f) > 1)
+        return F.transform(found, lambda f: F.when(is_quoted(f), inside(f)).otherwise(f))
+
+    cut = F.when(separator == "|", F.split(line, "[|]")).otherwise(F.split(line, ","))
+    return F.when(~line.contains('"'), cut).when(separator == "|", quoted("[|]")).otherwise(quoted("[,]"))
+
+
+def _records(body: Column, separator: Column) -> Column:
+    """The records of a text; a line break inside a quoted field ends none."""
+
+    def quoted(mark: str) -> Column:
+        field = rf'(?:"[^"]*+(?:""[^"]*+)*+"(?=[{mark}\r\n]|\z)|[^{mark}\r\n]*+)'
+        return F.regexp_extract_all(body, F.lit(rf"(?s)({field}(?:[{mark}]{field})*+)(?:\r\n?|\n|\z)"), F.lit(1))
+
+    plain = F.split(body, "\r\n?|\n")
+    return F.when(~body.contains('"'), plain).when(separator == "|", quoted("|")).otherwise(quoted(","))
+
+
+def text_rows(
+    files: DataFrame, dates: str = "file_name", disclosure_variant: str = "flag_or_counts"
+) -> DataFrame:
+    """The rows of CSV files (``source_file``, ``content``), normalised. One pass: a file's header stays with its rows.
+
+    The first line that is not blank is the header, and names the key column. A file that is not UTF-8 is Latin-1.
+    What cannot be read, and a file without rows, is one rejected row with the reason.
+    """
+    text = F.col("content").cast("string")
+    decoded = F.when(F.is_valid_utf8(text), text).otherwise(F.decode("content", "ISO-8859-1"))
+    first = F.regexp_extract("text", r"\A\s*+([^\r\n]*+)", 1)
+    counted = lambda mark: F.length("first") - F.length(F.replace(F.col("first"), F.lit(mark), F.lit("")))
+    opened = (
+        files.select("source_file", F.ltrim(decoded, F.lit("\ufeff")).alias("text"))
+        .withColumn("first", first)
+        .withColumn("separator", F.when(counted("|") > counted(","), "|").otherwise(","))
+    )
+    problem = (
+        F.when(F.col("first") == "", EMPTY_FILE)
+        .when(~F.col("text").contains(KEY_HEADER), NO_HEADER)
+        .when(~F.col("first").contains(KEY_HEADER), LATE_HEADER)
+    )
+    separator = F.col("separator")
+    body = F.regexp_replace("text", r"\A\s*+[^\r\n]*+(?:\r\n?|\n)?", "")
+    headed = opened.select(
+        "source_file",
+        "separator",
+        problem.alias("problem"),
+        F.transform(_fields(F.col("first"), separator), lambda n: F.trim(n)).alias("names"),
+        F.when(problem.isNull(), F.filter(_records(body, separator), lambda r: F.trim(r) != "")).alias("records"),
+    )
+    placed = headed.select(
+        "source_file",
+        "problem",
+        F.size("names").alias("width"),
+        PositionedColumns.positions("names").alias("at"),
+        F.transform("records", lambda r: _fields(r, separator)).alias("fields"),
+    )
+    # the values come out of the explode as plain columns, so that no filter on them is spelled out in terms of the text
+    rows = placed.select("source_file", "problem", "width", F.inline_outer(PositionedColumns.records("at", "fields")))
+    problem = F.when(F.col("fields").isNull(), F.coalesce("problem", F.lit(NO_ROWS)))
+    too_long = F.col("fields") > F.col("width")
+    return normalize(rows, PositionedColumns(), F.col("source_file"), dates, disclosure_variant, too_long, problem)
+
+
 def read_filing_csv(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -172,16 +263,51 @@ def read_filing_csv(
     disclosure_variant: str = "flag_or_counts",
     include_exempt: bool = False,
     layouts: dict[Layout, list[str]] | None = None,
+    whole_file_bytes: int = WHOLE_FILE_BYTES,
 ) -> DataFrame:
     """All filing CSV files below ``paths`` as normalised rows (see :func:`normalize`).
 
-    A file that cannot be read is one rejected row with the reason and the file's name alone. ``layouts`` may name
-    the files of each layout where they are known, which saves the discovery scan. Spark cannot split a file with
-    line breaks inside quotes between tasks.
+    A file that cannot be read, or has no rows, is one rejected row with the reason and the file's name. Files above
+    ``whole_file_bytes`` are read by layout. ``layouts`` may name the files of each layout where they are known; then
+    all are read so. Spark cannot split a file with line breaks inside quotes between tasks.
     """
-    layouts, unreadable = inspect_files(spark, paths, include_exempt) if layouts is None else (layouts, {})
+    if layouts is not None:
+        return _by_layout(spark, layouts, {}, dates, disclosure_variant)
+    found = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", CSV_NAMES)
+        .load(paths if isinstance(paths, str) else list(paths))
+        .where(loadable(F.col("path"), include_exempt))
+    )
+    usual = found.where(F.col("length") <= whole_file_bytes)
+    rows = text_rows(usual.select(one_spelling(F.col("path")).alias("source_file"), "content"), dates, disclosure_variant)
+    rows = rows.unionByName(whole_file_rejects(_empty_files(found, include_exempt)))
+    large = [r.path for r in found.where(F.col("length") > whole_file_bytes).select("path").collect()]
+    if not large:
+        return rows
+    return rows.unionByName(_by_layout(spark, *inspect_files(spark, large, include_exempt), dates, disclosure_variant))
+
+
+def _empty_files(found: DataFrame, include_exempt: bool) -> DataFrame:
+    """Files that are listed but of which no scan makes a row. Names alone are compared."""
+    listed = found.sparkSession.createDataFrame([(path,) for path in found.inputFiles()], "listed string")
+    seen = found.select(one_spelling(F.col("_metadata.file_path")).alias("listed"))
+    missing = listed.select(one_spelling(F.col("listed")).alias("listed")).join(seen, "listed", "left_anti")
+    name = F.url_decode(F.replace(F.col("listed"), F.lit("+"), F.lit("%2B")))
+    empty = missing.select(name.alias("source_file"), F.lit(EMPTY_FILE).alias("reason"))
+    return empty.where(loadable(F.col("source_file"), include_exempt))
+
+
+def _by_layout(
+    spark: SparkSession,
+    layouts: dict[Layout, list[str]],
+    unreadable: dict[str, str],
+    dates: str,
+    disclosure_variant: str,
+) -> DataFrame:
     parts = [whole_file_rejects(spark.createDataFrame(sorted(unreadable.items()), "source_file string, reason string"))]
     for layout, files in layouts.items():
         rows, raw, too_long = read_layout(spark, layout, files, layout.multi_line)
         parts.append(normalize(rows, raw, F.col("path"), dates, disclosure_variant, too_long))
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts).withColumn("source_file", one_spelling(F.col("source_file")))

@@ -73,8 +73,12 @@ def _packets(rows: DataFrame) -> DataFrame:
     )
 
 
-def archives(rows: DataFrame) -> DataFrame:
-    """ZIP archives (``path``, ``content``), one per firm and year, with a CSV per filing, a note and a stub."""
+def archives(rows: DataFrame, damaged: bool = False) -> DataFrame:
+    """ZIP archives (``path``, ``content``), one per firm and year, with a CSV per filing, a note and a stub.
+
+    With ``damaged``, of five firms one has files without rows, one empty files, one files whose checksum is wrong and
+    one encrypted files.
+    """
     names = [c for c in rows.columns if c != "filed"]
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -91,8 +95,12 @@ def archives(rows: DataFrame) -> DataFrame:
                 with zipfile.ZipFile(buffer, "w") as archive:
                     for row in filed:
                         text = io.StringIO()
-                        csv.writer(text).writerows([names, row["cells"]])
+                        kind = int(crd) % 5 if damaged else 0
+                        csv.writer(text).writerows([names, row["cells"]][: (2, 1, 0, 2, 2)[kind]])
                         archive.writestr(f"form/ia{row['day']}.csv", text.getvalue())
+                        entry = archive.filelist[-1]  # written to the table of contents when the archive is closed
+                        entry.CRC ^= 1 if kind == 3 else 0
+                        entry.flag_bits |= 1 if kind == 4 else 0
                     archive.writestr("readme.txt", f"{len(filed)} filings")
                     archive.writestr("__MACOSX/._readme.txt", "")
                 packed.append((f"{crd}-{year}.zip", buffer.getvalue()))

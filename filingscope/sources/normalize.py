@@ -25,8 +25,14 @@ NO_HEADER = "no header line with the key column"
 LATE_HEADER = "lines above the header"
 EMPTY_FILE = "empty file"
 BROKEN_ARCHIVE = "archive cannot be read"
+BROKEN_MEMBER = "archive member cannot be read"
+ENCRYPTED_MEMBER = "archive member is encrypted"
+NO_MEMBER = "no data file in the archive"
 UNSUPPORTED = "file type is not supported"
-WHOLE_FILE = (NO_HEADER, LATE_HEADER, EMPTY_FILE, BROKEN_ARCHIVE, UNSUPPORTED)
+NO_ROWS = "No valid records"
+WHOLE_FILE = (
+    NO_HEADER, LATE_HEADER, EMPTY_FILE, NO_ROWS, BROKEN_ARCHIVE, BROKEN_MEMBER, ENCRYPTED_MEMBER, NO_MEMBER, UNSUPPORTED,
+)
 
 
 class NamedColumns:
@@ -66,6 +72,62 @@ class MapColumn:
         return F.aggregate(chosen, F.lit(0), lambda total, text: total + F.coalesce(whole(text), F.lit(0)))
 
 
+class PositionedColumns:
+    """Access to raw values that were picked from a record's fields by the places of the wanted headers in the file's
+    header line. What a record gives (see :meth:`records`) are the columns that are read here."""
+
+    WANTED = tuple(
+        dict.fromkeys(
+            [*rules.HEADERS.values(), rules.FILING_DATE_HEADER, rules.DISCLOSURE_HEADER, *rules.CLIENT_HEADERS]
+        )
+    )
+
+    #: What is summed over the headers that match, as SQL over a header ``n``.
+    SUMMED = {
+        "sections": "("
+        + " OR ".join(f"CONTAINS(n, '{s}')" for s in rules.DISCLOSURE_COUNT_SECTIONS)
+        + ") AND CONTAINS(n, 'Count')",
+        "eleven": "STARTSWITH(n, '11') AND CONTAINS(n, 'Count')",
+    }
+
+    @classmethod
+    def positions(cls, names: str) -> Column:
+        """A struct with the place of each wanted header (null: absent) and the places of the headers to be summed."""
+        places = {
+            f"h{i}": f"INT(NULLIF(ARRAY_POSITION({names}, '{header}'), 0)) - 1" for i, header in enumerate(cls.WANTED)
+        }
+        for name, wanted in cls.SUMMED.items():
+            marked = f"TRANSFORM({names}, (n, i) -> IF({wanted}, i, NULL))"
+            places[name] = f"FILTER({marked}, i -> i IS NOT NULL)"
+        return F.expr(_struct(places))
+
+    @classmethod
+    def records(cls, at: str, fields: str) -> Column:
+        """For each record its wanted values, the sums, the number of its fields and whether item 11 is in the header."""
+        values = {f"h{i}": f"NULLIF(GET(f, {at}.h{i}), '')" for i in range(len(cls.WANTED))}
+        number = "TRY_CAST(TRY_CAST(GET(f, i) AS DECIMAL(20,2)) AS INT)"
+        for name in cls.SUMMED:
+            values[name] = f"AGGREGATE({at}.{name}, 0, (t, i) -> t + COALESCE({number}, 0))"
+        values["fields"] = "SIZE(f)"
+        values["flagged"] = f"{at}.h{cls.WANTED.index(rules.DISCLOSURE_HEADER)} IS NOT NULL"
+        return F.expr(f"TRANSFORM({fields}, f -> {_struct(values)})")
+
+    def value(self, header: str) -> Column:
+        return F.col(f"h{self.WANTED.index(header)}")
+
+    def has(self, header: str) -> Column:
+        if header != rules.DISCLOSURE_HEADER:
+            raise ValueError(f"not kept: whether {header!r} is there")
+        return F.col("flagged")
+
+    def sum_where(self, wanted) -> Column:
+        return F.coalesce("sections" if wanted is _is_section_count else "eleven", F.lit(0))
+
+
+def _struct(parts: Mapping[str, str]) -> str:
+    return f"NAMED_STRUCT({', '.join(f"'{name}', {sql}" for name, sql in parts.items())})"
+
+
 def amount(text: Column) -> Column:
     return text.try_cast("decimal(20,2)")
 
@@ -110,7 +172,7 @@ def _is_eleven_count(name):
     return name.startswith("11") and "Count" in name
 
 
-def disclosures(raw: NamedColumns | MapColumn, variant: str = "flag_or_counts") -> Column:
+def disclosures(raw: NamedColumns | MapColumn | PositionedColumns, variant: str = "flag_or_counts") -> Column:
     """Number of disciplinary disclosures.
 
     ``flag_or_counts``: the yes/no answer to item 11 as 1/0 if the form has it, else the sum of the counts of
@@ -126,15 +188,17 @@ def disclosures(raw: NamedColumns | MapColumn, variant: str = "flag_or_counts")
 
 def normalize(
     df: DataFrame,
-    raw: NamedColumns | MapColumn | None = None,
+    raw: NamedColumns | MapColumn | PositionedColumns | None = None,
     source_file: Column | None = None,
     dates: str = "file_name",
     disclosure_variant: str = "flag_or_counts",
     malformed: Column | None = None,
+    problem: Column | None = None,
 ) -> DataFrame:
     """Typed filings plus ``source_file`` and ``reject_reason`` (NULL for a usable row).
 
-    ``dates``: ``file_name`` takes the date of the monthly file, ``column`` the form's own filing date.
+    ``dates``: ``file_name`` takes the date of the monthly file, ``column`` the form's own filing date. ``problem`` is
+    the reason for which a row stands for a whole file.
     """
     raw = NamedColumns.of(df) if raw is None else raw
     source = F.lit(None).cast("string") if source_file is None else source_file
@@ -159,13 +223,15 @@ def normalize(
         *[values[f.name].cast(f.dataType).alias(f.name) for f in FILING],
         source.alias("source_file"),
         bad.alias("too_long"),
+        (F.lit(None).cast("string") if problem is None else problem).alias("problem"),
     )
     reason = (
-        F.when(F.col("too_long"), TOO_MANY_FIELDS)
+        F.when(F.col("problem").isNotNull(), F.col("problem"))
+        .when(F.col("too_long"), TOO_MANY_FIELDS)
         .when(F.col("sec_number").isNull(), MISSING_KEY)
         .when(F.col("filing_date").isNull(), MISSING_DATE)
     )
-    return typed.withColumn("reject_reason", reason).drop("too_long")
+    return typed.withColumn("reject_reason", reason).drop("too_long", "problem")
 
 
 def whole_file_rejects(files: DataFrame) -> DataFrame:
@@ -194,11 +260,24 @@ def load_report(normalized: DataFrame) -> DataFrame:
             F.max(F.when(whole_file, F.col("reject_reason"))).alias("problem"),
         )
         .withColumn("success", F.col("rows_loaded") > 0)
-        .withColumn("message", F.when(F.col("success"), "Success").otherwise(F.coalesce("problem", F.lit("No valid records"))))
+        .withColumn("message", F.when(F.col("success"), "Success").otherwise(F.coalesce("problem", F.lit(NO_ROWS))))
         .drop("problem")
     )
 
 
+def load_ledger(listed: DataFrame, normalized: DataFrame) -> DataFrame:
+    """The load report with a line for every file that is ``listed`` (``source_file``), also for those of which no row
+    came. The rows are counted before they meet the listing."""
+    counted = load_report(normalized)
+    return listed.select("source_file").distinct().join(counted, "source_file", "left").select(
+        "source_file",
+        F.coalesce("rows_loaded", F.lit(0)).cast("bigint").alias("rows_loaded"),
+        F.coalesce("rows_rejected", F.lit(0)).cast("bigint").alias("rows_rejected"),
+        F.coalesce("success", F.lit(False)).alias("success"),
+        F.coalesce("message", F.lit(NO_ROWS)).alias("message"),
+    )
+
+
 def load_totals(report: DataFrame) -> DataFrame:
     return report.agg(
         F.count("*").alias("files"),

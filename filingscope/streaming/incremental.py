@@ -1,26 +1,34 @@
 """Incremental loading: new monthly files in, scores of the firms they touch out.
 
-The stream carries file names only. Its checkpoint remembers which files were taken, each micro-batch reads
-its files by layout as the batch reader does. Both tables are partitioned by ``batch_id`` and a batch
-overwrites its own partition alone, so a batch that is run again after a failure leaves the same tables.
+The stream carries file names only. Its checkpoint remembers which files were taken, each micro-batch reads its files as
+the batch reader does. What a batch brings is one write to the store (see :mod:`filingscope.sinks.snapshots`): filings,
+scores, rejected rows and one line per file change together, or not at all. A batch that is run again goes on from the
+commit before it, so its first attempt no longer counts.
+
+Filings and scores are dealt into buckets by firm. For each firm the store keeps a state: the last filing, the last
+drops and the first date. Filings that are newer than their firm's last one are scored by it alone, so a month costs its
+own filings and one state per firm, however much history there is. A late or corrected filing changes scores that
+are there: its firm's whole history is scored again, for which its bucket is read and the bucket's scores written anew.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from filingscope.functions.text import arrival_order
-from filingscope.operators.changes import filing_changes
+from filingscope.operators.changes import filing_changes, firm_state
 from filingscope.operators.history import dedupe_filings
 from filingscope.operators.points import score_changes
-from filingscope.schemas import FILING, KEY, RISK_SCORE
-from filingscope.sources.csv_files import loadable, read_filing_csv
-from filingscope.sources.normalize import accepted
+from filingscope.schemas import FILING, KEY, LOADED_FILE, RISK_SCORE
+from filingscope.sinks import snapshots
+from filingscope.sources.csv_files import CSV_NAMES, loadable, one_spelling, read_filing_csv
+from filingscope.sources.normalize import accepted, load_ledger, rejected
 
 FILE_SCHEMA = T.StructType(
     [
@@ -30,61 +38,109 @@ FILE_SCHEMA = T.StructType(
         T.StructField("content", T.BinaryType()),
     ]
 )
+SOURCE = T.StructField("source_file", T.StringType())
 BATCH = T.StructField("batch_id", T.LongType())
-STORED_FILING = T.StructType([*FILING.fields, T.StructField("source_file", T.StringType()), BATCH])
-STORED_SCORE = T.StructType([*RISK_SCORE.fields, BATCH])
+STORED_FILING = T.StructType([*FILING.fields, SOURCE, BATCH])
+STORED_REJECT = T.StructType([*FILING.fields, SOURCE, T.StructField("reject_reason", T.StringType()), BATCH])
+STORED_FILE = T.StructType([*LOADED_FILE.fields, BATCH])
+FIRM = ["sec_number"]
 
 
 def new_file_stream(spark: SparkSession, path: str, files_per_batch: int = 100) -> DataFrame:
-    """File names as they arrive; contents are pruned from the read."""
+    """File names as they arrive, any spelling of ``.csv``; contents are pruned from the read."""
     return (
         spark.readStream.format("binaryFile")
         .schema(FILE_SCHEMA)
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", CSV_NAMES)
         .option("maxFilesPerTrigger", files_per_batch)
         .load(path)
-        .select("path")
+        .select("path", "length", F.col("modificationTime").alias("modified"))
         .where(loadable(F.col("path")))
     )
 
 
-def _write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Replaces the batch's own partition, also by nothing."""
-    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-
 def stored_filings(spark: SparkSession, store: str) -> DataFrame:
-    return spark.read.schema(STORED_FILING).parquet(f"{store}/filings")
+    """Every accepted row that was loaded, corrected ones too."""
+    return snapshots.read(spark, store, "filings", schema=STORED_FILING)
 
 
-def current_filings(spark: SparkSession, store: str, upto: int | None = None, firms: DataFrame | None = None) -> DataFrame:
+def current_filings(spark: SparkSession, store: str) -> DataFrame:
     """One row per firm and date. Corrections are told by the files' names, however the files fell into batches; a
-    file of the same name that comes again in a later batch replaces the earlier one. ``firms`` limits the firms."""
-    rows = stored_filings(spark, store)
-    rows = rows if upto is None else rows.where(F.col("batch_id") <= upto)
-    rows = rows if firms is None else rows.join(firms, "sec_number", "left_semi")
-    ranked = rows.withColumn("arrival", F.struct(arrival_order(F.col("source_file")).alias("file"), "batch_id", "source_file"))
-    return dedupe_filings(ranked, "arrival").drop("arrival", "batch_id", "source_file")
+    file of the same name that comes again in a later batch replaces the earlier one."""
+    return _newest(stored_filings(spark, store)).drop("batch_id", "source_file")
+
+
+def _newest(rows: DataFrame) -> DataFrame:
+    arrival = F.struct(arrival_order(F.col("source_file")).alias("file"), "batch_id", "source_file")
+    return dedupe_filings(rows.withColumn("arrival", arrival), "arrival").drop("arrival")
 
 
 def current_scores(spark: SparkSession, store: str) -> DataFrame:
-    """Each batch scored the whole history of the firms it touched: the last batch that touched a firm has its current
-    scores, none if the corrected filings earn none."""
-    rows = spark.read.schema(STORED_SCORE).parquet(f"{store}/scores")
-    newest = stored_filings(spark, store).groupBy("sec_number").agg(F.max("batch_id").alias("batch_id"))
-    return rows.join(newest, ["sec_number", "batch_id"], "left_semi").drop("batch_id")
+    """The scores of all current filings."""
+    return snapshots.read(spark, store, "scores", schema=RISK_SCORE)
+
+
+def stored_rejects(spark: SparkSession, store: str) -> DataFrame:
+    """Rows and files that were not accepted, with the reason."""
+    return snapshots.read(spark, store, "rejects", schema=STORED_REJECT)
+
 
+def loaded_files(spark: SparkSession, store: str) -> DataFrame:
+    """One line per file that a batch took: what came of it. Serves ``new_files`` as the manifest."""
+    return snapshots.read(spark, store, "files", schema=STORED_FILE)
 
-def load_batch(spark: SparkSession, store: str, filings: DataFrame, batch_id: int) -> None:
-    """Store a batch of filings and rescore every firm in it over its whole history.
 
-    Late filings need no watermark: all of a touched firm's filings are compared again.
+def _before(spark: SparkSession, store: str, batch_id: int) -> snapshots.Commit | None:
+    """The commit that the batch goes on from: the newest of an earlier batch."""
+    at = snapshots.latest(spark, store)
+    while at is not None and at.note["batch_id"] >= batch_id:
+        at = snapshots.latest(spark, store, before=at.number)
+    return at
+
+
+def load_batch(
+    spark: SparkSession,
+    store: str,
+    filings: DataFrame,
+    batch_id: int,
+    rejects: DataFrame | None = None,
+    files: DataFrame | None = None,
+    buckets: int = snapshots.BUCKETS,
+) -> None:
+    """Store a batch of filings and bring the scores of the firms in it up to date.
+
+    Late filings need no watermark. Which buckets hold a late filing is all that reaches the driver.
     """
-    _write_batch(filings.select(*[f.name for f in FILING], "source_file"), f"{store}/filings", batch_id)
-    touched = stored_filings(spark, store).where(F.col("batch_id") == batch_id).select("sec_number").distinct()
-    history = current_filings(spark, store, batch_id, touched)
-    _write_batch(score_changes(filing_changes(history)), f"{store}/scores", batch_id)
+    base = _before(spark, store, batch_id)
+    write = snapshots.Write(spark, store, buckets, base)
+    batch = F.lit(batch_id).cast("bigint").alias("batch_id")
+    rows = write.put("filings", filings.select(*[f.name for f in FILING], "source_file", batch), FIRM)
+    fresh = _newest(rows)
+    dealt = snapshots.touched(rows, FIRM, write.buckets)
+    if base is None:
+        scores, state, again = score_changes(filing_changes(fresh)), firm_state(fresh), []
+    else:
+        known = snapshots.read(spark, store, "state", base, dealt)
+        first = fresh.groupBy(*FIRM).agg(F.min("filing_date").alias("first"))
+        late = first.join(known, FIRM).where(F.col("first") <= F.col("last.filing_date")).select(*FIRM)
+        again = snapshots.touched(late, FIRM, write.buckets)
+        newer = fresh.join(late, FIRM, "left_anti") if again else fresh
+        scores, state = score_changes(filing_changes(newer, carried=known)), firm_state(newer, known)
+        if again:
+            stored = snapshots.read(spark, store, "filings", base, again).unionByName(rows)
+            history = _newest(stored.join(late, FIRM, "left_semi"))
+            rest = snapshots.read(spark, store, "scores", base, again).join(late, FIRM, "left_anti")
+            scores = scores.unionByName(rest).unionByName(score_changes(filing_changes(history)))
+            state = state.unionByName(firm_state(history))
+        state = state.unionByName(known.join(first, FIRM, "left_anti"))
+    write.put("scores", scores, FIRM, replaced=again)
+    write.put("state", state, FIRM, replaced=dealt)
+    if rejects is not None:
+        write.put("rejects", rejects.select(*[f.name for f in STORED_REJECT.fields[:-1]], batch), ["source_file"])
+    if files is not None:
+        write.put("files", files.select(*LOADED_FILE.names, batch), ["path"])
+    write.commit(batch_id=batch_id)
 
 
 def ingest_stream(
@@ -100,9 +156,16 @@ def ingest_stream(
     ``files_per_batch``, so their names fit on the driver."""
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        paths = [row.path for row in batch.collect()]
-        if paths:
-            load_batch(batch.sparkSession, store, accepted(read(batch.sparkSession, paths, dates=dates)), batch_id)
+        session = batch.sparkSession
+        taken = batch.collect()
+        if not taken:
+            return
+        rows = read(session, [file.path for file in taken], dates=dates).persist(StorageLevel.DISK_ONLY)
+        files = session.createDataFrame(taken, batch.schema).withColumn("path", one_spelling(F.col("path")))
+        listed = load_ledger(files.select(F.col("path").alias("source_file")), rows)
+        ledger = files.join(listed.withColumnRenamed("source_file", "path"), "path")
+        load_batch(session, store, accepted(rows), batch_id, rejected(rows), ledger)
+        rows.unpersist()
 
     return (
         new_file_stream(spark, source, files_per_batch)
@@ -111,3 +174,9 @@ def ingest_stream(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def compact(spark: SparkSession, store: str) -> None:
+    """Brings the store's writes together in one, superseded scores and states left out. Filings all stay, corrected
+    ones too. Earlier files remain until :func:`~filingscope.sinks.snapshots.expire`."""
+    snapshots.compact(spark, store)

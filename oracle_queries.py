@@ -281,6 +281,24 @@ def _page(where: str, order: str, offset: int) -> str:
     FROM found ORDER BY {order} LIMIT 20 OFFSET {offset}"""
 
 
+def _first_after(order: str) -> str:
+    """The second page of 20 without the totals."""
+    return f"SELECT * EXCLUDE (total, total_pages) FROM ({_page('TRUE', order, 20)})"
+
+
+FILES = f"""{FILINGS},
+report AS (
+  SELECT printf('%012d-%d.zip!/form/ia%s.csv', crd, year(filing_date), strftime(filing_date, '%m%d%Y')) AS source_file,
+         CASE WHEN crd % 5 = 0 AND raum IS NOT NULL THEN 1::BIGINT ELSE 0 END AS rows_loaded,
+         CASE WHEN crd % 5 = 0 AND raum IS NULL THEN 1::BIGINT ELSE 0 END AS rows_rejected,
+         crd % 5 = 0 AND raum IS NOT NULL AS success,
+         CASE WHEN crd % 5 = 0 AND raum IS NOT NULL THEN 'Success' WHEN crd % 5 IN (0, 1) THEN 'No valid records'
+              WHEN crd % 5 = 2 THEN 'empty file' WHEN crd % 5 = 3 THEN 'archive member cannot be read'
+              ELSE 'archive member is encrypted' END AS message
+  FROM filings
+)"""
+
+
 def _disclosed(how: str, limit: int) -> str:
     return f"""WITH {SCORES} SELECT f.sec_number, f.day AS filing_date, firm_name, CAST(raum AS DOUBLE) AS raum,
       disciplinary_disclosures, score, risk_category
@@ -624,6 +642,18 @@ ORACLES: dict[str, str] = {
         count(*) + 1 AS files, count(*) AS csv_files, CAST(0 AS BIGINT) AS workbooks, CAST(1 AS BIGINT) AS other_files
       FROM filings GROUP BY crd_number, year(filing_date)""",
     "workbook_rows": _normalized(),
+    "load_report_files": f"WITH {FILES} SELECT * FROM report",
+    "failed_files": f"""WITH {FILES} SELECT source_file, message FROM report WHERE NOT success
+      ORDER BY source_file LIMIT 10""",
+    "incremental_store": f"WITH {SCORES} SELECT {SCORE_COLUMNS} FROM scores",
+    "firm_page_after": _first_after("found.aum DESC NULLS FIRST, crd"),
+    "sql_functions": f"""WITH stats AS ({_statistics(SCORES, distinct=False)}),
+      high AS (WITH {SCORES} SELECT risk_category, count(*) AS n FROM scores WHERE score >= 50 GROUP BY risk_category)
+      SELECT stats.*, coalesce(n, 0) AS high_scores FROM stats LEFT JOIN high USING (risk_category)""",
+    "raum_percentiles_merged": f"""WITH {FILINGS} SELECT count(raum) AS "values", TRUE AS median_within, TRUE AS p95_within,
+      TRUE AS p99_within FROM filings""",
+    "replace_roundtrip": f"""WITH {SCORES} SELECT sec_number, day AS filing_date, score, risk_category FROM scores
+      WHERE risk_category IN ('High', 'Critical')""",
     "incremental_ingest": f"WITH {SCORES} SELECT {SCORE_COLUMNS} FROM scores",
     "upsert_scores": f"""WITH {SCORES}, {_scores('as_written')[len(FILINGS) + 2:]
         .replace('numbered', 'numbered2').replace('compared', 'compared2').replace('changes AS', 'changes2 AS')
@@ -636,3 +666,5 @@ ORACLES: dict[str, str] = {
     "score_documents": f"""WITH {SCORES} SELECT '{{"risk_category":"' || risk_category || '","firm_count":' ||
         count(DISTINCT sec_number) || '}}' AS document FROM scores GROUP BY risk_category""",
 }
+
+ORACLES["upsert_roundtrip"] = ORACLES["upsert_scores"]
