@@ -273,24 +273,28 @@ def read_filing_csv(
     """
     if layouts is not None:
         return _by_layout(spark, layouts, {}, dates, disclosure_variant)
-    found = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", CSV_NAMES)
-        .load(paths if isinstance(paths, str) else list(paths))
-        .where(loadable(F.col("path"), include_exempt))
-    )
+    found = _found(spark, paths).where(loadable(F.col("path"), include_exempt))
     usual = found.where(F.col("length") <= whole_file_bytes)
     rows = text_rows(usual.select(one_spelling(F.col("path")).alias("source_file"), "content"), dates, disclosure_variant)
-    rows = rows.unionByName(whole_file_rejects(_empty_files(found, include_exempt)))
+    rows = rows.unionByName(whole_file_rejects(empty_files(spark, paths, include_exempt)))
     large = [r.path for r in found.where(F.col("length") > whole_file_bytes).select("path").collect()]
     if not large:
         return rows
     return rows.unionByName(_by_layout(spark, *inspect_files(spark, large, include_exempt), dates, disclosure_variant))
 
 
-def _empty_files(found: DataFrame, include_exempt: bool) -> DataFrame:
-    """Files that are listed but of which no scan makes a row. Names alone are compared."""
+def _found(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    return (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", CSV_NAMES)
+        .load(paths if isinstance(paths, str) else list(paths))
+    )
+
+
+def empty_files(spark: SparkSession, paths: str | Sequence[str], include_exempt: bool = False) -> DataFrame:
+    """Files that are listed but of which no scan makes a row, with the reason. Names alone are compared."""
+    found = _found(spark, paths)
     listed = found.sparkSession.createDataFrame([(path,) for path in found.inputFiles()], "listed string")
     seen = found.select(one_spelling(F.col("_metadata.file_path")).alias("listed"))
     missing = listed.select(one_spelling(F.col("listed")).alias("listed")).join(seen, "listed", "left_anti")

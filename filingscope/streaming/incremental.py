@@ -27,7 +27,15 @@ from filingscope.operators.history import dedupe_filings
 from filingscope.operators.points import score_changes
 from filingscope.schemas import FILING, KEY, LOADED_FILE, RISK_SCORE
 from filingscope.sinks import snapshots
-from filingscope.sources.csv_files import CSV_NAMES, loadable, one_spelling, read_filing_csv
+from filingscope.sources.csv_files import (
+    CSV_NAMES,
+    empty_files,
+    list_files,
+    loadable,
+    new_files,
+    one_spelling,
+    read_filing_csv,
+)
 from filingscope.sources.normalize import accepted, load_ledger, rejected
 
 FILE_SCHEMA = T.StructType(
@@ -44,6 +52,7 @@ STORED_FILING = T.StructType([*FILING.fields, SOURCE, BATCH])
 STORED_REJECT = T.StructType([*FILING.fields, SOURCE, T.StructField("reject_reason", T.StringType()), BATCH])
 STORED_FILE = T.StructType([*LOADED_FILE.fields, BATCH])
 FIRM = ["sec_number"]
+NOT_LOADED = "not loaded yet"
 
 
 def new_file_stream(spark: SparkSession, path: str, files_per_batch: int = 100) -> DataFrame:
@@ -91,6 +100,15 @@ def loaded_files(spark: SparkSession, store: str) -> DataFrame:
     return snapshots.read(spark, store, "files", schema=STORED_FILE)
 
 
+def unloaded_files(spark: SparkSession, source: str, store: str) -> DataFrame:
+    """The filing files below ``source`` that no batch took: those that arrived since, and empty ones, of which Spark's
+    streams make no row. With :func:`loaded_files` every file is told of."""
+    listed = list_files(spark, source, CSV_NAMES).where(loadable(F.col("path")))
+    waiting = new_files(listed, loaded_files(spark, store)).select("path", F.lit(NOT_LOADED).alias("message"))
+    empty = empty_files(spark, source).select(F.col("source_file").alias("path"), F.col("reason").alias("message"))
+    return waiting.unionByName(empty)
+
+
 def _before(spark: SparkSession, store: str, batch_id: int) -> snapshots.Commit | None:
     """The commit that the batch goes on from: the newest of an earlier batch."""
     at = snapshots.latest(spark, store)

@@ -254,3 +254,69 @@ def test_schema_tools(spark):
     assert [(r.column_name, r.data_type) for r in described] == [
         ("client_count", "int"), ("account_count", "int"), ("main_office_country", "string"),
     ]
+
+
+def damaged_zip():
+    """A good member, one without rows, an empty one, one with lines above the header, a damaged and an encrypted one."""
+    buffer = io.BytesIO()
+    row = HEADER + "\n801-1,7,Alpha,5,1,1,1,Y,N\n"
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+        for name, text in {"01": row, "02": HEADER, "03": "", "04": "Title\n" + row, "05": row, "06": row, "07": row * 50}.items():
+            archive.writestr(f"ia{name}032022.csv", text)
+        archive.filelist[4].CRC ^= 1
+        archive.filelist[5].flag_bits |= 1
+        at = archive.filelist[6].header_offset + 60
+    content = bytearray(buffer.getvalue())
+    content[at : at + 20] = b"\xff" * 20  # not a deflate stream any more
+    return bytes(content)
+
+
+def test_one_damaged_member_costs_only_itself(spark, tmp_path):
+    (tmp_path / "a.zip").write_bytes(damaged_zip())
+    (tmp_path / "b.zip").write_bytes(zipped({"ia01032022.csv": HEADER + "\n801-2,7,Beta,5,1,1,1,Y,N\n"}))
+    (tmp_path / "c.zip").write_bytes(zipped({"notes.txt": "x"}))
+    (tmp_path / "d.zip").write_bytes(b"PK no archive")
+    rows = archives.read_filing_archives(spark, str(tmp_path))
+    report = {r.source_file: (r.rows_loaded, r.rows_rejected, r.message) for r in normalize.load_report(rows).collect()}
+    assert report == {
+        "a.zip!/ia01032022.csv": (1, 0, "Success"),
+        "a.zip!/ia02032022.csv": (0, 0, normalize.NO_ROWS),
+        "a.zip!/ia03032022.csv": (0, 0, normalize.EMPTY_FILE),
+        "a.zip!/ia04032022.csv": (0, 0, normalize.LATE_HEADER),
+        "a.zip!/ia05032022.csv": (0, 0, normalize.BROKEN_MEMBER),
+        "a.zip!/ia06032022.csv": (0, 0, normalize.ENCRYPTED_MEMBER),
+        "a.zip!/ia07032022.csv": (0, 0, normalize.BROKEN_MEMBER),
+        "b.zip!/ia01032022.csv": (1, 0, "Success"),
+        "c.zip": (0, 0, normalize.NO_MEMBER),
+        "d.zip": (0, 0, normalize.BROKEN_ARCHIVE),
+    }
+    listed = spark.createDataFrame([("a.zip!/ia01032022.csv",), ("gone.csv",), ("gone.csv",)], "source_file string")
+    ledger = {r.source_file: (r.rows_loaded, r.message) for r in normalize.load_ledger(listed, rows).collect()}
+    assert ledger == {"a.zip!/ia01032022.csv": (1, "Success"), "gone.csv": (0, normalize.NO_ROWS)}
+
+
+def test_records_as_a_csv_reader_sees_them(spark, tmp_path):
+    """Quotes, line breaks and separators in all places, against Python's reader."""
+    import csv
+    import random
+
+    rng = random.Random(5)
+    for separator, name in ((",", "ia01032022.csv"), ("|", "ia02032022.csv")):
+        parts = ["x", "7", " ", '"', ",", "|", "\n", "\r\n", "é", "''", "a,b", '""']
+        lines = [[f"801-{i}", "1", "".join(rng.choices(parts, k=rng.randint(0, 6))), "5", "1", "1", "1", "Y", "N"] for i in range(300)]
+        with open(tmp_path / name, "w", newline="") as file:
+            writer = csv.writer(file, delimiter=separator)
+            writer.writerows([HEADER.split(","), *lines])
+        with open(tmp_path / name, newline="") as file:
+            want = {r[0]: r[2] or None for r in list(csv.reader(file, delimiter=separator))[1:]}
+        rows = normalize.accepted(csv_files.read_filing_csv(spark, str(tmp_path / name)))
+        assert {r.sec_number: r.firm_name for r in rows.collect()} == want
+    odd = HEADER + '\r801-1,1,5" disk,5,1,1,1,Y,N\r\r801-2,1,"open,5,1,1,1,Y,N\r801-3,1,"a" b,5,1,1,1,Y,N'
+    (tmp_path / "ia03032022.csv").write_text(odd)
+    rows = normalize.accepted(csv_files.read_filing_csv(spark, str(tmp_path / "ia03032022.csv")))
+    assert {r.sec_number: r.firm_name for r in rows.collect()} == {"801-1": '5" disk', "801-2": '"open', "801-3": '"a" b'}
+
+
+def test_large_files_are_read_by_layout_with_the_same_rows(spark, folder):
+    whole, split = (csv_files.read_filing_csv(spark, folder, whole_file_bytes=size) for size in (1 << 20, 10))
+    assert sorted(map(str, whole.collect())) == sorted(map(str, split.collect()))

@@ -1,13 +1,14 @@
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from filingscope.operators.changes import filing_changes
 from filingscope.operators.points import score_changes
 from filingscope.schemas import RUN_LOG
 from filingscope.session import shared_dir
 from filingscope.sinks import tables
-from filingscope.sources.csv_files import read_filing_csv
+from filingscope.sources.csv_files import CSV_NAMES, list_files, new_files, read_filing_csv
 from filingscope.sources.normalize import accepted
 from filingscope.streaming import incremental
 
@@ -147,3 +148,59 @@ def test_an_unreadable_file_does_not_stop_the_stream(spark, tmp_path):
     (source / "ia02032022.csv").write_text("no header here\n1\n")
     run(spark, tmp_path, 1)
     assert incremental.current_scores(spark, str(tmp_path / "store")).count() == 1
+
+
+def test_a_month_in_order_is_scored_without_the_history(spark, tmp_path):
+    """Everything that was stored but the state is made unreadable."""
+    store = str(tmp_path / "store")
+    months = [f"ia{m:02d}012022.csv" for m in range(1, 6)]
+    for i, name in enumerate(months):
+        lines = [f"801-{f},{(7 * f + 13 * i * i + 5) % 90},{10 + i},{f},{i % 2},{'ABC'[(f + i) % 3]}" for f in range(1, 9) if (f + i) % 4]
+        monthly(tmp_path / "in", name, *lines)
+        if i == 4:
+            for path in [*tmp_path.glob("store/filings/**/*.parquet"), *tmp_path.glob("store/scores/**/*.parquet")]:
+                path.rename(path.with_suffix(".away"))
+        incremental.load_batch(spark, store, accepted(read_filing_csv(spark, str(tmp_path / "in" / name))), i)
+    for path in tmp_path.glob("store/**/*.away"):
+        path.rename(path.with_suffix(".parquet"))
+    whole = score_changes(filing_changes(accepted(read_filing_csv(spark, str(tmp_path / "in")))))
+    assert keyed(incremental.current_scores(spark, store)) == keyed(whole)
+
+
+def test_outcomes_of_a_batch_can_be_read_afterwards(spark, tmp_path):
+    source, store = tmp_path / "in", str(tmp_path / "store")
+    monthly(source, "ia01032022.CSV", "801-1,100,10,10,0,A", ",1,1,1,0,A")
+    monthly(source, "ia02032022.Csv", "801-1,90,10,10,0,A,too,long")
+    (source / "ia03032022.csv").write_text("no header here\n1\n")
+    (source / "ia04032022.csv").write_text("")
+    (source / "ia05032022.csv").write_text(HEADER + "\n")
+    run(spark, tmp_path, 2)
+    files = incremental.loaded_files(spark, store)
+    told = {r.path.rsplit("/", 1)[-1]: (r.rows_loaded, r.rows_rejected, r.message) for r in files.collect()}
+    assert told == {
+        "ia01032022.CSV": (1, 1, "Success"),
+        "ia02032022.Csv": (0, 1, "No valid records"),
+        "ia03032022.csv": (0, 0, "no header line with the key column"),
+        "ia05032022.csv": (0, 0, "No valid records"),
+    }
+    assert sorted(r.reject_reason for r in incremental.stored_rejects(spark, store).collect()) == [
+        "No valid records", "missing SEC number", "no header line with the key column", "too many fields",
+    ]
+    assert new_files(list_files(spark, str(source), CSV_NAMES), files).count() == 0
+    monthly(source, "ia06032022.csv", "801-1,100,10,10,0,A")
+    waiting = {r.path.rsplit("/", 1)[-1]: r.message for r in incremental.unloaded_files(spark, str(source), store).collect()}
+    assert waiting == {"ia04032022.csv": "empty file", "ia06032022.csv": "not loaded yet"}
+    incremental.compact(spark, store)
+    assert incremental.loaded_files(spark, store).count() == 4 and incremental.current_scores(spark, store).count() == 1
+
+
+def test_a_failed_batch_leaves_the_store_as_it_was(spark, tmp_path):
+    store = str(tmp_path / "store")
+    monthly(tmp_path / "one", "ia01032022.csv", "801-1,100,10,10,0,A")
+    first = accepted(read_filing_csv(spark, str(tmp_path / "one")))
+    incremental.load_batch(spark, store, first, 0)
+    bad = first.withColumn("firm_name", F.raise_error(F.lit("broken")).cast("string"))
+    with pytest.raises(Exception, match="broken"):
+        incremental.load_batch(spark, store, bad, 1)
+    assert incremental.stored_filings(spark, store).count() == 1
+    assert incremental.current_scores(spark, store).count() == 1
