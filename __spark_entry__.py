@@ -199,6 +199,34 @@ def _incremental_store(spark: SparkSession, sf: str) -> DataFrame:
     return flat_scores(incremental.current_scores(spark, store))
 
 
+def _append_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores appended to a table in two goes, by year of filing."""
+    path = shared_dir(spark, "appended")
+    rows = scores(spark, sf).select(*KEY, "score", "risk_category", F.year("filing_date").alias("filing_year"))
+    for part in ("filing_date < '1996-01-01'", "filing_date >= '1996-01-01'"):
+        sinks.append(rows.where(part), path, partition_by=["filing_year"])
+    return spark.read.parquet(path).select(rows.columns)
+
+
+def _file_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Names of files as they lie in a folder: one of each kind for every filing date."""
+    dates = filings(spark, sf, KEY).select("filing_date", F.date_format("filing_date", "MMddyyyy").alias("day")).distinct()
+    kinds = {"in/ia": ".csv", "in/ia-": ".XLSX", "in/": "exempt.csv", "in/FOIA": ".csv", "in/._ia": ".csv", "in/note": ".txt"}
+    names = F.array(*[F.concat(F.lit(a), "day", F.lit(b)) for a, b in kinds.items()])
+    return dates.select("filing_date", F.explode(names).alias("path"))
+
+
+def _pending_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Files that are to be loaded and that the manifest, of the years before 1996, does not name."""
+    listed = _file_names(spark, sf).where(csv_files.loadable(F.col("path")))
+    return csv_files.new_files(listed, listed.where("filing_date < '1996-01-01'")).select("path")
+
+
+def _firm_detail_one(spark: SparkSession, sf: str) -> DataFrame:
+    history = model_input(spark, sf)
+    return firms.firm_details(history, weighted(spark, sf), crd=history.agg(F.min("crd")).first()[0])
+
+
 def _load_report_files(spark: SparkSession, sf: str) -> DataFrame:
     """One line for every member of archives of which some are damaged, encrypted, empty or without rows."""
     packed = derive.archives(form(spark, sf), damaged=True)
@@ -431,6 +459,7 @@ def queries() -> dict[str, Query]:
         ),
         "firm_page_after": _page_after,
         "firm_detail": lambda s, d: firms.firm_details(model_input(s, d), weighted(s, d)),
+        "firm_detail_one": _firm_detail_one,
         "top_raum": lambda s, d: reports.top_filings(
             filings(s, d, PROFILE).where("raum > 0"), ["raum"], ["sec_number", "firm_name", "raum", "filing_date"], 10
         ),
@@ -518,6 +547,12 @@ def queries() -> dict[str, Query]:
         ),
         "load_report": lambda s, d: normalize.load_report(_normalized(s, d)),
         "load_totals": lambda s, d: normalize.load_totals(normalize.load_report(_normalized(s, d))),
+        "loadable_files": lambda s, d: _file_names(s, d).select(
+            "path",
+            csv_files.loadable(F.col("path")).alias("loadable"),
+            csv_files.loadable(F.col("path"), include_exempt=True).alias("loadable_exempt"),
+        ),
+        "pending_files": _pending_files,
         "load_report_files": _load_report_files,
         "failed_files": lambda s, d: normalize.failed_files(_load_report_files(s, d)),
         "csv_ingest": _csv_files,
@@ -529,6 +564,7 @@ def queries() -> dict[str, Query]:
         # sinks
         "upsert_scores": _upsert,
         "upsert_roundtrip": _upsert_roundtrip,
+        "append_roundtrip": _append_roundtrip,
         "replace_roundtrip": _replace_roundtrip,
         "score_documents": lambda s, d: sinks.as_documents(
             reports.risk_statistics_all_dates(scores(s, d)).select("risk_category", "firm_count")

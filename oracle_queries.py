@@ -286,6 +286,10 @@ def _first_after(order: str) -> str:
     return f"SELECT * EXCLUDE (total, total_pages) FROM ({_page('TRUE', order, 20)})"
 
 
+FILE_KINDS = """(VALUES ('in/ia', '.csv', TRUE, FALSE), ('in/ia-', '.XLSX', TRUE, FALSE),
+  ('in/', 'exempt.csv', FALSE, TRUE), ('in/FOIA', '.csv', FALSE, FALSE), ('in/._ia', '.csv', FALSE, FALSE),
+  ('in/note', '.txt', FALSE, FALSE)) AS kinds(a, b, yes, exempt)"""
+
 FILES = f"""{FILINGS},
 report AS (
   SELECT printf('%012d-%d.zip!/form/ia%s.csv', crd, year(filing_date), strftime(filing_date, '%m%d%Y')) AS source_file,
@@ -652,6 +656,17 @@ ORACLES: dict[str, str] = {
       SELECT stats.*, coalesce(n, 0) AS high_scores FROM stats LEFT JOIN high USING (risk_category)""",
     "raum_percentiles_merged": f"""WITH {FILINGS} SELECT count(raum) AS "values", TRUE AS median_within, TRUE AS p95_within,
       TRUE AS p99_within FROM filings""",
+    "append_roundtrip": f"""WITH {SCORES} SELECT sec_number, day AS filing_date, score, risk_category,
+      CAST(year(filing_date) AS INTEGER) AS filing_year FROM scores""",
+    "firm_detail_one": f"""WITH {MODEL} SELECT f.crd, CAST(raum AS DOUBLE) AS aum, client_count AS total_clients,
+        account_count AS total_accounts, day AS last_filing_date, {WEIGHTED_COLUMNS}
+      FROM stepped f LEFT JOIN weighted w ON w.crd = f.crd
+      WHERE newest = 1 AND f.crd = (SELECT min(o_custkey) FROM orders)""",
+    "loadable_files": f"""WITH d AS (SELECT DISTINCT strftime(CAST(o_orderdate AS DATE), '%m%d%Y') AS day FROM orders)
+      SELECT a || day || b AS path, yes AS loadable, yes OR exempt AS loadable_exempt FROM d, {FILE_KINDS}""",
+    "pending_files": f"""WITH d AS (SELECT DISTINCT strftime(CAST(o_orderdate AS DATE), '%m%d%Y') AS day FROM orders
+        WHERE CAST(o_orderdate AS DATE) >= DATE '1996-01-01')
+      SELECT a || day || b AS path FROM d, {FILE_KINDS} WHERE yes""",
     "replace_roundtrip": f"""WITH {SCORES} SELECT sec_number, day AS filing_date, score, risk_category FROM scores
       WHERE risk_category IN ('High', 'Critical')""",
     "incremental_ingest": f"WITH {SCORES} SELECT {SCORE_COLUMNS} FROM scores",
