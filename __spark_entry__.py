@@ -195,7 +195,7 @@ def _incremental_store(spark: SparkSession, sf: str) -> DataFrame:
         whole.where(early & (F.col("tenth") == 3)).select("*", file("-2")),
     ]
     for number, batch in enumerate(batches):
-        incremental.load_batch(spark, store, batch, number)
+        incremental.load_batch(spark, store, batch, number, buckets=8)
     return flat_scores(incremental.current_scores(spark, store))
 
 
@@ -306,7 +306,13 @@ def _incremental(spark: SparkSession, sf: str) -> DataFrame:
     derive.write_form_files(rows.repartition(6, "filed", "SEC#"), f"{folder}/source")
     count = csv_files.list_files(spark, f"{folder}/source", csv_files.CSV_NAMES).count()
     query = incremental.ingest_stream(
-        spark, f"{folder}/source", f"{folder}/store", f"{folder}/progress", max(1, -(-count // 3)), dates="column"
+        spark,
+        f"{folder}/source",
+        f"{folder}/store",
+        f"{folder}/progress",
+        max(1, -(-count // 3)),
+        dates="column",
+        buckets=8,
     )
     query.awaitTermination()
     return flat_scores(incremental.current_scores(spark, f"{folder}/store"))

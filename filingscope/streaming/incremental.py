@@ -169,9 +169,10 @@ def ingest_stream(
     files_per_batch: int = 100,
     dates: str = "file_name",
     read: Callable[..., DataFrame] = read_filing_csv,
+    buckets: int = snapshots.BUCKETS,
 ) -> StreamingQuery:
     """Load the files that are new since the last run, then stop. Files of a batch are bounded by
-    ``files_per_batch``, so their names fit on the driver."""
+    ``files_per_batch``, so their names fit on the driver. A new store is dealt into ``buckets``."""
 
     def load(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
@@ -182,7 +183,7 @@ def ingest_stream(
         files = session.createDataFrame(taken, batch.schema).withColumn("path", one_spelling(F.col("path")))
         listed = load_ledger(files.select(F.col("path").alias("source_file")), rows)
         ledger = files.join(listed.withColumnRenamed("source_file", "path"), "path")
-        load_batch(session, store, accepted(rows), batch_id, rejected(rows), ledger)
+        load_batch(session, store, accepted(rows), batch_id, rejected(rows), ledger, buckets)
         rows.unpersist()
 
     return (

@@ -1,9 +1,11 @@
+import bisect
 import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from filingscope.operators.quantiles import exact_percentiles
+from filingscope.operators.quantiles import RANK_ERROR, exact_percentiles, merged_percentiles, quantile_sketches
 
 WANTED = {"p0": 0.0, "p10": 0.1, "p50": 0.5, "p95": 0.95, "p99": 0.99, "p100": 1.0}
 
@@ -36,3 +38,20 @@ def test_no_values(spark):
 def test_probability_must_be_one(spark):
     with pytest.raises(ValueError):
         exact_percentiles(spark.range(3).selectExpr("double(id) AS x"), "x", {"p": 1.5})
+
+
+def test_sketches_by_date_answer_for_any_dates(spark):
+    rng = random.Random(1)
+    rows = [(day, rng.choice([None, rng.gauss(day, 5), float(day)])) for day in range(40) for _ in range(rng.randint(0, 400))]
+    rows += [(99, None)] * 5
+    sketches = quantile_sketches(spark.createDataFrame(rows, "day int, v double").repartition(5), "v", "day")
+    for chosen in (range(100), range(3), range(7, 30)):
+        values = sorted(v for d, v in rows if d in chosen and v is not None)
+        got = merged_percentiles(sketches.where(F.col("day").isin(list(chosen))), {"a": 0.05, "b": 0.5, "c": 0.99}).first()
+        assert got["values"] == len(values)
+        for name, p in (("a", 0.05), ("b", 0.5), ("c", 0.99)):
+            below, upto = bisect.bisect_left(values, got[name]), bisect.bisect_right(values, got[name])
+            slack = RANK_ERROR * len(values) + 1
+            assert below < upto and below - slack <= p * len(values) <= upto + slack
+    by_half = merged_percentiles(sketches.withColumn("half", F.col("day") < 20), {"m": 0.5}, "half").collect()
+    assert len(by_half) == 2

@@ -1,3 +1,4 @@
+import random
 from datetime import date
 from decimal import Decimal
 
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from filingscope.functions.text import money_grouped, money_label, money_short
 from filingscope.plans import firms, reports
+from filingscope.plans.scoring import register_functions, score_filings
 
 D1, D2 = date(2020, 1, 2), date(2020, 2, 3)
 SCORE = "sec_number string, filing_date date, score int, risk_category string, factors struct<new_disc:int>"
@@ -154,3 +156,38 @@ def test_column_profile(spark):
     rows = {r.column_name: r for r in reports.column_profile(df, ["n", "t"]).collect()}
     assert (rows["n"].non_null, rows["n"].distinct_values, rows["n"].data_type) == (3, 2, "int")
     assert (rows["t"].non_null, rows["t"].min_text, rows["t"].max_text) == (2, "x", "y")
+
+
+@pytest.mark.parametrize("descending", [False, True])
+@pytest.mark.parametrize("sort_by", ["crd", "aum", "risk_category", "unknown"])
+def test_pages_by_key_are_the_pages_by_number(spark, sort_by, descending):
+    rng = random.Random(4)
+    rows = [
+        (i // 2, rng.choice([None, 1.0, 2.0, 3.0]), rng.choice([None, "High", "Low"]), date(2020, 1, 1 + i % 2))
+        for i in range(50)
+    ]
+    found = spark.createDataFrame(rows, "crd long, aum double, risk_category string, last_filing_date date").repartition(3)
+    column = sort_by if sort_by != "unknown" else "crd"
+    after, walked = None, []
+    for number in range(1, 9):
+        page = firms.firm_page_after(found, after, sort_by, descending, page_size=7).collect()
+        numbered = firms.firm_page(found, sort_by, descending, number, page_size=7).drop("total", "total_pages")
+        assert page == numbered.collect()
+        walked += page
+        after = (page[-1][column], page[-1].crd, page[-1].last_filing_date) if page else after
+    assert len(walked) == 50
+
+
+def test_functions_with_arguments(spark, history):
+    filed = history(("801-1", "2020-01-01", 100), ("801-1", "2020-02-01", 50), ("801-2", "2020-02-01", 70, 10, 10, "A", 3))
+    filed = filed.withColumn("firm_name", F.lit("Alpha"))
+    register_functions(filed, score_filings(filed))
+    every = spark.sql("SELECT * FROM risk_statistics_of(NULL)").collect()
+    assert sum(r.firm_count for r in every) == 2
+    one = spark.sql(f"SELECT * FROM risk_statistics_of('{every[0].risk_category}')").collect()
+    assert [tuple(r) for r in one] == [tuple(every[0])]
+    scores = spark.sql("SELECT score FROM firms_in_category(NULL, 0)").collect()
+    highest = max(r.score for r in scores)
+    assert len(scores) == 3
+    found = spark.sql(f"SELECT * FROM firms_in_category(NULL, {highest})").collect()
+    assert found and all(r.score == highest and r.firm_name == "Alpha" for r in found)
