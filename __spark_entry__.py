@@ -34,7 +34,7 @@ try:  # the package for training data and its pipeline may be absent; anything e
     import corpus_pipeline
     from filingscope.llm import queries as llm_queries
 except ModuleNotFoundError as absent:
-    if absent.name not in ("corpus_pipeline", "filingscope.llm"):
+    if absent.name not in ("corpus_pipeline", "filingscope.llm", "filingscope.llm.common"):
         raise
     corpus_pipeline = llm_queries = None
 
