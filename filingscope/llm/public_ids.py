@@ -20,7 +20,6 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has the cores
 
 UNSIGNED = "I"
 LITTLE = sys.byteorder == "little" and array(UNSIGNED).itemsize == 4
-LINE_BREAKS = re.compile(r"\s\n|\n\s|\A\n|\n\Z")  # those that are not single ones between visible characters
 MARKS = frozenset(".,!?;:")
 MARKED = re.compile(r"(.*[^\W_])([.,!?;:]+)", re.DOTALL)
 VISIBLE_CUT = re.compile(r" (?:\s|\Z)")
@@ -31,6 +30,13 @@ _SEEN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_CHARACTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SEEN)}
 
 
+def single_breaks(lines: list[str]) -> bool:
+    """Whether every line break stands alone between visible characters."""
+    return not any(
+        not a or not b or a[-1].isspace() or b[0].isspace() for a, b in zip(lines[:-1], lines[1:], strict=True)
+    )
+
+
 class TokenIds:
     """Ids as little-endian unsigned 32-bit integers. ``memory`` bounds what is remembered, in characters."""
 
@@ -86,7 +92,9 @@ class TokenIds:
             if any(s in text for s in self.special):
                 done.append([self.library([text])[0]])
                 continue
-            lines = text.split("\n") if "\n" in text and LINE_BREAKS.search(text) is None else [text]
+            lines = text.split("\n")
+            if not single_breaks(lines):
+                lines = [text]
             parts: list[bytes] = []
             for at, line in enumerate(lines):
                 head, *rest = self.cuts(line)
