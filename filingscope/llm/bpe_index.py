@@ -6,8 +6,8 @@ applied at all its positions from left to right, which takes the pairs beside ea
 into the index and, if need be, the heap. When the heap is empty, what is left are the tokens. Words and the cuts of
 text between blanks are remembered, so each is worked out once per partition or less.
 
-The vocabulary file also names the normalisation and the splitting into words; both are the library's own functions,
-called for each distinct cut. No rule of the supported files reaches across a blank. Special tokens are found in the
+The vocabulary file also names the normalisation and the splitting into words. Cuts of plain Latin-1 characters are
+normalised and split by one pattern, all others by the library's own functions, once for each distinct cut. No rule of the supported files reaches across a blank. Special tokens are found in the
 raw text first.
 
 Nulls: a null text is an empty document without tokens, decoded as an empty text; a null ``doc_id`` stays null.
@@ -27,8 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, texts
+from .common import documents, slices, texts
 from .packing import vocabulary_path
+from .public_ids import BYTE_CHARACTERS
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -36,122 +37,192 @@ BLOCK = 20_000  # words that are indexed at once: bounds the index, not the resu
 MEMORY = 6_000_000  # characters that are remembered
 
 
+class Rules:
+    """Merge rules: the rank and the new symbol of a pair of symbols."""
+
+    def __init__(self, ranks: dict[tuple[int, int], tuple[int, int]]):
+        """``ranks``: rank and new symbol of each pair."""
+        self.base = 1 + max((max(*pair, new) for pair, (_, new) in ranks.items()), default=0)
+        self.ranks = {left * self.base + right: rank for (left, right), (rank, _) in ranks.items()}
+        self.merges = {rank: (*pair, new) for pair, (rank, new) in ranks.items()}
+        self.pairs = np.array(sorted(self.ranks), np.int64)
+        self.pair_ranks = np.array([self.ranks[pair] for pair in self.pairs.tolist()], np.int64)
+
+    def index(self, symbols: np.ndarray, ends: np.ndarray) -> dict[int, list[int]]:
+        """All positions, ascending, of every pair within a word that a rule knows, by the rule's rank."""
+        if not len(self.pairs) or not len(symbols):
+            return {}
+        wide = symbols.astype(np.int64)
+        pairs = np.where(np.maximum(wide[:-1], wide[1:]) < self.base, wide[:-1] * self.base + wide[1:], -1)
+        found = np.minimum(np.searchsorted(self.pairs, pairs), len(self.pairs) - 1)
+        there = self.pairs[found] == pairs
+        there[ends[:-1]] = False
+        at = np.nonzero(there)[0]
+        ranks = self.pair_ranks[found[at]]
+        order = np.argsort(ranks, kind="stable")
+        ranks, at = ranks[order], at[order]
+        starts = np.nonzero(np.diff(ranks, prepend=-1))[0]
+        return {int(ranks[s]): part.tolist() for s, part in zip(starts, np.split(at, starts[1:]), strict=True)}
+
+
 def merge_words(words: list[list[int]], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[list[int]]:
-    """Applies the merge rules (pair of symbols: rank and new symbol) to each word."""
-    symbols: list[int] = []
-    after: list[int] = []
-    before: list[int] = []
-    starts = []
-    for word in words:
-        base = len(symbols)
-        starts.append(base)
-        symbols += word
-        after += [*range(base + 1, base + len(word)), -1]
-        before += [-1, *range(base, base + len(word) - 1)]
-    where: dict[tuple[int, int], list[int]] = {}
-    for at, following in enumerate(after):
-        if following >= 0:
-            pair = (symbols[at], symbols[following])
-            if pair in ranks:
-                where.setdefault(pair, []).append(at)
-    heap = [(ranks[pair][0], pair) for pair in where]
+    """Applies the merge rules (pair of symbols: rank and new symbol) to each word (of one symbol or more)."""
+    laid, lengths = np.array([s for w in words for s in w], np.int64), np.array([len(w) for w in words], np.int64)
+    tokens, ends = merge_laid(laid, lengths, Rules(ranks))
+    return [part.tolist() for part in np.split(tokens, ends)[:-1]]
+
+
+def merge_laid(laid: np.ndarray, lengths: np.ndarray, rules: Rules) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of words laid out one after the other, and behind which token each word ends."""
+    if not len(laid):
+        return laid, lengths
+    ends = np.cumsum(lengths) - 1
+    following = np.arange(1, len(laid) + 1)
+    following[ends] = -1
+    preceding = np.arange(-1, len(laid) - 1)
+    preceding[ends - lengths + 1] = -1
+    symbols, after, before = laid.tolist(), following.tolist(), preceding.tolist()
+    where = rules.index(laid, ends)
+    known, base = rules.ranks.get, rules.base
+    heap = list(where)
     heapq.heapify(heap)
     while heap:
-        _, pair = heapq.heappop(heap)
-        positions, merged = sorted(where.pop(pair)), ranks[pair][1]
-        left, right = pair
-        for at in positions:
-            following = after[at]
-            if following < 0 or symbols[at] != left or symbols[following] != right:
+        rank = heapq.heappop(heap)
+        left, right, merged = rules.merges[rank]
+        for at in sorted(where.pop(rank)):
+            beside = after[at]
+            if beside < 0 or symbols[at] != left or symbols[beside] != right:
                 continue  # an earlier merge took one of the two
-            symbols[at], symbols[following] = merged, -1
-            after[at] = beyond = after[following]
+            symbols[at], symbols[beside] = merged, -1
+            after[at] = beyond = after[beside]
             if beyond >= 0:
                 before[beyond] = at
-                _note(where, heap, ranks, (merged, symbols[beyond]), at)
-            if before[at] >= 0:
-                _note(where, heap, ranks, (symbols[before[at]], merged), before[at])
-    result = []
-    for start in starts:
-        tokens, at = [], start
-        while at >= 0:
-            tokens.append(symbols[at])
-            at = after[at]
-        result.append(tokens)
-    return result
-
-
-def _note(where: dict, heap: list, ranks: dict, pair: tuple[int, int], at: int) -> None:
-    rule = ranks.get(pair)
-    if rule is not None:
-        if pair not in where:
-            where[pair] = []
-            heapq.heappush(heap, (rule[0], pair))
-        where[pair].append(at)
+                new = known(merged * base + symbols[beyond])
+                if new is not None:
+                    if new in where:
+                        where[new].append(at)
+                    else:
+                        where[new] = [at]
+                        heapq.heappush(heap, new)
+            ahead = before[at]
+            if ahead >= 0:
+                new = known(symbols[ahead] * base + merged)
+                if new is not None:
+                    if new in where:
+                        where[new].append(ahead)
+                    else:
+                        where[new] = [ahead]
+                        heapq.heappush(heap, new)
+    left_over = np.array(symbols)
+    stays = left_over >= 0
+    return left_over[stays], np.cumsum(stays)[ends]
+
+
+#: Without marks to combine, blanks or control characters: here the vocabulary's normaliser only writes small letters
+#: and its splitter is the pattern below (letters of Latin-1, single digits, other characters).
+PLAIN = re.compile(r"[!-~\xa1-\xff]*")
+WORDS = re.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]"
+    r"|[^a-z0-9\xaa\xb2\xb3\xb5\xb9\xba\xbc-\xbe\xdf-\xf6\xf8-\xff]+"
+)
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 class IndexedBpe:
-    """Encoder and decoder of one vocabulary file."""
+    """Encoder and decoder of one vocabulary file. ``memory`` bounds what is remembered, in characters."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memory: int = MEMORY):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
+            whole = json.load(file)
+        model = whole["model"]
         tokenizer = Tokenizer.from_file(path)
         self.normalizer, self.splitter = tokenizer.normalizer, tokenizer.pre_tokenizer
+        steps, cutters = whole["normalizer"].get("normalizers", []), whole["pre_tokenizer"].get("pretokenizers", [])
+        patterns = [c["pattern"].get("Regex") for c in cutters if c["type"] == "Split"]
+        self.plain = [n["type"] for n in steps] == NORMALIZERS and patterns == [SPLIT]
         self.vocabulary: dict[str, int] = model["vocab"]
         self.ending = model["end_of_word_suffix"] or ""
-        self.ranks = {}
+        number = self.vocabulary.__getitem__
+        ranks: dict[tuple[int, int], tuple[int, int]] = {}
         for rank, (a, b) in enumerate(model["merges"]):
-            rule = (rank, self.vocabulary[a + b])
-            self.ranks.setdefault((self.vocabulary[a], self.vocabulary[b]), rule)
-        self.names = {i: t for t, i in self.vocabulary.items()}
+            ranks.setdefault((number(a), number(b)), (rank, number(a + b)))
+        self.rules = Rules(ranks)
+        letters = range(256 + len(BYTE_CHARACTERS))  # every byte is a character below, and a symbol
+        self.inner = np.array([self.vocabulary.get(chr(c), -1) for c in letters], np.int64)
+        self.last = np.array([self.vocabulary.get(chr(c) + self.ending, -1) for c in letters], np.int64)
         self.special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
-        self.names |= {i: t for t, i in self.special.items()}
+        self.shown = {i: t + " " for t, i in self.vocabulary.items()}
         self.at_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.words: dict[str, list[int]] = {}
-        self.cuts: dict[str, tuple[bytes, str]] = {}
-        self.size = 0
-
-    def _words(self, cut: str) -> list[str]:
-        return [w for w, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(cut))]
-
-    def learn(self, cuts: Iterable[str]) -> None:
-        """Works out all cuts that are not known yet, in blocks of words."""
-        if self.size > MEMORY:
-            self.words, self.cuts, self.size = {}, {}, 0
-        split = {cut: self._words(cut) for cut in cuts if cut not in self.cuts}
+        self.memory, self.size = memory, 0
+        self.ids: dict[str, bytes] = {"": b""}  # of words and cuts, which are the same if a cut is one word
+        self.decoded: dict[str, str] = {"": ""}  # with a blank behind each token
+        self.words: dict[str, tuple[bytes, str]] = {}
+
+    def _split(self, cuts: list[str]) -> dict[str, list[str]]:
+        """The words of each cut, in the characters that stand for bytes in the vocabulary."""
+        plain = [c for c in cuts if self.plain and PLAIN.fullmatch(c)]
+        lowered = "\n".join(plain).lower().split("\n") if plain else []
+        found = {
+            cut: [w if w.isascii() else w.encode().decode("latin-1").translate(BYTE_CHARACTERS) for w in WORDS.findall(low)]
+            for cut, low in zip(plain, lowered, strict=True)
+        }
+        for cut in cuts:
+            if cut not in found:
+                found[cut] = [w for w, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(cut))]
+        return found
+
+    def learn(self, cuts: list[str]) -> None:
+        """Works out cuts that are not known yet, in blocks of words."""
+        split = self._split(cuts)
         new = list({w for words in split.values() for w in words if w not in self.words})
         for at in range(0, len(new), BLOCK):
             block = new[at : at + BLOCK]
-            symbols = [[self.vocabulary[c] for c in w[:-1]] + [self.vocabulary[w[-1] + self.ending]] for w in block]
-            self.words.update(zip(block, merge_words(symbols, self.ranks), strict=True))
+            lengths = np.array([len(w) for w in block], np.int64)
+            characters = np.frombuffer("".join(block).encode("utf-32-le"), "<u4")
+            symbols = self.inner[characters]
+            symbols[np.cumsum(lengths) - 1] = self.last[characters[np.cumsum(lengths) - 1]]
+            tokens, ends = merge_laid(symbols, lengths, self.rules)
+            ids, names = tokens.astype("<u4").tobytes(), [self.shown[i] for i in tokens.tolist()]
+            start = 0
+            for word, end in zip(block, ends.tolist(), strict=True):
+                self.words[word] = (ids[4 * start : 4 * end], "".join(names[start:end]))
+                start = end
         for cut, words in split.items():
-            ids = [i for w in words for i in self.words[w]]
-            self.cuts[cut] = (np.array(ids, "<u4").tobytes(), " ".join(self.names[i] for i in ids))
+            known = [self.words[w] for w in words]
+            self.ids[cut], self.decoded[cut] = (
+                known[0] if len(known) == 1 else (b"".join([i for i, _ in known]), "".join([d for _, d in known]))
+            )
             self.size += len(cut)
 
-    def segments(self, text: str) -> list[str]:
-        """Special tokens and the texts between them."""
+    def forget(self) -> None:
+        """The older half of what is known goes (a dictionary keeps the order in which it was filled)."""
+        for known, kept in ((self.ids, {"": b""}), (self.decoded, {"": ""}), (self.words, {})):
+            later = list(known)[len(known) // 2 :]
+            kept |= {k: known[k] for k in later}
+            known.clear()
+            known |= kept
+        self.size = sum(map(len, self.ids))
+
+    def cuts(self, text: str) -> list[str]:
+        """Special tokens and what stands between blanks and line breaks. No word holds either of the two."""
         if self.at_special is None or not any(s in text for s in self.special):
-            return [text]
-        return [s for s in self.at_special.split(text) if s]
+            return text.replace("\n", " ").split(" ")
+        parts = self.at_special.split(text)
+        return [c for s in parts for c in ([s] if s in self.special else s.replace("\n", " ").split(" "))]
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, str]]:
         """Ids (little-endian unsigned 32-bit) and decoded text of each."""
-        parts = [
-            [x for s in self.segments(t) for x in ([(True, s)] if s in self.special else [(False, c) for c in s.split(" ") if c])]
-            for t in texts
-        ]
-        self.learn({c for p in parts for special, c in p if not special})
-        result = []
-        for p in parts:
-            known = [
-                (np.array([self.special[c]], "<u4").tobytes(), c) if special else self.cuts[c] for special, c in p
-            ]
-            result.append((b"".join(k for k, _ in known), " ".join(d for _, d in known if d)))
-        return result
+        if self.size > self.memory:
+            self.forget()
+        for token, i in self.special.items():
+            self.ids[token], self.decoded[token] = np.array([i], "<u4").tobytes(), token + " "
+        cuts = [self.cuts(t) for t in texts]
+        self.learn([c for c in set().union(*cuts) if c not in self.ids])
+        ids, decoded = self.ids.__getitem__, self.decoded.__getitem__
+        return [(b"".join(map(ids, c)), "".join(map(decoded, c))[:-1]) for c in cuts]
 
 
 _OPEN: dict[str, IndexedBpe] = {}
@@ -169,8 +240,7 @@ def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(vocabulary)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                some = batch.slice(at, 1000)
+            for some in slices(batch, "text"):
                 found = coder.encode(some.column(1).to_pylist())
                 columns = [some.column(0), pa.array([i for i, _ in found], pa.binary()), pa.array([d for _, d in found], pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"])
