@@ -37,14 +37,27 @@ CHUNK = 1_500_000  # characters that are parsed at once, many texts together
 U1 = np.uint64(1)
 
 
+def _place(differ: np.ndarray) -> np.ndarray:
+    """The place of the lowest bit that is set."""
+    return ((differ & (~differ + U1)).astype(np.float64).view(np.int64) >> 52) - 1023
+
+
+#: Labels that were tossed once are below 128: the place of their lowest differing bit is looked up.
+PLACES = np.append(0, _place(np.arange(1, 256).astype(np.uint64))).astype(np.uint8)
+
+
 def _toss(labels: np.ndarray, first: np.ndarray) -> np.ndarray:
-    left = np.empty_like(labels)
-    left[1:] = labels[:-1]
-    left[first] = labels[first] ^ U1  # no left neighbour: as if the lowest bit differed
-    differ = labels ^ left
-    lowest = differ & (~differ + U1)
-    place = ((lowest.astype(np.float64).view(np.int64) >> 52) - 1023).astype(np.uint64)
-    return place * np.uint64(2) + ((labels >> place) & U1)
+    """Twice the place of the lowest bit that differs from the left neighbour, plus that bit."""
+    one = labels.dtype.type(1)
+    differ = np.empty_like(labels)
+    np.bitwise_xor(labels[1:], labels[:-1], out=differ[1:])
+    differ[first] = one  # no left neighbour: as if the lowest bit differed
+    place = PLACES[differ] if labels.dtype == np.uint8 else _place(differ).astype(labels.dtype)
+    tossed = labels >> place
+    tossed &= one
+    place <<= one
+    place |= tossed
+    return place.astype(np.uint8, copy=False)
 
 
 def _level(names: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -84,13 +97,23 @@ def parse(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield points, owner
 
 
+def _by_owner(names: np.ndarray, owner: np.ndarray, owners: int) -> np.ndarray:
+    """The order by owner, then name: by one key of the owner and the names' first bits if those tell names apart."""
+    bits = np.uint64(max(owners - 1, 1).bit_length())
+    order = np.argsort((owner.astype(np.uint64) << (np.uint64(64) - bits)) | (names >> bits))
+    sorted_names, sorted_owner = names[order], owner[order]
+    if np.any((sorted_names[1:] < sorted_names[:-1]) & (sorted_owner[1:] == sorted_owner[:-1])):
+        return np.lexsort((names, owner))
+    return order
+
+
 def sketches(texts: list[str], size: int = SKETCH) -> list[np.ndarray]:
     """The smallest distinct phrase hashes of each text, ascending."""
     levels = list(parse(texts))[FIRST_LEVEL - 1 :]
     if not levels:
         return [np.empty(0, np.uint64) for _ in texts]
     names, owner = np.concatenate([n for n, _ in levels]), np.concatenate([o for _, o in levels])
-    order = np.lexsort((names, owner))
+    order = _by_owner(names, owner, len(texts))
     names, owner = names[order], owner[order]
     new = np.append(True, (names[1:] != names[:-1]) | (owner[1:] != owner[:-1]))
     names, owner = names[new], owner[new]

@@ -1,5 +1,6 @@
 """Licences, fingerprints, languages, line runs, overlaps and scores against plain versions."""
 
+import itertools
 import math
 import os
 import random
@@ -64,6 +65,53 @@ def test_wrapped_licence_texts(docs):
 # --- fingerprints --------------------------------------------------------------------------------------
 
 
+def plain_sketch(text, size):
+    """Locally consistent parsing of one text, a symbol at a time."""
+    full = 2**64 - 1
+
+    def mix(x):
+        for _ in range(2):
+            x = (x ^ (x >> 32)) * 0xD6E8FEB86659FD93 & full
+        return x ^ (x >> 32)
+
+    def toss(labels):
+        found = []
+        for i, label in enumerate(labels):
+            differ = label ^ labels[i - 1] if i else 1
+            place = (differ & -differ).bit_length() - 1
+            found.append(2 * place + (label >> place & 1))
+        return found
+
+    names, kept = [ord(c) for c in text], set()
+    for level in range(1, phrases.LEVELS + 1):
+        runs = [(name, len(list(same))) for name, same in itertools.groupby(names)]
+        labels = [name for name, _ in runs]
+        for _ in range(phrases.TOSSES):
+            labels = toss(labels)
+        cuts = [i for i in range(len(runs)) if not i or (i < len(runs) - 1 and labels[i - 1] < labels[i] > labels[i + 1])]
+        names = []
+        for a, b in zip(cuts, [*cuts[1:], len(runs)]):
+            spelled = [mix(mix(n + r * int(phrases.MIX) & full) ^ ((i + 1) * int(phrases.MIX) & full)) for i, (n, r) in enumerate(runs[a:b])]
+            names.append(mix(sum(spelled) & full))
+        if level >= phrases.FIRST_LEVEL:
+            kept.update(names)
+    return sorted(kept)[:size]
+
+
+def test_phrases_are_those_of_a_plain_parser():
+    rng = random.Random(4)
+    some = ["", "a", "aaaa", "ab" * 90, "中文 é" * 60] + ["".join(rng.choice("abc d\n") for _ in range(rng.randrange(900))) for _ in range(60)]
+    for size in (phrases.SKETCH, 10**6):
+        assert [s.tolist() for s in phrases.sketches(some, size)] == [plain_sketch(t, size) for t in some]
+
+
+def test_names_alike_in_their_first_bits_are_ordered_too():
+    names = np.array([9, 8, 2**63 + 1, 2**63, 7, 7], np.uint64)
+    owner = np.array([0, 0, 0, 1, 1, 1])
+    order = phrases._by_owner(names, owner, 2)
+    assert names[order].tolist() == [8, 9, 2**63 + 1, 7, 7, 2**63] and owner[order].tolist() == [0, 0, 0, 1, 1, 1]
+
+
 def test_phrases_do_not_depend_on_the_offset():
     rng = random.Random(3)
     middle = "".join(rng.choice("abcdefgh ") for _ in range(4000))
