@@ -51,7 +51,7 @@ class TokenIds:
         self.known: dict[str, bytes] = {}
         self.heads: dict[str, bytes] = {}  # what stands before a text's first cut has no blank in front
         self.marks: dict[str, bytes] = {}
-        self.spelled_break = self.spelling("\n")
+        self.spelled_blank, self.spelled_break = self.spelling(" "), self.spelling("\n")
         self.line_break = self.library(["\n"])[0]
         self.size = 0
 
@@ -87,7 +87,7 @@ class TokenIds:
         if self.size > self.memory:
             self.known, self.heads, self.size = {}, {}, 0
         done: list[list[bytes]] = []
-        later: list[tuple[list[bytes], int, str, list[str]]] = []
+        later: list[tuple[list[bytes], str, list[str]]] = []
         for text in texts:
             if any(s in text for s in self.special):
                 done.append([self.library([text])[0]])
@@ -95,28 +95,26 @@ class TokenIds:
             lines = text.split("\n")
             if not single_breaks(lines):
                 lines = [text]
-            parts: list[bytes] = []
-            for at, line in enumerate(lines):
+            done.append([])
+            for line in lines:
                 head, *rest = self.cuts(line)
-                try:
-                    parts.append(self.heads[head] + b"".join(map(self.known.__getitem__, rest)))
-                except KeyError:
-                    parts.append(b"")
-                    later.append((parts, at, head, rest))
-            done.append(parts)
-        if later:
-            self._learn(self.heads, "", {head for _, _, head, _ in later}.difference(self.heads))
-            self._learn(self.known, " ", set().union(*(set(r).difference(self.known) for _, _, _, r in later)))
-            for parts, at, head, rest in later:
-                parts[at] = self.heads[head] + b"".join(map(self.known.__getitem__, rest))
+                later.append((done[-1], head, rest))
+        known, heads = self.known, self.heads
+        self._learn(heads, "", {head for _, head, _ in later if head not in heads})
+        self._learn(known, " ", {c for c in set().union(*[rest for _, _, rest in later]) if c not in known})
+        for parts, head, rest in later:
+            parts.append(heads[head] + b"".join(map(known.__getitem__, rest)))
         return [self.line_break.join(parts) for parts in done]
 
     def _learn(self, known: dict[str, bytes], blank: str, new: set[str]) -> None:
         parts = {p: m.groups() for p in new if p[-1:] in MARKS and (m := MARKED.fullmatch(p))}
         whole = {*(new - parts.keys()), *(word for word, _ in parts.values() if word not in known)}
         words = [p for p in whole if p.isalpha()]  # the pattern leaves these whole: only the merges are left to do
-        spelled = self.spelling("\n".join(blank + p for p in words)).split(self.spelled_break) if words else []
-        known.update(zip(words, map(self.merged, spelled), strict=True))
+        ascii_words, wide = [p for p in words if p.isascii()], [p for p in words if not p.isascii()]
+        spelled = self.spelling("\n".join(wide)).split(self.spelled_break) if wide else []
+        front = self.spelled_blank if blank else ""
+        for some, written in ((ascii_words, ascii_words), (wide, spelled)):
+            known.update(zip(some, [self.merged(front + w) for w in written], strict=True))
         others = list(whole.difference(words))
         known.update(zip(others, self.library([blank + p for p in others]), strict=True))
         for piece, (word, marks) in parts.items():
