@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, slices, texts
+from .common import documents, slices, texts, uncollected
 from .packing import vocabulary_path
 from .public_ids import BYTE_CHARACTERS
 
@@ -213,6 +213,7 @@ class IndexedBpe:
         parts = self.at_special.split(text)
         return [c for s in parts for c in ([s] if s in self.special else s.replace("\n", " ").split(" "))]
 
+    @uncollected()
     def encode(self, texts: list[str]) -> list[tuple[bytes, str]]:
         """Ids (little-endian unsigned 32-bit) and decoded text of each."""
         if self.size > self.memory:

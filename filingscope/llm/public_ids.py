@@ -16,6 +16,8 @@ from array import array
 
 import numpy as np
 
+from .common import uncollected
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has the cores
 
 UNSIGNED = "I"
@@ -82,6 +84,7 @@ class TokenIds:
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
 
+    @uncollected()
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The ids of each text. What is new in any of them goes through the library together."""
         if self.size > self.memory:
