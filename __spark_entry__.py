@@ -94,11 +94,15 @@ def single_documents(spark: SparkSession, sf: str) -> DataFrame:
     return single_scores(spark, sf).withColumn("factors_json", fac.factors_json())
 
 
+def weighted_drill_down(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores with their factors document, calculated on the newest filing date."""
+    history = model_input(spark, sf)
+    found = comp.weighted_scores(history, calculated=hist.latest_date(history).cast("timestamp"))
+    return conform(found.withColumn("risk_factors", F.to_json("risk_factors")), WEIGHTED_SCORE)
+
+
 def weighted(spark: SparkSession, sf: str) -> DataFrame:
-    return conform(
-        comp.weighted_scores(model_input(spark, sf)).withColumn("risk_factors", F.to_json("risk_factors")),
-        WEIGHTED_SCORE,
-    )
+    return weighted_drill_down(spark, sf).drop(*firms.DRILL_DOWN)
 
 
 def form(spark: SparkSession, sf: str, **options: bool) -> DataFrame:
@@ -227,6 +231,41 @@ def _firm_detail_one(spark: SparkSession, sf: str) -> DataFrame:
     return firms.firm_details(history, weighted(spark, sf), crd=history.agg(F.min("crd")).first()[0])
 
 
+FACTOR_SCALES = ("disclosure_rate", "years_active", "aum_volatility", "aum_trend", "client_account_ratio", "filing_frequency",
+                 "compliance_ratio", "avg_tenure_years", "aum", "size_deviation")
+
+
+def _weighted_factors(spark: SparkSession, sf: str) -> DataFrame:
+    """The factors document of each firm, read back and laid out as columns."""
+    kinds = comp.weighted_scores(model_input(spark, sf)).schema["risk_factors"].dataType
+    read = weighted_drill_down(spark, sf).select("crd", F.from_json("risk_factors", kinds).alias("factors"))
+    return rounded(read.select("crd", "factors.*"), *FACTOR_SCALES)
+
+
+def _factors_shown(df: DataFrame) -> DataFrame:
+    """The document's fields that stand for it, as an answer's own columns."""
+    read = F.from_json("risk_factors", "disclosure_count bigint, cco_changes bigint, filing_count bigint")
+    return df.withColumn("factors", read).select(
+        *[c for c in df.columns if c not in firms.DRILL_DOWN],
+        F.date_format("last_calculation_date", "yyyy-MM-dd HH:mm:ss").alias("last_calculation_date"),
+        "factors.*",
+    )
+
+
+def _firm_detail_factors(spark: SparkSession, sf: str) -> DataFrame:
+    return _factors_shown(firms.firm_details(model_input(spark, sf), weighted_drill_down(spark, sf)))
+
+
+def _firm_page_factors(spark: SparkSession, sf: str) -> DataFrame:
+    found = firms.search_firms(model_input(spark, sf), weighted_drill_down(spark, sf))
+    return _factors_shown(firms.firm_page(found, sort_by="overall_risk_score", descending=True))
+
+
+def _column_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    rows = filings(spark, sf)
+    return reports.column_ranges(rows, rows.columns).withColumn("sample_values", F.concat_ws(" | ", "sample_values"))
+
+
 def _load_report_files(spark: SparkSession, sf: str) -> DataFrame:
     """One line for every member of archives of which some are damaged, encrypted, empty or without rows."""
     packed = derive.archives(form(spark, sf), damaged=True)
@@ -446,6 +485,7 @@ def queries() -> dict[str, Query]:
         "filings_by_year": lambda s, d: reports.filings_by_year(filings(s, d, KEY)),
         "multi_filing_firms": lambda s, d: reports.multi_filing_firms(filings(s, d, (*KEY, "raum"))),
         "column_profile": lambda s, d: reports.column_profile(filings(s, d), filings(s, d).columns),
+        "column_ranges": _column_ranges,
         # firm lists
         "firms_by_category": lambda s, d: firms.firms_by_category(
             scores(s, d), filings(s, d, (*KEY, "firm_name"))
@@ -531,11 +571,17 @@ def queries() -> dict[str, Query]:
         "size_component": _component("size_factor_risk", lambda _: comp.size_factor_risk(), "aum"),
         "ratio_scale": lambda s, d: rounded(comp.ratio_scale(model_input(s, d)), "scale"),
         "period_changes": lambda s, d: rounded(comp.period_changes(model_input(s, d)), "aum_change"),
-        "weighted_score": lambda s, d: weighted(s, d).drop("risk_factors"),
+        "weighted_score": weighted,
+        "weighted_factors": _weighted_factors,
+        "firm_detail_factors": _firm_detail_factors,
+        "firm_page_factors": _firm_page_factors,
         "weighted_summary": _weighted_summary,
         "category_distribution_filled": lambda s, d: reports.category_distribution(weighted(s, d)),
         "risk_trends": lambda s, d: reports.risk_trends(model_input(s, d), weighted(s, d), days=365),
         "overview_stats": lambda s, d: reports.overview_stats(model_input(s, d), scores(s, d), weighted(s, d)),
+        "overview_stats_as_of": lambda s, d: reports.overview_stats(
+            model_input(s, d), scores(s, d), weighted(s, d), days=90, as_of=F.lit("1998-06-30").cast("date")
+        ),
         # ingest
         "file_name_dates": _file_name_dates,
         "money_format": _money,

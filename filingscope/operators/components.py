@@ -107,13 +107,21 @@ def _per_year(count: str) -> Column:
 
 
 def model_factors() -> Column:
-    """The measures behind a firm's score, for drill-down."""
+    """The measures behind a firm's score, for drill-down.
+
+    A firm with fewer than two filings that have assets has no volatility and no trend, one with fewer than two that
+    name an officer no changes and no tenure: these are 0 here, as the components count them. The measures themselves
+    stay as counted. Two filings with assets of which the first has zero give no change: volatility and trend are NULL.
+    """
+    moves = F.col("aum_data_points") >= 2
+    officers = F.col("officer_filings") >= 2
+    tenure = F.col("officer_years") / F.greatest(F.col("cco_changes"), F.lit(1))
     return F.struct(
         "disclosure_count",
         _per_year("disclosure_count").alias("disclosure_rate"),
         "years_active",
-        "aum_volatility",
-        "aum_trend",
+        F.when(moves, F.col("aum_volatility")).otherwise(0.0).alias("aum_volatility"),
+        F.when(moves, F.col("aum_trend")).otherwise(0.0).alias("aum_trend"),
         "aum_data_points",
         "client_account_ratio",
         "total_clients",
@@ -121,15 +129,18 @@ def model_factors() -> Column:
         _per_year("filing_count").alias("filing_frequency"),
         (_per_year("filing_count") / float(rules.EXPECTED_FILINGS_PER_YEAR)).alias("compliance_ratio"),
         "filing_count",
-        "cco_changes",
-        (F.col("officer_years") / F.greatest(F.col("cco_changes"), F.lit(1))).alias("avg_tenure_years"),
+        F.when(officers, F.col("cco_changes")).otherwise(0).alias("cco_changes"),
+        F.when(officers, tenure).otherwise(0.0).alias("avg_tenure_years"),
         "aum",
         size_deviation().alias("size_deviation"),
     )
 
 
-def weighted_scores(history: DataFrame, measures: DataFrame | None = None) -> DataFrame:
-    """Components, weighted total, category and factors per firm."""
+def weighted_scores(
+    history: DataFrame, measures: DataFrame | None = None, calculated: Column | None = None
+) -> DataFrame:
+    """Components, weighted total, category and factors per firm, and when they were ``calculated`` (default: now)."""
+    calculated = F.current_timestamp() if calculated is None else calculated
     measures = firm_measures(history) if measures is None else measures
     components = measures.select(
         "crd",
@@ -140,6 +151,7 @@ def weighted_scores(history: DataFrame, measures: DataFrame | None = None) -> Da
         cco_stability_risk().alias("cco_stability_risk"),
         size_factor_risk().alias("size_factor_risk"),
         model_factors().alias("risk_factors"),
+        calculated.alias("last_calculation_date"),
     )
     weighted = [F.coalesce(name, F.lit(0.0)) * weight for name, weight in rules.COMPONENT_WEIGHTS.items()]
     return components.withColumn("overall_risk_score", clip(reduce(add, weighted))).withColumn(

@@ -15,6 +15,7 @@ from filingscope.schemas import KEY
 
 SORTABLE = ("crd", "aum", "overall_risk_score", "risk_category")
 MODEL_COLUMNS = ("overall_risk_score", "risk_category", *rules.COMPONENT_WEIGHTS)
+DRILL_DOWN = ("last_calculation_date", "risk_factors")  # shown where the scores have them
 
 
 def all_of(conditions: list[Column]) -> Column:
@@ -102,14 +103,15 @@ def firm_details(filings: DataFrame, weighted: DataFrame, crd: int | None = None
 
 
 def _with_model(latest: DataFrame, weighted: DataFrame, *extra: str) -> DataFrame:
-    return latest.join(weighted.select("crd", *MODEL_COLUMNS), "crd", "left").select(
+    shown = [*MODEL_COLUMNS, *[c for c in DRILL_DOWN if c in weighted.columns]]
+    return latest.join(weighted.select("crd", *shown), "crd", "left").select(
         "crd",
         F.col("raum").alias("aum"),
         "total_clients",
         "total_accounts",
         F.col("filing_date").alias("last_filing_date"),
         *extra,
-        *MODEL_COLUMNS,
+        *shown,
     )
 
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from filingscope import rules
 from filingscope.functions.metrics import percent, ratio, severity
@@ -173,10 +174,13 @@ def risk_trends(filings: DataFrame, scores: DataFrame, days: int = 30, as_of: Co
     )
 
 
-def overview_stats(filings: DataFrame, change_scores: DataFrame, weighted: DataFrame, days: int = 30) -> DataFrame:
+def overview_stats(
+    filings: DataFrame, change_scores: DataFrame, weighted: DataFrame, days: int = 30, as_of: Column | None = None
+) -> DataFrame:
     """Headline figures as (metric, value): firms, assets on the newest date, recent activity and disclosures,
-    severe alerts, and the category distribution on the newest date."""
-    recent = F.col("filing_date") >= F.date_sub(latest_date(filings), days)
+    severe alerts, and the category distribution on the newest date. Recent are the ``days`` before ``as_of``
+    (default: the newest date in the data)."""
+    recent = F.col("filing_date") >= F.date_sub(latest_date(filings) if as_of is None else as_of, days)
     newest = filings.groupBy("filing_date").agg(F.sum("raum").alias("raum"))
     per_firm = filings.groupBy("crd").agg(
         F.bool_or(recent).alias("recent"), F.bool_or(recent & (F.col("disclosure_flag") == "Y")).alias("disclosed")
@@ -396,6 +400,40 @@ def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def column_ranges(df: DataFrame, columns: Sequence[str], samples: int = 10) -> DataFrame:
+    """Smallest and largest value of each column in the order of its type, shown as text, and its ``samples``
+    smallest distinct values. Numbers are ordered as numbers, dates as dates, other values as text.
+
+    The ranges are one row of partial aggregates. Values are made distinct by one exchange on the value, as for a
+    distinct count; each task then cuts its own to ``samples`` per column before they meet.
+    """
+    edges = df.agg(
+        *[f(c).cast("string").alias(f"{n}_{i}") for i, c in enumerate(columns) for n, f in (("min", F.min), ("max", F.max))]
+    )
+    shown = F.array(
+        *[
+            F.struct(F.lit(c).alias("column_name"), F.col(f"min_{i}").alias("min_value"), F.col(f"max_{i}").alias("max_value"))
+            for i, c in enumerate(columns)
+        ]
+    )
+    numbers = {c: isinstance(df.schema[c].dataType, T.NumericType) for c in columns}
+    exact = "decimal(38,10)"  # doubles beyond it are ordered by their text
+
+    def number(c: str) -> Column:
+        return F.expr(f"try_cast(`{c}` AS {exact})") if numbers[c] else F.lit(None).cast(exact)
+
+    values = F.array(
+        *[F.struct(F.lit(c).alias("column_name"), number(c).alias("number"), F.col(c).cast("string").alias("value")) for c in columns]
+    )
+    distinct = df.select(F.explode(values).alias("v")).select("v.*").where("value IS NOT NULL").distinct()
+    first = Window.partitionBy("column_name").orderBy(F.asc_nulls_last("number"), "value")
+    kept = distinct.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= samples)
+    listed = kept.groupBy("column_name").agg(F.array_sort(F.collect_list(F.struct("nth", "value"))).alias("kept"))
+    listed = listed.select("column_name", F.transform("kept", lambda x: x["value"]).alias("sample_values"))
+    ranges = edges.select(F.explode(shown).alias("r")).select("r.*")
+    return ranges.join(listed, "column_name", "left")
+
+
 # --- top lists ---------------------------------------------------------------------------------------
 
 

@@ -87,6 +87,7 @@ WEIGHTED_SCORE = T.StructType(
         T.StructField("cco_stability_risk", COMPONENT),
         T.StructField("size_factor_risk", COMPONENT),
         T.StructField("risk_factors", T.StringType()),
+        T.StructField("last_calculation_date", T.TimestampType()),
     ]
 )
 

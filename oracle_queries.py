@@ -218,6 +218,23 @@ weighted AS (
 WEIGHTED_COLUMNS = """overall_risk_score, risk_category, disclosure_risk, aum_volatility_risk,
   client_concentration_risk, filing_compliance_risk, cco_stability_risk, size_factor_risk"""
 
+WEIGHTED_OF_W = ", ".join(f"w.{c.strip()}" for c in WEIGHTED_COLUMNS.split(","))
+OFFICER_CHANGES = "CASE WHEN officer_filings >= 2 THEN cco_changes ELSE 0 END"
+FACTOR_VALUES = {
+    "disclosure_rate": "disclosure_count / greatest(years_active, 0.1)",
+    "years_active": "years_active",
+    "aum_volatility": "CASE WHEN aum_data_points >= 2 THEN aum_volatility ELSE 0 END",
+    "aum_trend": "CASE WHEN aum_data_points >= 2 THEN aum_trend ELSE 0 END",
+    "client_account_ratio": "client_account_ratio",
+    "filing_frequency": "filing_count / greatest(years_active, 0.1)",
+    "compliance_ratio": "filing_count / greatest(years_active, 0.1) / 4",
+    "avg_tenure_years": "CASE WHEN officer_filings >= 2 THEN officer_years / greatest(cco_changes, 1) ELSE 0 END",
+    "aum": "aum",
+    "size_deviation": "abs(coalesce(aum, 0) - 5e9) / 5e9",
+}
+CALCULATED = "strftime((SELECT max(CAST(o_orderdate AS DATE)) FROM orders), '%Y-%m-%d 00:00:00') AS last_calculation_date"
+DOCUMENT = f"c.disclosure_count, {OFFICER_CHANGES} AS cco_changes, c.filing_count"
+
 
 def _component(name: str, *columns: str) -> str:
     shown = ", ".join(columns)
@@ -374,6 +391,16 @@ def _profile() -> str:
     return f"WITH {FILINGS} {parts}"
 
 
+def _ranges() -> str:
+    parts = " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value,
+        (SELECT coalesce(string_agg(CAST(v AS VARCHAR), ' | ' ORDER BY v), '') FROM
+          (SELECT DISTINCT {c} AS v FROM filings WHERE {c} IS NOT NULL ORDER BY v LIMIT 10)) AS sample_values FROM filings"""
+        for c, _ in _PROFILED
+    )
+    return f"WITH {FILINGS} {parts}"
+
+
 ORACLES: dict[str, str] = {
     "filing_changes": f"WITH {_changes()} SELECT {CHANGE_COLUMNS} FROM changes",
     "filing_changes_as_written": f"WITH {_changes('as_written')} SELECT {CHANGE_COLUMNS} FROM changes",
@@ -480,6 +507,7 @@ ORACLES: dict[str, str] = {
     "multi_filing_firms": f"""WITH {FILINGS} SELECT sec_number, count(*) AS filing_count FROM filings WHERE raum > 0
       GROUP BY sec_number HAVING count(*) > 1 ORDER BY filing_count DESC, sec_number LIMIT 10""",
     "column_profile": _profile(),
+    "column_ranges": _ranges(),
     "firms_by_category": f"""WITH {SCORES} SELECT s.sec_number, coalesce(firm_name, 'Unknown') AS firm_name, score,
         risk_category, s.day AS filing_date
       FROM scores s LEFT JOIN filings f ON f.sec_number = s.sec_number AND f.filing_date = s.filing_date
@@ -571,6 +599,15 @@ ORACLES: dict[str, str] = {
     "period_changes": f"""WITH {MODEL} SELECT crd, day AS filing_date, aum AS raum, {_round6('aum_change')} AS aum_change
       FROM stepped2 WHERE raum IS NOT NULL""",
     "weighted_score": f"WITH {MODEL} SELECT crd, {WEIGHTED_COLUMNS} FROM weighted",
+    "weighted_factors": f"""WITH {MODEL} SELECT crd, disclosure_count, aum_data_points, total_clients, total_accounts,
+        filing_count, {OFFICER_CHANGES} AS cco_changes, {', '.join(f'{_round6(v)} AS {k}' for k, v in FACTOR_VALUES.items())}
+      FROM components""",
+    "firm_detail_factors": f"""WITH {MODEL} SELECT f.crd, CAST(f.raum AS DOUBLE) AS aum, f.client_count AS total_clients,
+        f.account_count AS total_accounts, f.day AS last_filing_date, {WEIGHTED_OF_W}, {CALCULATED}, {DOCUMENT}
+      FROM stepped f LEFT JOIN weighted w ON w.crd = f.crd LEFT JOIN components c ON c.crd = f.crd WHERE newest = 1""",
+    "firm_page_factors": f"""SELECT page.*, {CALCULATED}, {DOCUMENT}
+      FROM ({_page('TRUE', 'overall_risk_score DESC NULLS FIRST, crd', 0)}) page
+      LEFT JOIN (WITH {MODEL} SELECT * FROM components) c ON c.crd = page.crd""",
     "weighted_summary": _summary(MODEL, "weighted", "overall_risk_score", round_range=True),
     "category_distribution_filled": f"""WITH {MODEL}, kinds(position, risk_category, description) AS (VALUES
         (0, 'Low', 'Minimal risk indicators'), (1, 'Medium', 'Some risk indicators present'),
@@ -594,6 +631,16 @@ ORACLES: dict[str, str] = {
       UNION ALL SELECT 'high_severity_alerts', count(*) FROM weighted WHERE risk_category IN ('Critical', 'High')
       UNION ALL SELECT 'risk_distribution.' || risk_category, count(*) FROM scores
         WHERE filing_date = (SELECT max(filing_date) FROM scores) GROUP BY risk_category""",
+    "overview_stats_as_of": f"""WITH {MODEL}, {SCORES[SCORES.index('numbered AS'):]}
+      SELECT 'total_firms' AS metric, CAST(count(DISTINCT crd) AS DOUBLE) AS value FROM filings
+      UNION ALL SELECT 'firms_with_recent_activity', count(DISTINCT crd) FROM filings WHERE filing_date >= DATE '1998-04-01'
+      UNION ALL SELECT 'new_disclosures', count(DISTINCT crd) FROM filings
+        WHERE filing_date >= DATE '1998-04-01' AND disciplinary_disclosures > 0
+      UNION ALL SELECT 'total_aum', coalesce(CAST(sum(raum) AS DOUBLE), 0) FROM filings
+        WHERE filing_date = (SELECT max(filing_date) FROM filings)
+      UNION ALL SELECT 'high_severity_alerts', count(*) FROM weighted WHERE risk_category IN ('Critical', 'High')
+      UNION ALL SELECT 'risk_distribution.' || risk_category, count(*) FROM scores
+        WHERE filing_date = (SELECT max(filing_date) FROM scores) GROUP BY risk_category""",
     "file_name_dates": f"""WITH {FILINGS}, dates AS (SELECT DISTINCT filing_date, CAST(make_date(
         CAST(2000 + year(filing_date) % 100 AS BIGINT), CAST(month(filing_date) AS BIGINT), CAST(day(filing_date) AS BIGINT))
         AS DATE) AS short_date FROM filings), names AS ({_NAME_FORMS})

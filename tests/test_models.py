@@ -120,3 +120,17 @@ def test_scale_of_zero_gives_no_concentration(spark):
 
     rows = comp.weighted_scores(model_rows(spark, (1, "2020-01-01", D(1), 0, 5, "A", "N")))
     assert rows.select(F.col("client_concentration_risk")).first()[0] == 0.0
+
+
+def test_factors_of_short_histories_are_zero(model):
+    rows = {r.crd: r.risk_factors for r in comp.weighted_scores(model).collect()}
+    assert (rows[2].aum_volatility, rows[2].aum_trend) == (0.0, 0.0)  # one filing with assets
+    assert (rows[2].cco_changes, rows[2].avg_tenure_years) == (0, 0.0)  # one filing with an officer
+    assert rows[1].cco_changes == 2 and rows[1].aum_trend == pytest.approx((0.1 + 99 / 110 - 1) / 2)
+    assert rows[3].aum_volatility is None  # two filings with assets, the only change is from zero
+
+
+def test_time_of_calculation(model):
+    stated = comp.weighted_scores(model, calculated=F.lit("2024-02-29").cast("timestamp"))
+    assert {str(r.last_calculation_date) for r in stated.collect()} == {"2024-02-29 00:00:00"}
+    assert comp.weighted_scores(model).schema["last_calculation_date"].dataType.simpleString() == "timestamp"

@@ -191,3 +191,15 @@ def test_functions_with_arguments(spark, history):
     assert len(scores) == 3
     found = spark.sql(f"SELECT * FROM firms_in_category(NULL, {highest})").collect()
     assert found and all(r.score == highest and r.firm_name == "Alpha" for r in found)
+
+
+def test_column_ranges_are_ordered_by_type(spark):
+    rows = [(9, "b", date(2020, 1, 2)), (10, "a", date(2019, 5, 1)), (None, "a", None), (100, None, None), (-3, "c", None)]
+    df = spark.createDataFrame(rows, "n int, t string, d date").withColumn("none", F.lit(None).cast("double"))
+    found = {r.column_name: r for r in reports.column_ranges(df, ["n", "t", "d", "none"], samples=3).collect()}
+    assert (found["n"].min_value, found["n"].max_value, found["n"].sample_values) == ("-3", "100", ["-3", "9", "10"])
+    assert (found["t"].min_value, found["t"].max_value, found["t"].sample_values) == ("a", "c", ["a", "b", "c"])
+    assert found["d"].sample_values == ["2019-05-01", "2020-01-02"]
+    assert (found["none"].min_value, found["none"].sample_values) == (None, None)
+    empty = reports.column_ranges(df.limit(0), ["n", "t"]).collect()
+    assert {(r.column_name, r.min_value, r.sample_values) for r in empty} == {("n", None, None), ("t", None, None)}
