@@ -4,11 +4,13 @@ import itertools
 import math
 import os
 import random
+import re
 import zlib
 from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from filingscope.llm import language, licenses, line_runs, overlap_join, phrases, suffix_tree
@@ -148,6 +150,74 @@ def test_language_of_held_out_documents(spark):
     assert np.mean([r["lang_pred"] == truth[r["doc_id"]] for r in rows]) >= 0.95
 
 
+STRANGE = {
+    "Finnish": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+    "Italian": "Tutti gli esseri umani nascono liberi ed eguali in dignità e diritti. Essi sono dotati di ragione e di coscienza.",
+    "Dutch": "Alle mensen worden vrij en gelijk in waardigheid en rechten geboren. Zij zijn begiftigd met verstand en geweten.",
+    "Russian": "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+    "Japanese": "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
+    "code": "<div class='a'><span id=\"x\">foo</span><script>var a = 1; function b() { return a; }</script></div>",
+    "consonants": "xkcd qwrt zxcv bnmp lkjh gfds qwrtp zxcvb nmlkj hgfds pqwrt mnbvc lkjhg fdsqw",
+}
+
+
+@pytest.fixture(scope="module")
+def languages(spark):
+    if not os.path.isdir("/root/testdata/sf0.01"):
+        pytest.skip("test tables not present")
+    table = language.documents(spark, "/root/testdata/sf0.01")
+    return table, language.train(table)
+
+
+def test_texts_of_no_known_language_go_and_known_ones_stay(languages):
+    table, model = languages
+    names, scores, rejected = model.score(pa.array(list(STRANGE.values())), {})
+    assert list(rejected) == [True] * len(STRANGE) and max(scores) < 0.5
+    rows = language.annotate(table, model).collect()
+    plain = [r for r in rows if not re.search(r"[#*$%&|<>]{3}", r["row"]["text"] or "###")]
+    assert len(plain) > 800 and sum(r["rejected"] for r in plain) == 0
+    some = [r["row"]["text"] for r in plain if len(r["row"]["text"].split()) >= 30][:100]
+    _, _, rejected = model.score(pa.array([language._shuffled(t) for t in some]), {})
+    assert np.mean(rejected) >= 0.9
+
+
+def test_a_language_left_out_is_rejected(languages):
+    table, _ = languages
+    model = language.train(table.where("lang <> 'es'"))
+    rows = language.annotate(table.where("lang = 'es' AND length(text) > 200"), model).collect()
+    assert len(rows) > 50 and np.mean([r["rejected"] for r in rows]) >= 0.9
+
+
+def test_the_temperature_is_inside_its_grid(languages):
+    assert 0.02 < languages[1].temperature < 50
+
+
+def test_language_scores_match_a_plain_sum_over_ngrams(languages):
+    table, model = languages
+    texts = [r["text"] for r in table.limit(20).collect()] + [*STRANGE.values(), "a", "é", "a  b\tc"]
+    names, scores, rejected = model.score(pa.array(texts), {})
+    for text, name, score, out in zip(texts, names, scores, rejected):
+        sums, fam, n = np.zeros(len(model.languages)), np.zeros(len(model.languages)), 0
+        for word in re.findall(r"[^\x20\x09-\x0D]+", text):
+            data = re.sub("[A-Z]", lambda m: m[0].lower(), f"<{word}>").encode()
+            for size in language.SIZES:
+                for at in range(len(data) - size + 1):
+                    value = data[at]
+                    for byte in data[at + 1 : at + size]:
+                        value = value * 257 + byte + 1
+                    bucket = int(language.mixed(np.array([value + (size << 40)], np.uint64))[0] % language.BUCKETS)
+                    sums, fam, n = sums + model.weights[bucket], fam + model.familiarity.known[bucket], n + 1
+        logits = (sums / n + model.bias) / model.temperature
+        powers = np.exp(logits - logits.max())
+        best = int(powers.argmax())
+        of = model.familiarity
+        short = of.typical[best] - fam[best] / n - language.SCATTER * of.scatter[best] / n**0.5
+        factor = 1 / (1 + np.exp((short - of.slack[best]) / max(of.slack[best] / 4, 0.02)))
+        p = powers[best] / powers.sum()
+        assert name == model.languages[best] and score == pytest.approx(p * factor, rel=1e-6)
+        assert out == (short > of.slack[best] or p < model.least)
+
+
 def test_language_of_awkward_rows(docs):
     plain = [(100 + i, "the cat and the dog in a house" if i % 2 else "der hund und die katze im haus", "en" if i % 2 else "de") for i in range(60)]
     table = docs(*AWKWARD, *plain)
