@@ -50,6 +50,7 @@ LETTER = re.compile(r"[^\W\d_]")
 REMEMBERED = 3_000_000  # numbers that a Python worker keeps for words it has seen
 SHUFFLED = 5  # one text of so many also gives a counter-example with its letters shuffled
 LEAST_HELD = 10
+PLACE = 0.6  # of a limit between the held-out texts (0) and the counter-examples (1)
 SCATTER = 4.0  # standard errors that a text's mean may be off by its length alone
 
 
@@ -325,7 +326,7 @@ def _limits(model: Model, bags: list[Bag], target: np.ndarray, noise: list[Bag])
         ])
         lowest = np.quantile(strange, 0.1) if len(strange) else usual
         if lowest > usual:
-            slack[i] = (usual + lowest) / 2
+            slack[i] = usual + PLACE * (lowest - usual)
     return found
 
 
