@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,15 +46,15 @@ def zip_entries(archives: DataFrame, extensions: tuple[str, ...] | None = DATA_E
     entry.
     """
 
-    def open_archives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def open_archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import io
         import struct
         import zipfile
         import zlib
 
-        import pandas as pd
+        import pyarrow as pa
 
-        columns = ["archive", "entry", "member", "content", "error"]
+        types = {"archive": pa.string(), "entry": pa.string(), "member": pa.string(), "content": pa.binary(), "error": pa.string()}
         damage = (zipfile.BadZipFile, zlib.error, NotImplementedError, RuntimeError, EOFError, OSError, ValueError, struct.error)
 
         def members(content: bytes) -> Iterator[tuple]:
@@ -76,22 +76,27 @@ def zip_entries(archives: DataFrame, extensions: tuple[str, ...] | None = DATA_E
             if not some:
                 yield None, None, None, NO_MEMBER
 
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            columns = [pa.array(values, kind) for values, kind in zip(zip(*rows), types.values())]
+            return pa.RecordBatch.from_arrays(columns, names=list(types))
+
         rows, size = [], 0
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
+            for path, content in zip(batch["path"], batch["content"]):  # one archive's bytes at a time
+                path = path.as_py()
                 try:
-                    for member in members(content):
+                    for member in members(content.as_py()):
                         rows.append((path, *member))
                         size += len(member[2] or b"")
-                        if len(rows) >= 5000 or size >= 64 << 20:
-                            yield pd.DataFrame(rows, columns=columns)
+                        if len(rows) >= 1000 or size >= 8 << 20:
+                            yield batch_of(rows)
                             rows, size = [], 0
                 except damage as problem:
                     rows.append((path, None, None, None, str(problem) or BROKEN_ARCHIVE))
         if rows:
-            yield pd.DataFrame(rows, columns=columns)
+            yield batch_of(rows)
 
-    return archives.select("path", "content").mapInPandas(open_archives, MEMBER_SCHEMA)
+    return archives.select("path", "content").mapInArrow(open_archives, MEMBER_SCHEMA)
 
 
 def archive_census(archives: DataFrame) -> DataFrame:
@@ -130,18 +135,23 @@ def workbook_rows(workbooks: DataFrame) -> DataFrame:
     A workbook is a ZIP of XML parts and holds at most 1,048,576 rows per sheet, so one fits in a task.
     """
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import io
         import re
         import zipfile
+        import zlib
         from xml.etree import ElementTree
 
-        import pandas as pd
+        import pyarrow as pa
 
-        columns = ["source_file", "row_number", "fields", "error"]
+        types = {
+            "source_file": pa.string(), "row_number": pa.int64(), "fields": pa.map_(pa.string(), pa.string()), "error": pa.string(),
+        }
+        at_once = 4 << 20  # a sheet up to this size is parsed whole, a larger one row by row
 
         def text_of(node) -> str:
-            return "".join(t.text or "" for t in node.iter() if t.tag.endswith("}t"))
+            parts = [t.text for t in node.iter() if t.text and t.tag.endswith("}t")]
+            return parts[0] if len(parts) == 1 else "".join(parts)
 
         def position(reference: str) -> int:
             number = 0
@@ -157,49 +167,67 @@ def workbook_rows(workbooks: DataFrame) -> DataFrame:
                     return "xl/" + relation.attrib["Target"].removeprefix("/xl/")
             raise KeyError(link)
 
+        def row_nodes(book: zipfile.ZipFile, name: str):
+            if book.getinfo(name).file_size <= at_once:
+                try:
+                    sheet = ElementTree.fromstring(book.read(name))
+                except (zipfile.BadZipFile, zlib.error, ElementTree.ParseError):
+                    sheet = None  # damaged: read row by row as far as it goes
+                if sheet is not None:
+                    yield from (node for node in sheet.iter() if node.tag.endswith("}row"))
+                    return
+            with book.open(name) as sheet:
+                for _, node in ElementTree.iterparse(sheet):
+                    if node.tag.endswith("}row"):
+                        yield node
+                        node.clear()
+
         def rows_of(content: bytes):
             with zipfile.ZipFile(io.BytesIO(content)) as book:
                 shared = []
                 if "xl/sharedStrings.xml" in book.namelist():
                     shared = [text_of(si) for si in ElementTree.fromstring(book.read("xl/sharedStrings.xml"))]
-                with book.open(first_sheet(book)) as sheet:
-                    for _, node in ElementTree.iterparse(sheet):
-                        if not node.tag.endswith("}row"):
+                for node in row_nodes(book, first_sheet(book)):
+                    cells, index = {}, -1
+                    for cell in node:
+                        if not cell.tag.endswith("}c"):
                             continue
-                        cells = {}
-                        for index, cell in enumerate(c for c in node if c.tag.endswith("}c")):
-                            kind = cell.attrib.get("t")
+                        index += 1
+                        kind, reference = cell.get("t"), cell.get("r")
+                        if kind == "inlineStr":
+                            value = text_of(cell)
+                        else:
                             value = next((v.text for v in cell if v.tag.endswith("}v")), None)
                             if kind == "s" and value is not None:
                                 value = shared[int(value)]
-                            elif kind == "inlineStr":
-                                value = text_of(cell)
-                            at = position(cell.attrib["r"]) if "r" in cell.attrib else index
-                            if value not in (None, ""):
-                                cells[at] = value
-                        yield cells
-                        node.clear()
+                        if value:
+                            cells[index if reference is None else position(reference)] = value
+                    yield cells
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            columns = [pa.array(values, kind) for values, kind in zip(zip(*rows), types.values())]
+            return pa.RecordBatch.from_arrays(columns, names=list(types))
 
         rows = []
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                header = None
+            for path, content in zip(batch["path"], batch["content"]):  # one workbook's bytes at a time
+                path, header = path.as_py(), None
                 try:
-                    for number, cells in enumerate(rows_of(content)):
+                    for number, cells in enumerate(rows_of(content.as_py())):
                         if header is None:
                             header = {at: name.strip() for at, name in cells.items()}
                             continue
                         fields = {header[at]: text for at, text in cells.items() if at in header}
-                        rows.append((path, number, fields, None))
-                        if len(rows) == 5000:
-                            yield pd.DataFrame(rows, columns=columns)
+                        rows.append((path, number, list(fields.items()), None))
+                        if len(rows) >= 1000:
+                            yield batch_of(rows)
                             rows = []
                 except (zipfile.BadZipFile, KeyError, StopIteration, ElementTree.ParseError) as problem:
                     rows.append((path, None, None, f"unreadable workbook: {problem}"))
         if rows:
-            yield pd.DataFrame(rows, columns=columns)
+            yield batch_of(rows)
 
-    return workbooks.select("path", "content").mapInPandas(parse, ROW_SCHEMA)
+    return workbooks.select("path", "content").mapInArrow(parse, ROW_SCHEMA)
 
 
 def workbook_census(workbooks: DataFrame) -> DataFrame:
@@ -227,18 +255,35 @@ def normalize_rows(rows: DataFrame, dates: str = "file_name", disclosure_variant
     )
 
 
-def member_problems(entries: DataFrame) -> DataFrame:
-    """Archives and members that cannot be read, one rejected row each."""
-    name = F.when(F.col("entry").isNull(), base_name(F.col("archive"))).otherwise(member_name())
-    reason = (
+def _entry_name() -> Column:
+    return F.when(F.col("entry").isNull(), base_name(F.col("archive"))).otherwise(member_name())
+
+
+def _entry_problem() -> Column:
+    """Why an archive or a member of it cannot be read."""
+    return (
         F.when(F.col("error").isin(NO_MEMBER, BROKEN_MEMBER, ENCRYPTED_MEMBER), F.col("error"))
         .when(F.col("error").isNotNull(), BROKEN_ARCHIVE)
         .when(F.lower("member").endswith(".xls"), UNSUPPORTED)
     )
-    told = entries.select(name.alias("source_file"), reason.alias("reason"))
+
+
+def member_problems(entries: DataFrame) -> DataFrame:
+    """Archives and members that cannot be read, one rejected row each."""
+    told = entries.select(_entry_name().alias("source_file"), _entry_problem().alias("reason"))
     return whole_file_rejects(told.where("reason IS NOT NULL"))
 
 
+def member_outcomes(entries: DataFrame, **options: str) -> DataFrame:
+    """:func:`member_rows` and :func:`member_problems` of the same entries in one pass, so that each archive is opened
+    once. Of a rejected row only the file and the reason are told."""
+    csv_member = F.lower("member").endswith(".csv") & F.col("content").isNotNull()
+    told = entries.select(
+        _entry_name().alias("source_file"), F.when(csv_member, F.col("content")).alias("content"), _entry_problem().alias("unreadable")
+    )
+    return text_rows(told.where("content IS NOT NULL OR unreadable IS NOT NULL"), **options)
+
+
 def read_filing_archives(spark: SparkSession, path: str, include_exempt: bool = False, **options: str) -> DataFrame:
     """The CSV files and workbooks inside the ZIP archives below ``path`` as normalised rows."""
     entries = zip_entries(read_binary(spark, path, "*.[zZ][iI][pP]"))

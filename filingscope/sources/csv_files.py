@@ -217,19 +217,22 @@ def text_rows(
     """The rows of CSV files (``source_file``, ``content``), normalised. One pass: a file's header stays with its rows.
 
     The first line that is not blank is the header, and names the key column. A file that is not UTF-8 is Latin-1.
-    What cannot be read, and a file without rows, is one rejected row with the reason.
+    What cannot be read, and a file without rows, is one rejected row with the reason; so is a file for which the column
+    ``unreadable``, if there is one, names it (``content`` then is null).
     """
+    known = F.col("unreadable") if "unreadable" in files.columns else F.lit(None).cast("string")
     text = F.col("content").cast("string")
     decoded = F.when(F.is_valid_utf8(text), text).otherwise(F.decode("content", "ISO-8859-1"))
     first = F.regexp_extract("text", r"\A\s*+([^\r\n]*+)", 1)
     counted = lambda mark: F.length("first") - F.length(F.replace(F.col("first"), F.lit(mark), F.lit("")))
     opened = (
-        files.select("source_file", F.ltrim(decoded, F.lit("\ufeff")).alias("text"))
+        files.select("source_file", known.alias("unreadable"), F.ltrim(decoded, F.lit("\ufeff")).alias("text"))
         .withColumn("first", first)
         .withColumn("separator", F.when(counted("|") > counted(","), "|").otherwise(","))
     )
     problem = (
-        F.when(F.col("first") == "", EMPTY_FILE)
+        F.when(F.col("unreadable").isNotNull(), F.col("unreadable"))
+        .when(F.col("first") == "", EMPTY_FILE)
         .when(~F.col("text").contains(KEY_HEADER), NO_HEADER)
         .when(~F.col("first").contains(KEY_HEADER), LATE_HEADER)
     )

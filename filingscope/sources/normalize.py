@@ -84,9 +84,9 @@ class PositionedColumns:
 
     #: What is summed over the headers that match, as SQL over a header ``n``.
     SUMMED = {
-        "sections": "("
+        "sections": "CONTAINS(n, 'Count') AND ("
         + " OR ".join(f"CONTAINS(n, '{s}')" for s in rules.DISCLOSURE_COUNT_SECTIONS)
-        + ") AND CONTAINS(n, 'Count')",
+        + ")",
         "eleven": "STARTSWITH(n, '11') AND CONTAINS(n, 'Count')",
     }
 

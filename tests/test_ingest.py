@@ -320,3 +320,88 @@ def test_records_as_a_csv_reader_sees_them(spark, tmp_path):
 def test_large_files_are_read_by_layout_with_the_same_rows(spark, folder):
     whole, split = (csv_files.read_filing_csv(spark, folder, whole_file_bytes=size) for size in (1 << 20, 10))
     assert sorted(map(str, whole.collect())) == sorted(map(str, split.collect()))
+
+
+class Captured:
+    """Stands for a frame and gives the function that would run in its tasks."""
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, function, schema):  # noqa: N802
+        return function
+
+
+def test_archives_are_opened_in_small_batches():
+    import pyarrow as pa
+
+    content = zipped({"ia01032022.csv": "a", "ia02032022.csv": "b"})
+    batch = pa.RecordBatch.from_pydict({"path": [f"{i}.zip" for i in range(1500)], "content": [content] * 1500})
+    sizes = [b.num_rows for b in archives.zip_entries(Captured())(iter([batch]))]
+    assert sum(sizes) == 3000 and max(sizes) <= 1000
+
+
+def test_derived_archives_hold_what_a_csv_writer_writes(spark):
+    import csv
+
+    from filingscope.sources import derive
+
+    cells = ['a "b", c', "x\ny", "é & <z>", "", " plain "]
+    names = ["Organization CRD#", "n,1", "n2", "n3", "n4", "n5"]
+    row = spark.createDataFrame([("7", *cells, date(2022, 1, 3))], [*names, "filed"])
+    (packed,) = derive.archives(row).collect()
+    text = io.StringIO()
+    csv.writer(text).writerows([names, ["7", *cells]])
+    with zipfile.ZipFile(io.BytesIO(packed.content)) as archive:
+        assert archive.testzip() is None
+        assert archive.namelist() == ["form/ia01032022.csv", "readme.txt", "__MACOSX/._readme.txt"]
+        assert archive.read("form/ia01032022.csv").decode() == text.getvalue()
+    (parsed,) = archives.workbook_rows(derive.workbooks(row)).collect()
+    assert parsed.fields == {n: c for n, c in zip(names, ["7", *cells]) if c}
+
+
+def test_one_pass_tells_the_outcomes_of_rows_and_problems(spark, tmp_path):
+    (tmp_path / "a.zip").write_bytes(damaged_zip())
+    (tmp_path / "c.zip").write_bytes(zipped({"notes.txt": "x", "old.xls": "x"}))
+    (tmp_path / "d.zip").write_bytes(b"PK no archive")
+    (tmp_path / "e.zip").write_bytes(zipped({"notes.txt": "x"}))
+    entries = archives.zip_entries(archives.read_binary(spark, str(tmp_path), "*.zip"))
+    two = archives.member_rows(entries).unionByName(archives.member_problems(entries))
+    one = archives.member_outcomes(entries)
+    assert sorted(normalize.load_report(one).collect()) == sorted(normalize.load_report(two).collect())
+    good = [sorted(map(str, normalize.accepted(rows).collect())) for rows in (one, two)]
+    assert good[0] == good[1] and len(good[0]) == 1
+
+
+def test_the_report_opens_each_archive_once_for_rows_and_problems(spark):
+    import __spark_entry__ as entry
+
+    plan = entry.queries()["load_report_files"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("MapIn") == 4  # packed and opened, for the outcomes and for the listing
+
+
+def test_small_sheets_are_parsed_at_once_and_large_ones_row_by_row(monkeypatch):
+    from xml.etree import ElementTree
+
+    import pyarrow as pa
+
+    def book(rows, end="</sheetData></worksheet>"):
+        line = '<row><c t="inlineStr"><is><t>{}</t></is></c></row>'
+        sheet = "<worksheet xmlns='urn:m'><sheetData>" + "".join(line.format(f"v{i}") for i in range(rows)) + end
+        return zipped(
+            {
+                "xl/workbook.xml": '<workbook xmlns="urn:m" xmlns:r="urn:r"><sheets><sheet r:id="r1"/></sheets></workbook>',
+                "xl/_rels/workbook.xml.rels": '<Relationships><Relationship Id="r1" Target="worksheets/s.xml"/></Relationships>',
+                "xl/worksheets/s.xml": sheet,
+            }
+        )
+
+    def parsed(content):
+        batch = pa.RecordBatch.from_pydict({"path": ["b.xlsx"], "content": [content]})
+        return [r for b in archives.workbook_rows(Captured())(iter([batch])) for r in b.to_pylist()]
+
+    large, torn = parsed(book(90_000)), parsed(book(40, "<row>"))
+    assert [r["fields"] for r in large] == [[("v0", f"v{i}")] for i in range(1, 90_000)]
+    assert len(torn) == 40 and torn[-1]["error"].startswith("unreadable workbook") and torn[-2]["fields"] == [("v0", "v39")]
+    monkeypatch.setattr(ElementTree, "iterparse", None)
+    assert len(parsed(book(100))) == 99
