@@ -271,8 +271,7 @@ def _load_report_files(spark: SparkSession, sf: str) -> DataFrame:
     packed = derive.archives(form(spark, sf), damaged=True)
     entries = archives.zip_entries(packed)
     listed = archives.zip_entries(packed, contents=False).select(archives.member_name())
-    rows = archives.member_rows(entries).unionByName(archives.member_problems(entries))
-    return normalize.load_ledger(listed, rows)
+    return normalize.load_ledger(listed, archives.member_outcomes(entries))
 
 
 def _file_name_dates(spark: SparkSession, sf: str) -> DataFrame:
