@@ -381,23 +381,36 @@ def multi_filing_firms(filings: DataFrame, limit: int = 10) -> DataFrame:
 def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows, non-null and distinct values and the value range (as text) per column.
 
-    One distinct count grouped by column name instead of one per column, so the rows are not multiplied
-    again for each distinct aggregate.
+    Counts and ranges are one row of partial aggregates. Values are made distinct by hash and only then counted by column:
+    a smallest text per group would make Spark sort every value of every column.
     """
-    types = F.create_map(*[F.lit(x) for c in columns for x in (c, df.schema[c].dataType.simpleString())])
+    texts = df.select(*[F.col(c).cast("string").alias(str(i)) for i, c in enumerate(columns)])
+    places = [str(i) for i in range(len(columns))]
+    measures = {"non_null": F.count, "min_text": F.min, "max_text": F.max}
+    whole = texts.agg(
+        F.count("*").alias("rows"), *[f(p).alias(f"{name}_{p}") for p in places for name, f in measures.items()]
+    )
+    shown = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.col("rows").alias("total_rows"),
+            *[F.col(f"{name}_{p}").alias(name) for name in measures],
+            F.lit(df.schema[c].dataType.simpleString()).alias("data_type"),
+            F.lit(p).alias("place"),
+        )
+        for p, c in zip(places, columns)
+    ]
+    values = texts.unpivot([], places, "place", "value").where("value IS NOT NULL").distinct()
+    counted = values.groupBy("place").agg(F.count("*").alias("distinct_values"))
     return (
-        df.select(*[F.col(c).cast("string").alias(c) for c in columns])
-        .unpivot([], list(columns), "column_name", "value")
-        .groupBy("column_name")
-        .agg(
-            F.count("*").alias("total_rows"),
-            F.count("value").alias("non_null"),
-            F.countDistinct("value").alias("distinct_values"),
-            F.min("value").alias("min_text"),
-            F.max("value").alias("max_text"),
+        whole.select(F.explode(F.array(*shown)).alias("r"))
+        .select("r.*")
+        .join(counted, "place", "left")
+        .select(
+            "column_name", "total_rows", "non_null", F.coalesce("distinct_values", F.lit(0)).alias("distinct_values"),
+            "min_text", "max_text", "data_type",
         )
-        .withColumn("data_type", types[F.col("column_name")])
-    )
+    )
 
 
 def column_ranges(df: DataFrame, columns: Sequence[str], samples: int = 10) -> DataFrame:

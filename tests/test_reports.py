@@ -203,3 +203,15 @@ def test_column_ranges_are_ordered_by_type(spark):
     assert (found["none"].min_value, found["none"].sample_values) == (None, None)
     empty = reports.column_ranges(df.limit(0), ["n", "t"]).collect()
     assert {(r.column_name, r.min_value, r.sample_values) for r in empty} == {("n", None, None), ("t", None, None)}
+
+
+def test_column_profile_sorts_no_values(spark):
+    df = spark.createDataFrame([(1, None, "b"), (2, None, "é"), (None, None, "b"), (10, None, "")], "n int, e string, t string")
+    profile = reports.column_profile(df, df.columns)
+    assert {r.column_name: tuple(r)[1:] for r in profile.collect()} == {
+        "n": (4, 3, 3, "1", "2", "int"),
+        "e": (4, 0, 0, None, None, "string"),
+        "t": (4, 4, 3, "", "é", "string"),
+    }
+    plan = profile._jdf.queryExecution().sparkPlan().toString()
+    assert "SortAggregate(key=[column_name" not in plan and "SortAggregate(key=[place" not in plan
