@@ -9,6 +9,7 @@ from collections.abc import Callable
 HERE = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, HERE)
 
+from pyspark import StorageLevel  # noqa: E402
 from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
@@ -185,7 +186,7 @@ def _incremental_store(spark: SparkSession, sf: str) -> DataFrame:
     store = shared_dir(spark, "store")
     whole = conform(filings(spark, sf), FILING).join(
         filings(spark, sf, (*KEY, "filing_key")).select(*KEY, F.pmod("filing_key", F.lit(10)).alias("tenth")), KEY
-    )
+    ).persist(StorageLevel.DISK_ONLY)  # joined once, not for each of the batches
     early, named = F.col("filing_date") < "1996-01-01", F.date_format("filing_date", "MMddyyyy")
 
     def file(suffix: str) -> Column:
@@ -200,6 +201,7 @@ def _incremental_store(spark: SparkSession, sf: str) -> DataFrame:
     ]
     for number, batch in enumerate(batches):
         incremental.load_batch(spark, store, batch, number, buckets=8)
+    whole.unpersist()
     return flat_scores(incremental.current_scores(spark, store))
 
 

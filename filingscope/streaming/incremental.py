@@ -134,7 +134,7 @@ def load_batch(
     write = snapshots.Write(spark, store, buckets, base)
     batch = F.lit(batch_id).cast("bigint").alias("batch_id")
     rows = write.put("filings", filings.select(*[f.name for f in FILING], "source_file", batch), FIRM)
-    fresh = _newest(rows)
+    fresh = _newest(rows).persist(StorageLevel.DISK_ONLY)  # scores, state and what is late are all told by it
     dealt = snapshots.touched(rows, FIRM, write.buckets)
     if base is None:
         scores, state, again = score_changes(filing_changes(fresh)), firm_state(fresh), []
@@ -159,6 +159,7 @@ def load_batch(
     if files is not None:
         write.put("files", files.select(*LOADED_FILE.names, batch), ["path"])
     write.commit(batch_id=batch_id)
+    fresh.unpersist()
 
 
 def ingest_stream(

@@ -204,3 +204,23 @@ def test_a_failed_batch_leaves_the_store_as_it_was(spark, tmp_path):
         incremental.load_batch(spark, store, bad, 1)
     assert incremental.stored_filings(spark, store).count() == 1
     assert incremental.current_scores(spark, store).count() == 1
+
+
+def test_a_batch_is_deduped_once_and_let_go(spark, history, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from filingscope.schemas import FILING, conform
+    from filingscope.streaming import incremental
+
+    kept, levels, state = [], [], incremental.firm_state
+
+    def told(rows, *rest):
+        kept.append(rows)
+        levels.append(rows.storageLevel.useDisk)
+        return state(rows, *rest)
+
+    monkeypatch.setattr(incremental, "firm_state", told)
+    batch = conform(history(("801-1", "2020-01-02", 5)), FILING).withColumn("source_file", F.lit("ia01022020.csv"))
+    incremental.load_batch(spark, str(tmp_path / "store"), batch, 0, buckets=2)
+    assert levels == [True] and not kept[0].storageLevel.useDisk
+    assert incremental.current_scores(spark, str(tmp_path / "store")).count() == 1
