@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -134,15 +135,13 @@ def levels(rows: DataFrame, longest: int) -> list[DataFrame]:
 def copies(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Windows of lines that stand somewhere earlier: ``did``, ``th``, ``ln``, ``n`` (lines)."""
     suffixes = levels(rows, min_words)
-    starts = rows.select(*AT, "ln", F.explode("lens").alias("n"))
-    named = None
-    for level, ranks in enumerate(suffixes):
-        of_level = starts.where((F.col("n") >= 2**level) & (F.col("n") < 2 ** (level + 1)))
-        head = ranks.withColumnRenamed("rank", "head")
-        tail = ranks.select(*AT, F.col("ln").alias("tail_ln"), F.col("rank").alias("tail"))
-        one = of_level.join(head, [*AT, "ln"]).withColumn("tail_ln", F.col("ln") + F.col("n") - 2**level)
-        one = one.join(tail, [*AT, "tail_ln"]).select(*AT, "ln", "n", "head", "tail")
-        named = one if named is None else named.unionByName(one)
+    starts = rows.select(*AT, "ln", F.explode("lens").alias("n")).withColumn("level", F.length(F.bin("n")) - 1)
+    ranks = reduce(DataFrame.unionByName, [r.withColumn("level", F.lit(level)) for level, r in enumerate(suffixes)])
+    # All levels go through one pair of joins: with a pair for each, the driver plans them all anew after every stage.
+    named = starts.join(ranks.withColumnRenamed("rank", "head"), [*AT, "ln", "level"])
+    named = named.withColumn("tail_ln", F.expr("ln + n - shiftleft(1, level)"))
+    tail = ranks.select(*AT, F.col("ln").alias("tail_ln"), "level", F.col("rank").alias("tail"))
+    named = named.join(tail, [*AT, "tail_ln", "level"]).select(*AT, "ln", "n", "head", "tail")
     named = written(named, "line-windows")
     place = F.struct("did", "th", "ln")
     first = named.groupBy("n", "head", "tail").agg(F.min(place).alias("first"), F.count("*").alias("members"))

@@ -259,6 +259,20 @@ def test_line_runs_match_brute_force(docs):
     assert [rows[i] for i in range(len(texts))] == deleted(texts, 30)
 
 
+def test_the_plan_of_line_windows_does_not_grow_with_the_levels(docs, monkeypatch):
+    plans, keep = {}, line_runs.written
+
+    def noted(df, purpose):
+        plans[purpose] = df._jdf.queryExecution().analyzed().toString()
+        return keep(df, purpose)
+
+    monkeypatch.setattr(line_runs, "written", noted)
+    text = "\n".join(f"line {i} of a text" for i in range(40))
+    found = {r["ln"]: r["n"] for r in line_runs.copies(line_runs.lines(docs(text, text))).where("did = 1").collect()}
+    assert found == {i: 6 for i in range(35)}  # five words a line
+    assert plans["line-windows"].count("Join ") == 2
+
+
 def test_line_runs_of_awkward_rows(docs):
     table = docs(*AWKWARD, (20, "word " * 60_000, "en"))
     found = line_runs.without_copies(table)
