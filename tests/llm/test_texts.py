@@ -5,6 +5,7 @@ import math
 import os
 import random
 import re
+import sys
 import zlib
 from collections import Counter
 
@@ -192,6 +193,16 @@ def test_the_temperature_is_inside_its_grid(languages):
     assert 0.02 < languages[1].temperature < 50
 
 
+def test_a_remembered_word_takes_little_more_than_its_numbers(languages):
+    _, model = languages
+    memory = {}
+    first = model.score(pa.array([*STRANGE.values(), "", None]), memory)
+    again = model.score(pa.array([*STRANGE.values(), "", None]), memory)
+    assert first[0] == again[0] and np.array_equal(first[1], again[1]) and len(model.score(pa.array([""]), {})[0]) == 1
+    held = [sys.getsizeof(x) + (sum(map(sys.getsizeof, x)) if isinstance(x, list) else 0) for x in memory.values()]
+    assert max(held) <= 8 * (2 * len(model.languages) + 1) + 64
+
+
 def test_language_scores_match_a_plain_sum_over_ngrams(languages):
     table, model = languages
     texts = [r["text"] for r in table.limit(20).collect()] + [*STRANGE.values(), "a", "é", "a  b\tc"]
