@@ -202,10 +202,11 @@ class Bag(NamedTuple):
     weights: np.ndarray  # the counts' shares
 
 
-def _bags(rows: pa.Table) -> list[Bag]:
-    """The bags that are not empty, in an order that does not depend on tasks."""
+def _bags(rows: pa.Table, shuffled: bool) -> list[Bag]:
+    """The bags of usual or of shuffled texts that are not empty, in an order that does not depend on tasks. Their
+    buckets and counts are views of the table, not copies."""
     found = []
-    for r in range(rows.num_rows):
+    for r in np.nonzero(rows.column("shuffled").to_numpy() == shuffled)[0].tolist():
         buckets, counts = (rows.column(c)[r].values.to_numpy() for c in ("buckets", "counts"))
         if len(buckets):
             key = (rows.column("lang")[r].as_py(), rows.column("key")[r].as_py(), len(buckets))
@@ -216,8 +217,7 @@ def _bags(rows: pa.Table) -> list[Bag]:
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     """The model; None if no document can be learned from."""
     table = sample(docs, per_language).mapInArrow(_features, FEATURES).toArrow()
-    rows = _bags(table.filter(pc.invert(table.column("shuffled"))))
-    noise = _bags(table.filter(table.column("shuffled")))
+    rows, noise = _bags(table, False), _bags(table, True)
     if not rows:
         return None
     languages = sorted({r.lang for r in rows})

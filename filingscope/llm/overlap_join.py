@@ -341,23 +341,25 @@ def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def groups(edges: DataFrame) -> DataFrame:
-    """``v`` and ``c``: the smallest member of the group of each end of an edge (``a``, ``b``), by star contraction."""
+    """``v`` and ``c``: the smallest member of the group of each end of an edge (``a``, ``b``), by star contraction.
+
+    Both halves of a step are written, and rows meet by sorting: as one plan with broadcasts, each step made the driver
+    plan the first half's join three times and build a table for each of four joins."""
     both = lambda e: e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    state = lambda e: e.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % (1 << 40))).first()
     edges = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    last = None
-    while True:
+    last, now = None, state(edges)
+    while now != last:
         # every larger neighbour to the smallest of a's neighbours and a
         near = both(edges)
         smallest = near.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = near.where("b > a").join(smallest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = near.where("b > a").join(smallest.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = written(large.distinct(), "larger-links")
         # every smaller neighbour, and a, to the smallest of them
         smallest = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(smallest, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = large.join(smallest.hint("merge"), "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = written(small.unionByName(smallest.select("a", F.col("m").alias("b"))).distinct(), "links")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % (1 << 40))).first()
-        if state == last:
-            break
-        last = state
+        last, now = now, state(edges)
     return edges.select(F.col("a").alias("v"), F.col("b").alias("c"))
 
 

@@ -176,9 +176,11 @@ def _half(p: Column, q: Column) -> Column:
 
 
 def _char_distance(shares: Column) -> Column:
+    """Bins are met in lambdas, here and below: written out, each bin repeats its shares' expressions five times, and
+    the driver plans them all."""
     total = F.aggregate("_chars", F.lit(0.0), lambda a, x: a + x)
-    bins = [_half(F.get("_chars", F.lit(i)) / total, F.get(shares, F.lit(i))) for i in range(N_CLASSES)]
-    return F.sqrt(F.greatest(F.lit(0.0), sum(bins[1:], bins[0])))
+    bins = F.zip_with(F.transform("_chars", lambda c: c / total), shares, _half)
+    return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(bins, F.lit(0.0), lambda a, x: a + x)))
 
 
 def _word_distance(shares: Column, total: Column) -> Column:
@@ -186,11 +188,8 @@ def _word_distance(shares: Column, total: Column) -> Column:
     n = F.col("n_words").cast("double")
     share = lambda x: F.get(shares, (x["word"] - 1).cast("int"))
     rest = _half(1 - F.col("_n_common") / n, 1 - total)
-    seen = F.aggregate(
-        "_common",
-        total / 2,
-        lambda sum_, x: sum_ + _half(x["n"] / n, share(x)) - share(x) / 2,
-    )
+    both = F.transform("_common", lambda x: F.struct((x["n"] / n).alias("p"), share(x).alias("q")))
+    seen = F.aggregate(both, total / 2, lambda sum_, x: sum_ + _half(x["p"], x["q"]) - x["q"] / 2)
     return F.sqrt(F.greatest(F.lit(0.0), rest + seen))
 
 

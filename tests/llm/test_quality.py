@@ -49,6 +49,16 @@ def test_awkward_rows_and_empty_table(docs):
     assert quality.keep_good(table.limit(0)).count() == 0
 
 
+def test_the_verdict_names_each_histogram_a_few_times(docs):
+    rows = quality.features(docs(*AWKWARD))
+    shares = ([1 / quality.N_CLASSES] * quality.N_CLASSES, [0.5, 0.25])
+    known = quality.references(rows.withColumn("lang", quality.F.col("_row.lang")), 2)
+    known = known._replace(common={"en": shares, "fr": shares})
+    rows = quality.written(rows, "test-rows")
+    plan = quality.verdicts(rows, known).select("kept")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("_chars#") <= 40 and plan.count("_common#") <= 40
+
+
 def test_a_rare_language_is_not_judged_by_the_others(docs):
     english = "the cat sat on the mat and it is a good day for all of us to be in the sun, as they say. "
     plain = [english + " ".join(f"w{chr(97 + i % 26)}{chr(97 + j % 26)}" for j in range(20)) for i in range(400)]

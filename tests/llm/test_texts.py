@@ -189,6 +189,15 @@ def test_a_language_left_out_is_rejected(languages):
     assert len(rows) > 50 and np.mean([r["rejected"] for r in rows]) >= 0.9
 
 
+def test_bags_are_views_of_the_sample():
+    kinds = {"lang": ["en", "en"], "key": [2, 1], "shuffled": [False, True]}
+    lists = pa.array([[3, 4], [5]], pa.list_(pa.int32()))
+    table = pa.table({**kinds, "buckets": lists, "counts": lists})
+    (plain,), (noise,) = language._bags(table, False), language._bags(table, True)
+    assert plain.buckets.tolist() == [3, 4] and noise.buckets.tolist() == [5]
+    assert np.shares_memory(plain.buckets, lists.values.to_numpy())
+
+
 def test_the_temperature_is_inside_its_grid(languages):
     assert 0.02 < languages[1].temperature < 50
 
@@ -352,6 +361,21 @@ def test_star_contraction(spark):
     assert found == {**{i: 1 for i in range(2, 41)}, 101: 100, 102: 100}
 
 
+def test_a_half_step_of_the_contraction_plans_one_join_without_broadcast(spark, monkeypatch):
+    plans, write = [], overlap_join.written
+
+    def kept(df, purpose):
+        plans.append(df._jdf.queryExecution().toString())
+        return write(df, purpose)
+
+    monkeypatch.setattr(overlap_join, "written", kept)
+    edges = [(1, 2), (2, 3), (3, 4)]
+    overlap_join.groups(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
+    physical = [p.partition("== Physical Plan ==")[2] for p in plans]
+    assert max(p.count("SortMergeJoin") for p in physical) == 1
+    assert not any("Broadcast" in p for p in physical)
+
+
 def test_one_of_each_group_stays(docs):
     table = docs(*AWKWARD, (21, None, "en"))
     found = overlap_join.one_of_each(table)
