@@ -340,16 +340,21 @@ def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return dealt.mapInArrow(_search, "a bigint, b bigint")
 
 
+def stars(edges: DataFrame) -> bool:
+    """Whether each ``a`` has one ``b`` and no ``b`` is an ``a``: then a further step would change nothing."""
+    ends = edges.select(F.col("a").alias("v"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.unionByName(edges.select(F.col("b").alias("v"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.groupBy("v").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR up = down").isEmpty()
+
+
 def groups(edges: DataFrame) -> DataFrame:
     """``v`` and ``c``: the smallest member of the group of each end of an edge (``a``, ``b``), by star contraction.
 
     Both halves of a step are written, and rows meet by sorting: as one plan with broadcasts, each step made the driver
     plan the first half's join three times and build a table for each of four joins."""
     both = lambda e: e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    state = lambda e: e.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % (1 << 40))).first()
     edges = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    last, now = None, state(edges)
-    while now != last:
+    while not stars(edges):
         # every larger neighbour to the smallest of a's neighbours and a
         near = both(edges)
         smallest = near.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
@@ -359,7 +364,6 @@ def groups(edges: DataFrame) -> DataFrame:
         smallest = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(smallest.hint("merge"), "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = written(small.unionByName(smallest.select("a", F.col("m").alias("b"))).distinct(), "links")
-        last, now = now, state(edges)
     return edges.select(F.col("a").alias("v"), F.col("b").alias("c"))
 
 

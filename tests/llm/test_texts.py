@@ -376,6 +376,16 @@ def test_a_half_step_of_the_contraction_plans_one_join_without_broadcast(spark,
     assert not any("Broadcast" in p for p in physical)
 
 
+def test_finished_groups_are_not_contracted_again(spark, monkeypatch):
+    purposes, write = [], overlap_join.written
+    monkeypatch.setattr(overlap_join, "written", lambda df, purpose: (purposes.append(purpose), write(df, purpose))[1])
+    frame = lambda edges: spark.createDataFrame(edges, "a bigint, b bigint")
+    found = overlap_join.groups(frame([(2, 1), (3, 1), (1, 3), (9, 8), (5, 5)])).collect()
+    assert sorted(map(tuple, found)) == [(2, 1), (3, 1), (9, 8)] and purposes == ["links"]
+    assert overlap_join.groups(frame([])).count() == 0
+    assert [overlap_join.stars(frame(e)) for e in ([(3, 1), (3, 2)], [(3, 2), (2, 1)], [(3, 1), (2, 1)])] == [False, False, True]
+
+
 def test_one_of_each_group_stays(docs):
     table = docs(*AWKWARD, (21, None, "en"))
     found = overlap_join.one_of_each(table)
