@@ -495,3 +495,49 @@ def test_a_rare_context_counts_however_large_the_corpus(docs, spark):
     table = suffix_tree.texts(docs("alpha beta")).withColumn("held_out", F.lit(True))
     few = spark.createDataFrame([("alpha beta",)] * 3, "text string")
     assert suffix_tree.score(table, large.unionAll(few)).first()["n_by_context"] >= 1
+
+
+@needs_tables
+def test_tables_of_the_tree_take_few_bytes_a_token(spark, monkeypatch):
+    import glob
+    import os
+
+    sizes, write = {}, suffix_tree.written
+
+    def told(df, purpose):
+        table = write(df, purpose)
+        sizes[purpose] = sum(os.path.getsize(f) for p in table.inputFiles() for f in glob.glob(p.removeprefix("file://")))
+        return table
+
+    monkeypatch.setattr(suffix_tree, "written", told)
+    tokens = sum(r["n_tokens"] for r in suffix_tree.op1_suffix_tree_scores(spark, FOLDER).collect())
+    assert len(sizes) > 4 and sum(sizes.values()) < 20 * tokens
+
+
+def test_few_listed_words_change_no_score(docs, spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(5)
+    line = lambda: " ".join(rng.choice(("p x y", "q x z", "a" * 70 + "b", *"uvw", f"r{rng.randrange(60)}")) for _ in range(rng.randrange(60)))
+    table = suffix_tree.texts(docs(*[line() for _ in range(80)])).withColumn("held_out", F.col("doc_id") >= 70)
+    table = table.withColumn("learned", ~F.col("held_out"))
+
+    def rows():
+        return {r["doc_id"]: r for r in suffix_tree.score(table).collect()}
+
+    whole = rows()
+    for name, value in (("TOP", 2), ("CODED", 6), ("LISTED", 4)):
+        monkeypatch.setattr(suffix_tree, name, value)
+    for i, r in rows().items():
+        assert math.isclose(r["score"], whole[i]["score"], rel_tol=1e-9)
+        assert r["n_by_context"] == whole[i]["n_by_context"] and r["n_known"] == whole[i]["n_known"]
+
+
+def test_hashes_of_words_do_not_depend_on_their_place():
+    import pyarrow as pa
+
+    words = [f"{'é' * (n // 2)}{'x' * (n % 2)}{i}" for n in range(150) for i in range(3)] + ["a", "a\0", "\0a"]
+    found = suffix_tree._hashes(pa.array(words))
+    assert len(set(found.tolist())) == len(words)
+    assert (suffix_tree._hashes(pa.array(["other", *words]).slice(1)) == found).all()
+    assert [int(suffix_tree._hashes(pa.array([w]))[0]) for w in words[:60]] == found[:60].tolist()
