@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from filingscope.functions.text import arrival_order
-from filingscope.operators.changes import filing_changes, firm_state
+from filingscope.operators.changes import NEEDED, filing_changes, firm_state
 from filingscope.operators.history import dedupe_filings
 from filingscope.operators.points import score_changes
 from filingscope.schemas import FILING, KEY, LOADED_FILE, RISK_SCORE
@@ -80,9 +80,15 @@ def current_filings(spark: SparkSession, store: str) -> DataFrame:
     return _newest(stored_filings(spark, store)).drop("batch_id", "source_file")
 
 
-def _newest(rows: DataFrame) -> DataFrame:
-    arrival = F.struct(arrival_order(F.col("source_file")).alias("file"), "batch_id", "source_file")
-    return dedupe_filings(rows.withColumn("arrival", arrival), "arrival").drop("arrival")
+def _newest(rows: DataFrame, named: DataFrame | None = None) -> DataFrame:
+    """One row per firm and date. A file's place in the order of arrival is told once for each name, not for each row: the
+    patterns for it cost more than all else that is done with a row. ``named``: rows that name all files, if they
+    are read more easily than ``rows``."""
+    files = (rows if named is None else named).select("source_file").distinct()
+    files = files.withColumn("file", arrival_order(F.col("source_file")))
+    arrival = F.struct("file", "batch_id", "source_file").alias("arrival")
+    told = rows.join(F.broadcast(files), "source_file", "left").select(*rows.columns, arrival)
+    return dedupe_filings(told, "arrival").drop("arrival")
 
 
 def current_scores(spark: SparkSession, store: str) -> DataFrame:
@@ -134,7 +140,8 @@ def load_batch(
     write = snapshots.Write(spark, store, buckets, base)
     batch = F.lit(batch_id).cast("bigint").alias("batch_id")
     rows = write.put("filings", filings.select(*[f.name for f in FILING], "source_file", batch), FIRM)
-    fresh = _newest(rows).persist(StorageLevel.DISK_ONLY)  # scores, state and what is late are all told by it
+    fresh = _newest(rows).select(*NEEDED).persist(StorageLevel.DISK_ONLY)  # scores, state and what is late are all told by it
+    held = [fresh]
     dealt = snapshots.touched(rows, FIRM, write.buckets)
     if base is None:
         scores, state, again = score_changes(filing_changes(fresh)), firm_state(fresh), []
@@ -142,12 +149,15 @@ def load_batch(
         known = snapshots.read(spark, store, "state", base, dealt)
         first = fresh.groupBy(*FIRM).agg(F.min("filing_date").alias("first"))
         late = first.join(known, FIRM).where(F.col("first") <= F.col("last.filing_date")).select(*FIRM)
+        held.append(late := late.persist(StorageLevel.DISK_ONLY))
         again = snapshots.touched(late, FIRM, write.buckets)
         newer = fresh.join(late, FIRM, "left_anti") if again else fresh
         scores, state = score_changes(filing_changes(newer, carried=known)), firm_state(newer, known)
         if again:
             stored = snapshots.read(spark, store, "filings", base, again).unionByName(rows)
-            history = _newest(stored.join(late, FIRM, "left_semi"))
+            # dealt by firm and in order of dates once, for the scores and for the state
+            history = _newest(stored.join(late.hint("shuffle_hash"), FIRM, "left_semi"), stored).select(*NEEDED)
+            held.append(history := history.persist(StorageLevel.DISK_ONLY))
             rest = snapshots.read(spark, store, "scores", base, again).join(late, FIRM, "left_anti")
             scores = scores.unionByName(rest).unionByName(score_changes(filing_changes(history)))
             state = state.unionByName(firm_state(history))
@@ -159,7 +169,8 @@ def load_batch(
     if files is not None:
         write.put("files", files.select(*LOADED_FILE.names, batch), ["path"])
     write.commit(batch_id=batch_id)
-    fresh.unpersist()
+    for table in held:
+        table.unpersist()
 
 
 def ingest_stream(

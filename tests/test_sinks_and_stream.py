@@ -224,3 +224,28 @@ def test_a_batch_is_deduped_once_and_let_go(spark, history, tmp_path, monkeypatc
     incremental.load_batch(spark, str(tmp_path / "store"), batch, 0, buckets=2)
     assert levels == [True] and not kept[0].storageLevel.useDisk
     assert incremental.current_scores(spark, str(tmp_path / "store")).count() == 1
+
+
+def test_late_filings_are_told_apart_once(spark, tmp_path, monkeypatch):
+    from filingscope.schemas import FILING
+
+    kept, calls, state = [], spark.sparkContext.accumulator(0), incremental.firm_state
+
+    def told(history, carried=None):
+        kept.append(history.storageLevel.useDisk)
+        return state(history, carried)
+
+    def name(path):
+        calls.add(1)
+        return path
+
+    monkeypatch.setattr(incremental, "firm_state", told)
+    monkeypatch.setattr(incremental, "arrival_order", F.udf(name, "string"))
+    store, firms = str(tmp_path / "store"), spark.range(300).select(F.format_string("801-%d", "id").alias("sec_number"))
+    for number, day in enumerate(("2024-02-01", "2024-01-01")):  # the second one is late for every firm
+        values = {"filing_date": F.lit(day).cast("date"), "raum": F.lit(60_000_000), "source_file": F.lit(f"ia{number}.csv")}
+        rows = firms.select("sec_number", *[v.alias(n) for n, v in values.items()])
+        rows = rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in FILING], "source_file")
+        incremental.load_batch(spark, store, rows, number, buckets=2)
+    assert incremental.current_scores(spark, store).count() == 600
+    assert kept[-1] and 0 < calls.value < 300  # by names, of which there are two; the history is kept for scores and state
